@@ -1,0 +1 @@
+"""daygrid.streaming"""
