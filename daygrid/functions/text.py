@@ -12,6 +12,7 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 ColumnOrName = Column | str
 
@@ -50,21 +51,24 @@ _FOLD_FROM, _FOLD_TO, _FOLD_MULTI = _fold_tables(
     [(0x00A0, 0x024F), (0x1E00, 0x1EFF), (0xFB00, 0xFB06)]
 )
 
-# Python's str.strip() whitespace: \s plus Unicode separators and the
-# information separators 0x1c-0x1f / 0x85.
-_WS = r"[\s\p{Z}\x{1c}-\x{1f}\x{85}]"
+# The characters Python's str.strip() removes (all of Unicode's whitespace).
+_WS_CHARS = "".join(chr(i) for i in range(0x3000 + 1) if chr(i).isspace())
+_MULTI_CLASS = "[" + "".join(ch for ch, _ in _FOLD_MULTI) + "]"
 
 
 def strip_ws(c: ColumnOrName) -> Column:
-    """Trim leading/trailing whitespace (Unicode aware, like ``str.strip``)."""
-    return F.regexp_replace(_col(c), rf"^{_WS}+|{_WS}+$", "")
+    """Trim leading/trailing whitespace like ``str.strip`` (no regex)."""
+    return F.btrim(_col(c), F.lit(_WS_CHARS))
 
 
 def fold_accents(c: ColumnOrName) -> Column:
     """NFKD-style accent removal without lower-casing."""
     out = F.translate(_col(c), _FOLD_FROM, _FOLD_TO)
+    expanded = out
     for ch, rep in _FOLD_MULTI:
-        out = F.replace(out, F.lit(ch), F.lit(rep))
+        expanded = F.replace(expanded, F.lit(ch), F.lit(rep))
+    # the expanding replacements only run on the rare values that need them
+    out = F.when(out.rlike(_MULTI_CLASS), expanded).otherwise(out)
     return F.regexp_replace(out, r"\p{M}", "")
 
 
@@ -82,11 +86,16 @@ def normalize_key(c: ColumnOrName) -> Column:
     return F.regexp_replace(out, "^_+|_+$", "")
 
 
-def clean_code(c: ColumnOrName) -> Column:
+def clean_code(c: ColumnOrName, data_type=None) -> Column:
     """STR3: trim, drop a trailing ``.0…``, drop non-alphanumerics.
 
     Null stays null (the reference's ``astype(str)`` would produce 'nan').
+    For integer-typed codes (``data_type``) only the sign can be removed, so
+    the text form is used directly.
     """
+    if isinstance(data_type, IntegralType):
+        v = _col(c)
+        return F.when(v >= 0, v.cast("string")).otherwise(F.regexp_replace(v.cast("string"), "-", ""))
     out = strip_ws(_col(c).cast("string"))
     out = F.regexp_replace(out, r"\.0+$", "")
     return F.regexp_replace(out, r"[^\p{Nd}A-Za-z]", "")

@@ -104,18 +104,23 @@ def daily_events(
     """AGG2 (+FLT2, DAT1, FLT1, STR4, FLT8): per (entity, day) max flag, flag sum, first name.
 
     Input columns: ``municipio_raw, event_time_raw, event_type_raw`` and
-    optionally ``departamento_raw``.
+    optionally ``departamento_raw``. Rows are first reduced per (raw name,
+    raw type, day) so that text cleaning runs once per distinct value, not per
+    event; the result is the same as cleaning every row.
     """
     work = log
     if region and _has(work, "departamento_raw"):
         work = keep_matching_or_all(work, normalize_text(F.col("departamento_raw")).contains(region))
     work = _timed(work, start, end, time_col="event_time_raw")
-    work = non_empty_key(work.withColumns(entity_columns(F.col("municipio_raw"))), KEY)
-    work = work.withColumn("is_flood_event", contains_any(F.col("event_type_raw"), keywords))
-    return work.groupBy(KEY, DATE).agg(
+    reduced = work.groupBy("municipio_raw", "event_type_raw", DATE).agg(
+        F.count(F.lit(1)).alias("__n"), F.min("time").alias("__t")
+    )
+    reduced = non_empty_key(reduced.withColumns(entity_columns(F.col("municipio_raw"))), KEY)
+    reduced = reduced.withColumn("is_flood_event", contains_any(F.col("event_type_raw"), keywords))
+    return reduced.groupBy(KEY, DATE).agg(
         F.max("is_flood_event").alias("flood_event_today"),
-        F.sum("is_flood_event").cast("long").alias("flood_events_count_today"),
-        _first_name(NAME, F.struct(F.col("time"), F.col(NAME))).alias(NAME),
+        F.sum(F.col("is_flood_event") * F.col("__n")).cast("long").alias("flood_events_count_today"),
+        _first_name(NAME, F.struct(F.col("__t"), F.col(NAME))).alias(NAME),
     )
 
 
@@ -138,7 +143,8 @@ def label_names(daily: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _station_day_partials(work: DataFrame, metrics: Sequence[str]) -> DataFrame:
+def _partials(work: DataFrame, by: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """Raw rows -> per (by, day): row count and per metric sum / count / max."""
     aggs = [F.count(F.lit(1)).alias("__n")]
     for m in metrics:
         aggs += [
@@ -146,7 +152,21 @@ def _station_day_partials(work: DataFrame, metrics: Sequence[str]) -> DataFrame:
             F.count(F.col(m)).alias(f"__c_{m}"),
             F.max(F.col(m)).alias(f"__m_{m}"),
         ]
-    return work.groupBy(STATION, DATE).agg(*aggs)
+    return work.groupBy(*by, DATE).agg(*aggs)
+
+
+def _recombine(partial: DataFrame, by: Sequence[str], metrics: Sequence[str], stations: bool) -> DataFrame:
+    """Partials -> coarser partials (sums of sums/counts, max of max)."""
+    aggs = [F.sum("__n").alias("__n")]
+    if stations:
+        aggs.append(F.count(F.lit(1)).alias("__st"))
+    for m in metrics:
+        aggs += [
+            F.sum(f"__s_{m}").alias(f"__s_{m}"),
+            F.sum(f"__c_{m}").alias(f"__c_{m}"),
+            F.max(f"__m_{m}").alias(f"__m_{m}"),
+        ]
+    return partial.groupBy(*by, DATE).agg(*aggs)
 
 
 def _entity_day(
@@ -154,32 +174,27 @@ def _entity_day(
     smap: DataFrame | None,
     metrics: Sequence[str],
 ) -> DataFrame:
-    """Per (entity, day): __n rows, __st stations, and per metric sum/count/max."""
+    """Per (entity, day): __n rows, __st stations, and per metric sum/count/max.
+
+    Raw rows are reduced per (raw station code, day) first; codes are cleaned
+    on that reduced table and re-reduced per (clean code, day), so a station
+    contributes one row per day to the join with the station map.
+    """
     if smap is not None and _has(work, "station_code_raw"):
-        work = work.withColumn(STATION, clean_code(F.col("station_code_raw")))
-        partial = _station_day_partials(work, metrics)
-        # JOIN1: inner is the left join followed by dropping null keys.
-        mapped = partial.join(smap, STATION, "inner")
-        aggs = [F.sum("__n").alias("__n"), F.count(F.lit(1)).alias("__st")]
-        for m in metrics:
-            aggs += [
-                F.sum(f"__s_{m}").alias(f"__s_{m}"),
-                F.sum(f"__c_{m}").alias(f"__c_{m}"),
-                F.max(f"__m_{m}").alias(f"__m_{m}"),
-            ]
-        return mapped.groupBy(KEY, DATE).agg(*aggs)
+        raw = _partials(work, ["station_code_raw"], metrics)
+        code_type = work.schema["station_code_raw"].dataType
+        cleaned = raw.withColumn(STATION, clean_code(F.col("station_code_raw"), code_type))
+        per_station = _recombine(cleaned, [STATION], metrics, stations=False)
+        # JOIN1: inner is the left join followed by dropping null keys;
+        # (station, key) is unique in the map, so each row is one station.
+        mapped = per_station.join(smap, STATION, "inner")
+        return _recombine(mapped, [KEY], metrics, stations=True)
     if _has(work, "municipio_raw"):
         # JOIN2: no station column, entity from the reading's own name;
         # station count is 0 (trap T5).
-        work = non_empty_key(work.withColumns(entity_columns(F.col("municipio_raw"))), KEY)
-        aggs = [F.count(F.lit(1)).alias("__n"), F.lit(0).cast("long").alias("__st")]
-        for m in metrics:
-            aggs += [
-                F.sum(F.col(m)).alias(f"__s_{m}"),
-                F.count(F.col(m)).alias(f"__c_{m}"),
-                F.max(F.col(m)).alias(f"__m_{m}"),
-            ]
-        return work.groupBy(KEY, DATE).agg(*aggs)
+        raw = _partials(work, ["municipio_raw"], metrics)
+        named = non_empty_key(raw.withColumns(entity_columns(F.col("municipio_raw"))), KEY)
+        return _recombine(named, [KEY], metrics, stations=False).withColumn("__st", F.lit(0).cast("long"))
     raise ValueError("readings need station_code_raw (with a station map) or municipio_raw")
 
 
