@@ -285,3 +285,10 @@ def daily_level(
         F.col("__st").alias("river_level_station_count_24h"),
     )
     return out.withColumn("river_level_delta_24h", lag_delta("river_level_mean_24h"))
+
+
+def readings_to_entity(readings: DataFrame, smap: DataFrame, code_col: str = "station_code_raw") -> DataFrame:
+    """JOIN1 at row level: each reading with its cleaned station code and the
+    entity key(s) of that station (left join; unmatched rows keep a null key)."""
+    code_type = readings.schema[code_col].dataType
+    return readings.withColumn(STATION, clean_code(F.col(code_col), code_type)).join(smap, STATION, "left")

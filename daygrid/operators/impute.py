@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..schema import CALENDAR_COLUMNS, KEY, NON_FEATURES, TARGET
+from ..session import cut_lineage
 from .stats import exact_medians
 
 
@@ -27,6 +28,7 @@ def impute_three_level(
     key: str = KEY,
     flags: bool = True,
     never_null: Sequence[str] = CALENDAR_COLUMNS,
+    materialize: bool = True,
 ) -> DataFrame:
     """IMP1 + IMP2: flag, then fill by entity median, then by the column median
     after that fill, then by 0.0.
@@ -47,6 +49,10 @@ def impute_three_level(
     stepped = out.join(group_med, key, "left").withColumns(
         {c: F.coalesce(F.col(c).cast("double"), F.col(f"__g_{c}")) for c in fill}
     ).drop(*[f"__g_{c}" for c in fill])
+    # The filled panel feeds the median passes and the result: materialize it
+    # once in the shared checkpoint folder instead of recomputing the build.
+    if materialize:
+        stepped = cut_lineage(stepped)
     med = exact_medians(stepped, fill)
     return stepped.withColumns(
         {c: F.coalesce(F.col(c), F.lit(med[c]).cast("double"), F.lit(0.0)) for c in fill}

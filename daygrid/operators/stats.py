@@ -51,12 +51,21 @@ def exact_medians(
     if not cols:
         return result
     values = _long(df, cols)
-    counts = {r["c"]: r["n"] for r in values.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    first = {
+        r["c"]: r
+        for r in values.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("v").alias("nd")).collect()
+    }
+    counts = {c: r["n"] for c, r in first.items()}
     state = {
         c: {"lo": None, "hi": None, "below": 0, "k1": (counts.get(c, 0) - 1) // 2, "k2": counts.get(c, 0) // 2}
         for c in cols
     }
     active = [c for c in cols if counts.get(c, 0) > 0]
+    # Columns with few distinct values are resolved directly, without bracketing.
+    direct = [c for c in active if first[c]["nd"] <= max_candidates]
+    if direct:
+        _resolve(values.filter(F.col("c").isin(direct)), direct, state, result)
+    active = [c for c in active if c not in direct]
     for round_no in range(max_rounds + 1):
         if not active:
             break
