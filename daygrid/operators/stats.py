@@ -1,17 +1,23 @@
-"""Exact global medians that never gather a whole column in one task.
+"""Exact quantiles and ordered prefix sums that never gather a whole column
+(or a whole ordering) in one task.
 
-``median`` as an aggregate merges one value map per group in a single task:
-fine per entity (a group holds at most one row per day) but not for a global
-median over a panel of billions of rows. ``exact_medians`` instead
+``percentile``/``median`` as an aggregate merges one value map per group in a
+single task: fine per entity (a group holds at most one row per day) but not
+for a global quantile over billions of rows. ``exact_quantiles`` instead
 
-1. brackets the wanted ranks with ``percentile_approx`` on a fixed quantile grid,
-2. checks each fence with exact counts (a fence that fails is not moved), and
-3. once the bracket holds at most ``max_candidates`` distinct values, counts
-   values per distinct value (duplicates collapse map-side) and reads the two
-   middle ranks from a running sum over that bounded set.
+1. brackets each wanted rank with ``percentile_approx`` on a fixed quantile grid,
+2. checks every fence with exact counts (a fence that fails is not moved), and
+3. once a bracket holds at most ``max_candidates`` distinct values, counts rows
+   per distinct value (duplicates collapse map-side) and reads the ranks from a
+   running sum over that bounded set.
 
-Only per-column scalars reach the driver. Result = interpolated median, nulls
-and NaN ignored (pandas / SQL ``median`` semantics).
+Only per-target scalars reach the driver. Quantiles interpolate linearly
+between order statistics (numpy / pandas / SQL ``quantile_cont``), nulls and
+NaN ignored.
+
+``prefix_sums`` gives running totals along a global order without a global
+window: rows are range-partitioned by the order, per-partition totals become
+offsets (one row per partition), and running sums are taken within partitions.
 """
 
 from __future__ import annotations
@@ -30,24 +36,31 @@ def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.inline(packed)).filter(F.col("v").isNotNull() & ~F.isnan(F.col("v")))
 
 
-def _between(state: dict, cols: Sequence[str]):
-    cond = None
-    for c in cols:
-        lo, hi = state[c]["lo"], state[c]["hi"]
-        term = F.col("c") == c
-        if lo is not None:
-            term = term & (F.col("v") > lo)
-        if hi is not None:
-            term = term & (F.col("v") < hi)
-        cond = term if cond is None else cond | term
-    return cond
+def _tagged(values: DataFrame, state: dict, targets: Sequence[str]) -> DataFrame:
+    """One row per (target, value) for values inside the target's bracket."""
+    tags = []
+    for t in targets:
+        s = state[t]
+        cond = F.col("c") == s["col"]
+        if s["lo"] is not None:
+            cond = cond & (F.col("v") > s["lo"])
+        if s["hi"] is not None:
+            cond = cond & (F.col("v") < s["hi"])
+        tags.append(F.when(cond, F.lit(t)))
+    return values.select(F.explode(F.array(*tags)).alias("t"), "v").filter(F.col("t").isNotNull())
 
 
-def exact_medians(
-    df: DataFrame, cols: Sequence[str], accuracy: int = 10_000, max_candidates: int = 2_000_000, max_rounds: int = 6
-) -> dict[str, float | None]:
+def exact_quantiles(
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Sequence[float] = (0.5,),
+    accuracy: int = 10_000,
+    max_candidates: int = 2_000_000,
+    max_rounds: int = 6,
+) -> dict[tuple[str, float], float | None]:
+    """Exact linear-interpolated quantiles ``{(col, p): value}``."""
     cols = list(dict.fromkeys(cols))
-    result: dict[str, float | None] = {c: None for c in cols}
+    result: dict[tuple[str, float], float | None] = {(c, p): None for c in cols for p in probs}
     if not cols:
         return result
     values = _long(df, cols)
@@ -55,24 +68,28 @@ def exact_medians(
         r["c"]: r
         for r in values.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("v").alias("nd")).collect()
     }
-    counts = {c: r["n"] for c, r in first.items()}
-    state = {
-        c: {"lo": None, "hi": None, "below": 0, "k1": (counts.get(c, 0) - 1) // 2, "k2": counts.get(c, 0) // 2}
-        for c in cols
-    }
-    active = [c for c in cols if counts.get(c, 0) > 0]
-    # Columns with few distinct values are resolved directly, without bracketing.
-    direct = [c for c in active if first[c]["nd"] <= max_candidates]
+    # A target is one order statistic of one column; a quantile needs two.
+    state: dict[str, dict] = {}
+    for c in cols:
+        n = first[c]["n"] if c in first else 0
+        if n == 0:
+            continue
+        for p in probs:
+            h = (n - 1) * p
+            for k in sorted({math.floor(h), math.ceil(h)}):
+                state.setdefault(f"{c}#{k}", {"col": c, "k": k, "lo": None, "hi": None, "below": 0, "value": None})
+    active = list(state)
+    direct = [t for t in active if first[state[t]["col"]]["nd"] <= max_candidates]
     if direct:
-        _resolve(values.filter(F.col("c").isin(direct)), direct, state, result)
-    active = [c for c in active if c not in direct]
+        _resolve(_tagged(values, state, direct), direct, state)
+    active = [t for t in active if t not in direct]
     for round_no in range(max_rounds + 1):
         if not active:
             break
-        cands = values.filter(_between(state, active))
+        cands = _tagged(values, state, active)
         stats = {
-            r["c"]: r
-            for r in cands.groupBy("c")
+            r["t"]: r
+            for r in cands.groupBy("t")
             .agg(
                 F.count(F.lit(1)).alias("n"),
                 F.approx_count_distinct("v").alias("nd"),
@@ -80,60 +97,94 @@ def exact_medians(
             )
             .collect()
         }
-        small = [c for c in active if stats[c]["nd"] <= max_candidates or round_no == max_rounds]
+        small = [t for t in active if stats[t]["nd"] <= max_candidates or round_no == max_rounds]
         if small:
-            _resolve(cands.filter(F.col("c").isin(small)), small, state, result)
-        active = [c for c in active if c not in small]
+            _resolve(cands.filter(F.col("t").isin(small)), small, state)
+        active = [t for t in active if t not in small]
         if not active:
             break
         fences = {}
-        for c in active:
-            n_in, grid = stats[c]["n"], stats[c]["grid"]
-            r1, r2 = state[c]["k1"] - state[c]["below"], state[c]["k2"] - state[c]["below"]
+        for t in active:
+            n_in, grid = stats[t]["n"], stats[t]["grid"]
+            r = state[t]["k"] - state[t]["below"]
             slack = 2.0 / accuracy
-            i_lo = max(0, math.floor((r1 / n_in - slack) * 1000))
-            i_hi = min(1000, math.ceil(((r2 + 1) / n_in + slack) * 1000))
-            fences[c] = (grid[i_lo], grid[i_hi])
-        checks = (
-            cands.filter(F.col("c").isin(active))
-            .groupBy("c")
-            .agg(
-                *[F.count(F.when((F.col("c") == c) & (F.col("v") < fences[c][0]), 1)).alias(f"lt{i}") for i, c in enumerate(active)],
-                *[F.count(F.when((F.col("c") == c) & (F.col("v") > fences[c][1]), 1)).alias(f"gt{i}") for i, c in enumerate(active)],
-            )
-            .collect()
-        )
-        for r in checks:
-            c = r["c"]
-            i = active.index(c)
-            n_in = stats[c]["n"]
-            r1, r2 = state[c]["k1"] - state[c]["below"], state[c]["k2"] - state[c]["below"]
-            lt, gt = r[f"lt{i}"], r[f"gt{i}"]
-            if lt <= r1:  # all values below the fence rank before k1: drop them
-                state[c]["below"] += lt
-                state[c]["lo"] = math.nextafter(fences[c][0], -math.inf)
-            if n_in - gt > r2:  # all values above the fence rank after k2
-                state[c]["hi"] = math.nextafter(fences[c][1], math.inf)
+            i_lo = max(0, math.floor((r / n_in - slack) * 1000))
+            i_hi = min(1000, math.ceil(((r + 1) / n_in + slack) * 1000))
+            fences[t] = (grid[i_lo], grid[i_hi])
+        aggs = []
+        for i, t in enumerate(active):
+            mine = F.col("t") == t
+            aggs += [
+                F.count(F.when(mine & (F.col("v") < fences[t][0]), 1)).alias(f"lt{i}"),
+                F.count(F.when(mine & (F.col("v") > fences[t][1]), 1)).alias(f"gt{i}"),
+            ]
+        row = cands.filter(F.col("t").isin(active)).agg(*aggs).collect()[0]
+        for i, t in enumerate(active):
+            n_in = stats[t]["n"]
+            r = state[t]["k"] - state[t]["below"]
+            lt, gt = row[f"lt{i}"], row[f"gt{i}"]
+            if lt <= r:  # every value below the fence ranks before k: drop them
+                state[t]["below"] += lt
+                state[t]["lo"] = math.nextafter(fences[t][0], -math.inf)
+            if n_in - gt > r:  # every value above the fence ranks after k
+                state[t]["hi"] = math.nextafter(fences[t][1], math.inf)
+    for c in cols:
+        n = first[c]["n"] if c in first else 0
+        if n == 0:
+            continue
+        for p in probs:
+            h = (n - 1) * p
+            lo_k, hi_k = math.floor(h), math.ceil(h)
+            a, b = state[f"{c}#{lo_k}"]["value"], state[f"{c}#{hi_k}"]["value"]
+            if a is None or b is None:
+                continue
+            result[(c, p)] = a + (h - lo_k) * (b - a)
     return result
 
 
-def _resolve(cands: DataFrame, cols: Sequence[str], state: dict, result: dict) -> None:
-    counted = cands.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("c").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def exact_medians(df: DataFrame, cols: Sequence[str], **kw) -> dict[str, float | None]:
+    """Interpolated median of each column (pandas / SQL ``median``)."""
+    q = exact_quantiles(df, cols, (0.5,), **kw)
+    return {c: q[(c, 0.5)] for c in cols}
+
+
+def _resolve(cands: DataFrame, targets: Sequence[str], state: dict) -> None:
+    counted = cands.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = counted.withColumn("hi", F.sum("n").over(w)).withColumn("lo", F.col("hi") - F.col("n"))
     cond = None
-    for c in cols:
-        r1, r2 = state[c]["k1"] - state[c]["below"], state[c]["k2"] - state[c]["below"]
-        term = (F.col("c") == c) & (
-            ((F.col("lo") <= r1) & (F.col("hi") > r1)) | ((F.col("lo") <= r2) & (F.col("hi") > r2))
-        )
+    for t in targets:
+        r = state[t]["k"] - state[t]["below"]
+        term = (F.col("t") == t) & (F.col("lo") <= r) & (F.col("hi") > r)
         cond = term if cond is None else cond | term
-    picked: dict[str, list] = {}
-    for r in cum.filter(cond).select("c", "v", "lo", "hi").collect():
-        picked.setdefault(r["c"], []).append((r["v"], r["lo"], r["hi"]))
-    for c in cols:
-        r1, r2 = state[c]["k1"] - state[c]["below"], state[c]["k2"] - state[c]["below"]
-        rows = picked.get(c, [])
-        v1 = next((v for v, lo, hi in rows if lo <= r1 < hi), None)
-        v2 = next((v for v, lo, hi in rows if lo <= r2 < hi), None)
-        result[c] = None if v1 is None or v2 is None else (v1 + v2) / 2.0
+    for row in cum.filter(cond).select("t", "v").collect():
+        state[row["t"]]["value"] = row["v"]
+
+
+# ---------------------------------------------------------------------------
+# Prefix sums along a global order
+# ---------------------------------------------------------------------------
+
+
+def prefix_sums(
+    df: DataFrame, order: Sequence, sums: Sequence[str], ascending: bool = True, partitions: int | None = None
+) -> DataFrame:
+    """Add ``<c>_cum`` (inclusive running sum along ``order``) for each column
+    in ``sums``. ``order`` must be unique per row (e.g. distinct scores).
+
+    Range partitioning keeps each partition a contiguous slice of the order;
+    per-partition totals (one row per partition) give the offsets."""
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(o) if isinstance(o, str) else o for o in order]
+    sort_keys = keys if ascending else [k.desc() for k in keys]
+    ranged = df.repartitionByRange(n_parts, *sort_keys).withColumn("__pid", F.spark_partition_id())
+    totals = ranged.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in sums])
+    wo = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(wo), F.lit(0)).alias(f"__o_{c}") for c in sums])
+    wi = Window.partitionBy("__pid").orderBy(*sort_keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = ranged.withColumns({f"__w_{c}": F.sum(c).over(wi) for c in sums})
+    out = within.join(offsets, "__pid", "left").withColumns(
+        {f"{c}_cum": F.col(f"__w_{c}") + F.col(f"__o_{c}") for c in sums}
+    )
+    return out.drop("__pid", *[f"__w_{c}" for c in sums], *[f"__o_{c}" for c in sums])
