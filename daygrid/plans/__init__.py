@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def load_all() -> None:
     """Import every query module so that its queries register."""
-    from . import panel_ops_queries, panel_queries, profile_queries, scalar_queries  # noqa: F401
+    from . import model_queries, panel_ops_queries, panel_queries, profile_queries, scalar_queries  # noqa: F401
 
 
 def queries():

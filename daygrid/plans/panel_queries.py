@@ -76,7 +76,7 @@ ev AS (
 ),
 daily AS (
   SELECT municipio_key, date, max(flag) AS flood_event_today,
-         sum(flag) AS flood_events_count_today, min(municipio_name) AS municipio_name
+         CAST(sum(flag) AS BIGINT) AS flood_events_count_today, min(municipio_name) AS municipio_name
   FROM ev WHERE municipio_key <> '' GROUP BY municipio_key, date
 ),
 label AS (

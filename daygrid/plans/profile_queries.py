@@ -103,7 +103,7 @@ def duplicate_rows(spark: SparkSession, d: str) -> DataFrame:
     "duplicate_keys",
     f"""
 WITH {CTE_PANEL}, k AS (SELECT municipio_key, date, count(*) AS n FROM panel GROUP BY municipio_key, date)
-SELECT count(*) AS distinct_keys, coalesce(sum(n - 1), 0) AS duplicate_keys FROM k
+SELECT count(*) AS distinct_keys, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_keys FROM k
 """,
 )
 def duplicate_keys(spark: SparkSession, d: str) -> DataFrame:

@@ -279,7 +279,7 @@ def page_files(spark: SparkSession, d: str) -> DataFrame:
         "page_id",
         rel.alias("relative_path"),
         F.regexp_extract(rel, r"([^/]*)$", 1).alias("file_name"),
-        F.octet_length("html").alias("size_bytes"),
+        F.octet_length("html").cast("long").alias("size_bytes"),
     )
 
 

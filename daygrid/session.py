@@ -33,6 +33,12 @@ def get_session(master: str | None = None, app_name: str = "daygrid", **conf: st
     )
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # single JVM: the driver heap is the executors' heap
+            builder = builder.config("spark.driver.memory", os.environ.get("DAYGRID_DRIVER_MEMORY", "16g"))
+    builder = builder.config("spark.sql.ui.retainedExecutions", "50").config(
+        "spark.cleaner.referenceTracking.cleanCheckpoints", "true"
+    )
     for k, v in {**DEFAULTS, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
