@@ -13,7 +13,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegralType, StringType
 
 from ..functions.dates import day_floor, lenient_timestamp
 from ..functions.text import clean_code, contains_any, decimal_comma_double, entity_columns, normalize_text
@@ -176,15 +176,21 @@ def _entity_day(
 ) -> DataFrame:
     """Per (entity, day): __n rows, __st stations, and per metric sum/count/max.
 
-    Raw rows are reduced per (raw station code, day) first; codes are cleaned
-    on that reduced table and re-reduced per (clean code, day), so a station
-    contributes one row per day to the join with the station map.
+    Text codes: raw rows are reduced per (raw code, day) first, codes are
+    cleaned on that reduced table and re-reduced per (clean code, day).
+    Integer codes are cleaned by a cast, so rows are reduced per (clean code,
+    day) at once. Either way a station meets the station map as one row per day.
     """
     if smap is not None and _has(work, "station_code_raw"):
-        raw = _partials(work, ["station_code_raw"], metrics)
         code_type = work.schema["station_code_raw"].dataType
-        cleaned = raw.withColumn(STATION, clean_code(F.col("station_code_raw"), code_type))
-        per_station = _recombine(cleaned, [STATION], metrics, stations=False)
+        if isinstance(code_type, IntegralType):
+            # cleaning an integer code is a cast: group by the clean code directly
+            coded = work.withColumn(STATION, clean_code(F.col("station_code_raw"), code_type))
+            per_station = _partials(coded, [STATION], metrics)
+        else:
+            raw = _partials(work, ["station_code_raw"], metrics)
+            cleaned = raw.withColumn(STATION, clean_code(F.col("station_code_raw"), code_type))
+            per_station = _recombine(cleaned, [STATION], metrics, stations=False)
         # JOIN1: inner is the left join followed by dropping null keys;
         # (station, key) is unique in the map, so each row is one station.
         mapped = per_station.join(smap, STATION, "inner")

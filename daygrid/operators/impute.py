@@ -41,6 +41,10 @@ def impute_three_level(
     if cols is None:
         cols = numeric_columns(df)
     cols = list(cols)
+    # The panel feeds the entity medians, the join back, two median passes and
+    # the result: write it once to the shared checkpoint folder.
+    if materialize:
+        df = cut_lineage(df)
     out = missing_flags(df, cols) if flags else df
     fill = [c for c in cols if c not in never_null]
     if not fill:
@@ -49,10 +53,6 @@ def impute_three_level(
     stepped = out.join(group_med, key, "left").withColumns(
         {c: F.coalesce(F.col(c).cast("double"), F.col(f"__g_{c}")) for c in fill}
     ).drop(*[f"__g_{c}" for c in fill])
-    # The filled panel feeds the median passes and the result: materialize it
-    # once in the shared checkpoint folder instead of recomputing the build.
-    if materialize:
-        stepped = cut_lineage(stepped)
     med = exact_medians(stepped, fill)
     return stepped.withColumns(
         {c: F.coalesce(F.col(c), F.lit(med[c]).cast("double"), F.lit(0.0)) for c in fill}

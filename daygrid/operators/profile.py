@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import DATE, KEY, NAME, TARGET
+from ..session import cut_lineage
 from .stats import exact_quantiles
 
 
@@ -187,9 +188,12 @@ def top_entities(df: DataFrame, n: int = 20, name: str = NAME) -> DataFrame:
     )
 
 
-def box_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def box_stats(df: DataFrame, cols: Sequence[str], materialize: bool = True) -> DataFrame:
     """QLT11: quartiles (exact, distributed), 1.5 IQR whiskers at the farthest
-    inside value, and the number of outliers per column."""
+    inside value, and the number of outliers per column. The input is read
+    three times, so it is written once to the checkpoint folder first."""
+    if materialize:
+        df = cut_lineage(df)
     q = exact_quantiles(df, cols, (0.25, 0.5, 0.75))
     aggs = []
     for c in cols:
