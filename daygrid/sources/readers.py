@@ -35,12 +35,12 @@ def sniff(spark: SparkSession, path: str, sample_bytes: int = 4096) -> tuple[str
     """SRC4 + SRC5 probes for one CSV/TXT file: (delimiter, encoding).
 
     The delimiter comes from the first ``sample_bytes`` bytes; the encoding is
-    UTF-8 unless a replacement character shows up anywhere in the file (a
+    UTF-8 unless some line is not valid UTF-8 anywhere in the file (a
     filter + limit(1) job over the whole file, no data kept)."""
     lines = spark.read.text(path)
     head = lines.limit(200).agg(F.concat_ws("\n", F.collect_list("value")).alias("t"))
     delim = head.select(detect_delimiter(F.encode("t", "UTF-8"), sample_bytes).alias("d")).first()["d"]
-    bad = lines.filter(F.col("value").contains("�")).limit(1).count() > 0
+    bad = lines.filter(~F.is_valid_utf8(F.col("value"))).limit(1).count() > 0
     return delim, ("ISO-8859-1" if bad else "UTF-8")
 
 
