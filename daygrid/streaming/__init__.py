@@ -1 +1 @@
-"""daygrid.streaming"""
+"""Structured Streaming form of the chunked reading ingest (see ``daily``)."""
