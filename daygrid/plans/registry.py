@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from ..session import configure
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Builder] = {}
@@ -34,6 +36,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)
             return rounded(fn(spark, sf_dir))
 
         run.__name__ = fn.__name__

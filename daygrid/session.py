@@ -24,6 +24,14 @@ DEFAULTS = {
 }
 
 
+# Planner settings the library applies to the session it runs on. Constraint
+# propagation re-derives filters from every alias of the (large) cleaning
+# expressions; it changes no result but dominated planning time of the panel.
+PLANNER = {
+    "spark.sql.constraintPropagation.enabled": "false",
+}
+
+
 def get_session(master: str | None = None, app_name: str = "daygrid", **conf: str) -> SparkSession:
     """Get or create a session; ``master``/``conf`` are for local runs and tests."""
     builder = (
@@ -39,7 +47,7 @@ def get_session(master: str | None = None, app_name: str = "daygrid", **conf: st
     builder = builder.config("spark.sql.ui.retainedExecutions", "50").config(
         "spark.cleaner.referenceTracking.cleanCheckpoints", "true"
     )
-    for k, v in {**DEFAULTS, **conf}.items():
+    for k, v in {**DEFAULTS, **PLANNER, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     configure(spark)
@@ -58,6 +66,8 @@ def configure(spark: SparkSession) -> SparkSession:
                 spark.conf.set(k, v)
             except Exception:  # pragma: no cover - static confs
                 pass
+    for k, v in PLANNER.items():
+        spark.conf.set(k, v)
     checkpoint_dir(spark)
     return spark
 
