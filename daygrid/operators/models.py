@@ -12,6 +12,7 @@ from typing import Sequence
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,10 +53,16 @@ def fit_mlp(
     """MOD2: feed-forward network d-64-32-2 (Spark's sigmoid hidden layers,
     softmax output, L-BFGS)."""
     data = cut_lineage(assemble(train, features).select("features", F.col(label).cast("double").alias("label")))
+    # every L-BFGS iteration is a pass over the rows: keep them in memory
+    # (spilling to disk); the checkpoint underneath survives executor loss
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     mlp = MultilayerPerceptronClassifier(
         featuresCol="features", labelCol="label", layers=[len(features), *hidden, 2], maxIter=max_iter, seed=seed, solver="l-bfgs"
     )
-    return mlp.fit(data)
+    try:
+        return mlp.fit(data)
+    finally:
+        data.unpersist()
 
 
 def score(model, df: DataFrame, features: Sequence[str], prob_col: str = "p", pred_col: str = "pred", threshold: float = 0.5) -> DataFrame:

@@ -556,7 +556,7 @@ def prepared(spark: SparkSession, d: str):
     and scaling (the reference's training preparation)."""
     panel = cut_lineage(impute_three_level(full_panel(spark, d)))
     feats = FE.usable_features(panel)
-    sp = _temporal_split(panel)
+    sp = cut_lineage(_temporal_split(panel))  # read by every fitting pass
     train = sp.filter(F.col("split") == "train")
     med = FE.train_medians(train, feats)
     feats = [c for c in feats if med.get(c) is not None]

@@ -706,3 +706,23 @@ def file_listing(spark: SparkSession, d: str) -> DataFrame:
     modification time; file content pruned from the scan). Paths differ by
     machine, so the check is on rows only."""
     return SF.list_files(spark, d, suffixes=(".parquet",)).select("relative_path", "file_name", "size_bytes")
+
+
+@query(
+    "error_sample",
+    f"""
+WITH {_SQL_PAGE_FILES},
+e AS (SELECT relative_path, 'no file name in path' AS scan_error FROM pf WHERE file_name = ''),
+firsts AS (SELECT * FROM e ORDER BY relative_path, scan_error LIMIT 1000)
+SELECT (SELECT count(*) FROM e) AS n_errors,
+       (SELECT string_agg(relative_path || ': ' || scan_error, ' | ' ORDER BY relative_path, scan_error) FROM firsts) AS scan_errors
+""",
+)
+def error_sample(spark: SparkSession, d: str) -> DataFrame:
+    """AGG11: number of scan errors and the first 1000 (by path); a page path
+    without a file name stands for a file that could not be inspected."""
+    files = page_files(spark, d).withColumn(
+        "scan_error", F.when(F.col("file_name") == "", F.lit("no file name in path"))
+    )
+    out = INV.error_sample(files, 1000)
+    return out.select("n_errors", F.array_join("scan_errors", " | ").alias("scan_errors"))
