@@ -83,7 +83,7 @@ def normalize_text(c: ColumnOrName, trim: bool = True) -> Column:
 def normalize_key(c: ColumnOrName) -> Column:
     """STR2: normalized text, runs of non ``[a-z0-9]`` -> '_', '_' trimmed."""
     out = F.regexp_replace(normalize_text(c), "[^a-z0-9]+", "_")
-    return F.regexp_replace(out, "^_+|_+$", "")
+    return F.btrim(out, F.lit("_"))
 
 
 def clean_code(c: ColumnOrName, data_type=None) -> Column:

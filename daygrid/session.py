@@ -18,7 +18,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # AQE measures the materialized shuffle output before choosing a broadcast
-    # join; this is the only size-checked broadcast path the library uses.
+    # join; this is the only broadcast path the library uses (see PLANNER).
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -29,6 +29,10 @@ DEFAULTS = {
 # expressions; it changes no result but dominated planning time of the panel.
 PLANNER = {
     "spark.sql.constraintPropagation.enabled": "false",
+    # No broadcast from file-size estimates: a side is broadcast only after AQE
+    # has measured its shuffle output (adaptive.autoBroadcastJoinThreshold),
+    # otherwise the join stays sort-merge (with skew splitting).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
 }
 
 
@@ -86,6 +90,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (lineage cuts are written there)")
         configured = tempfile.mkdtemp(prefix="daygrid-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
