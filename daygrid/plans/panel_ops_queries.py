@@ -14,7 +14,7 @@ from ..operators.windows import rolling_sum
 from ..schema import CALENDAR_COLUMNS, DATE, KEY, NAME, TARGET
 from ..sources import canonical as C
 from . import analogues as S
-from .panel_queries import CTE_CAT, CTE_ENTITIES, CTE_EVENTS, CTE_RAIN, RAIN_COLS, cte_grid
+from .panel_queries import CTE_CAT, CTE_ENTITIES, CTE_EVENTS, CTE_RAIN, cte_grid
 from .registry import query, sql_calendar, sql_clean_code, sql_norm_key, sql_strip
 
 # ---------------------------------------------------------------------------

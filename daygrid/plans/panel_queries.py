@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
-from ..operators.grid import calendar_grid, date_bounds, entity_reference
+from ..operators.grid import date_bounds, entity_reference
 from ..operators.panel import assemble
-from ..schema import DATE, KEY, NAME
+from ..schema import KEY, NAME
 from . import analogues as S
 from .registry import query, sql_calendar, sql_clean_code, sql_norm_key, sql_norm_text, sql_strip
 

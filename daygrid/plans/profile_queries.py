@@ -6,7 +6,6 @@ from __future__ import annotations
 from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import profile as P
 from ..operators.panel import sort_panel

@@ -50,3 +50,19 @@ def test_query_matches_oracle(spark, sf, name):
     exp = sorted("|".join(_norm(r[names.index(c)]) for c in sorted(cols)) for r in cur.fetchall())
     assert sorted(names) == sorted(cols)
     assert got == exp
+
+
+def test_flagship_invariants(spark, sf):
+    """SURVEY §5 invariants: rows = entities x days, unique keys, a flag per feature."""
+    from daygrid.operators.impute import feature_columns, impute_three_level
+    from daygrid.operators.profile import duplicate_keys
+    from daygrid.plans.panel_ops_queries import full_panel
+
+    panel = impute_three_level(full_panel(spark, sf))
+    row = panel.selectExpr("count(*) AS n", "count(DISTINCT municipio_key) AS k", "min(date) AS lo", "max(date) AS hi").first()
+    assert row["n"] == row["k"] * ((row["hi"] - row["lo"]).days + 1)
+    assert duplicate_keys(panel).first()["duplicate_keys"] == 0
+    feats = feature_columns(panel)
+    flags = [c for c in feats if c.endswith("_missing")]
+    assert len(feats) == 2 * len(flags) and all(f"{c}_missing" in flags for c in feats if c not in flags)
+    assert panel.filter("flood_next_24h NOT IN (0, 1)").count() == 0
