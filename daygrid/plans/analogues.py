@@ -22,8 +22,22 @@ from pyspark.sql import functions as F
 URGENT = ("urgent",)
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; within one query build a table read twice is the same
+    DataFrame (one file listing and footer read)."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
+
+
+def forget_reads() -> None:
+    """Start a new query build (called by the registry for every query)."""
+    _READS.clear()
 
 
 def catalogue(spark: SparkSession, d: str) -> DataFrame:

@@ -36,7 +36,10 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from .analogues import forget_reads
+
             configure(spark)
+            forget_reads()
             return rounded(fn(spark, sf_dir))
 
         run.__name__ = fn.__name__
