@@ -51,9 +51,11 @@ def prepare_catalogue(cat: DataFrame, region: str | None = None) -> DataFrame:
     Input columns: ``station_code, municipio_raw`` and optionally
     ``departamento_raw, latitud_raw, longitud_raw, altitud_raw``.
     """
-    out = cat.withColumn(STATION, clean_code(F.col(STATION))).withColumns(
-        entity_columns(F.col("municipio_raw"))
-    )
+    # file order of the catalogue rows ("first" name per entity); taken before
+    # any shuffle, so a single file keeps its row order (small dimension only:
+    # the id is nondeterministic for the optimizer and stops pushdown above it)
+    out = cat.withColumn("_row", F.monotonically_increasing_id())
+    out = out.withColumn(STATION, clean_code(F.col(STATION))).withColumns(entity_columns(F.col("municipio_raw")))
     out = non_empty_key(out, KEY)
     if region and _has(out, "departamento_raw"):
         out = keep_matching_or_all(out, normalize_text(F.col("departamento_raw")).contains(region))
@@ -78,7 +80,10 @@ def station_map(catalogue_rows: DataFrame) -> DataFrame:
 
 
 def static_attributes(catalogue_rows: DataFrame, order: Column | None = None) -> DataFrame:
-    """AGG1: distinct stations, first name, mean coordinates per entity."""
+    """AGG1: distinct stations, first name (file order when known), mean
+    coordinates per entity."""
+    if order is None and _has(catalogue_rows, "_row"):
+        order = F.col("_row")
     aggs = [
         F.count_distinct(F.col(STATION)).alias("stations_in_municipio"),
         _first_name(NAME, order).alias(NAME),

@@ -153,3 +153,20 @@ def test_three_level_imputation_matches_pandas(spark):
     exp = exp.sort_values(["municipio_key", "date"]).reset_index(drop=True)
     for c in ["x", "y", "x_missing", "y_missing"]:
         assert np.allclose(got[c].astype(float), exp[c].astype(float)), c
+
+
+def test_static_join_name_sensitive_option(spark, sources):
+    """T2: joining static attributes on (key, name) loses them when the
+    event-log spelling differs from the catalogue's first spelling."""
+    cat, log, rain = sources
+    weather = spark.createDataFrame([("2024-01-03 00:00", "0021", "20")], "time_raw string, station_code_raw string, temp_raw string")
+    by_key = build_panel(cat, log, weather, rain, None, PanelOptions(region="antioquia", impute=False))
+    by_name = build_panel(cat, log, weather, rain, None, PanelOptions(region="antioquia", impute=False, static_on=("municipio_key", "municipio_name")))
+    k = {r["municipio_key"]: r["stations_in_municipio"] for r in by_key.collect()}
+    n = {r["municipio_key"]: r["stations_in_municipio"] for r in by_name.collect()}
+    # the catalogue's first row spells 'Medellín' like the event log: both joins match
+    assert k["medellin"] == n["medellin"] == 1 and k["bello"] == n["bello"] == 1
+    flipped = cat.orderBy(F.col("municipio_raw").asc_nulls_last()).coalesce(1)  # "Medellin" row first
+    by_name2 = build_panel(flipped, log, weather, rain, None, PanelOptions(region="antioquia", impute=False, static_on=("municipio_key", "municipio_name")))
+    n2 = {r["municipio_key"]: r["stations_in_municipio"] for r in by_name2.collect()}
+    assert n2["medellin"] is None and n2["bello"] == 1  # spelling differs: static features lost (T2)
