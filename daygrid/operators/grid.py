@@ -16,18 +16,20 @@ from .filters import _as_date
 def entity_reference(*sources: DataFrame) -> DataFrame:
     """SET1/SET4: one display name per entity key.
 
-    ``sources`` are (key, name[, date]) frames in priority order; the name of
-    the highest-priority source wins, within a source the earliest date, then
-    the smallest name. One small aggregate over entities, no window.
+    ``sources`` are (key, name[, date][, _row]) frames in priority order; the
+    name of the highest-priority source wins, within a source the earliest
+    date, then the first row (file order), then the smallest name. One small
+    aggregate over entities, no window.
     """
     parts = []
     for prio, src in enumerate(sources):
         order_date = F.col(DATE) if DATE in src.columns else F.lit(None).cast("date")
+        order_row = F.col("_row") if "_row" in src.columns else F.lit(None).cast("long")
         parts.append(
             src.select(
                 F.col(KEY),
                 F.col(NAME),
-                F.struct(F.lit(prio).alias("p"), order_date.alias("d"), F.col(NAME).alias("n")).alias("__o"),
+                F.struct(F.lit(prio).alias("p"), order_date.alias("d"), order_row.alias("r"), F.col(NAME).alias("n")).alias("__o"),
             )
         )
     union = reduce(lambda a, b: a.unionByName(b), parts)

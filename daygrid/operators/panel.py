@@ -10,7 +10,7 @@ the block.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -33,7 +33,6 @@ class PanelOptions:
     frame: str = "rows"  # rolling sums over rows present (reference) or calendar days
     impute: bool = True
     calendar: bool = True
-    extra: dict = field(default_factory=dict)
 
 
 def attach(panel: DataFrame, block: DataFrame | None, on: Sequence[str] = (KEY, DATE)) -> DataFrame:
@@ -100,7 +99,7 @@ def build_panel(
         blocks.append(A.daily_rain(rain, smap, o.start, o.end, frame=o.frame))
     if level is not None:
         blocks.append(A.daily_level(level, smap, o.start, o.end))
-    entities = entity_reference(A.label_names(daily), cat.select(KEY, NAME))
+    entities = entity_reference(A.label_names(daily), cat.select(KEY, NAME, "_row"))
     bounds = date_bounds([label, *blocks], o.start, o.end)
     panel = assemble(entities, static, bounds, blocks, label, o.static_on, calendar=o.calendar)
     if o.impute:

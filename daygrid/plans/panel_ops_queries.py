@@ -93,7 +93,7 @@ def full_panel(spark: SparkSession, d: str) -> DataFrame:
     weather = A.daily_weather(S.weather_readings(spark, d), smap)
     rain = A.daily_rain(S.rain_readings(spark, d), smap)
     level = A.daily_level(S.level_readings(spark, d), smap)
-    entities = entity_reference(A.label_names(daily), cat.select(KEY, NAME))
+    entities = entity_reference(A.label_names(daily), cat.select(KEY, NAME, "_row"))
     bounds = date_bounds([label, weather, rain, level])
     return assemble(entities, A.static_attributes(cat), bounds, [weather, rain, level], label)
 
@@ -287,7 +287,7 @@ SELECT municipio_key, municipio_name FROM ents
 def entity_reference_union(spark: SparkSession, d: str) -> DataFrame:
     """SET1/SET4: names from the event log first, then the catalogue, one per key."""
     cat, _, daily = _base(spark, d)
-    return entity_reference(A.label_names(daily), cat.select(KEY, NAME))
+    return entity_reference(A.label_names(daily), cat.select(KEY, NAME, "_row"))
 
 
 @query(
@@ -322,7 +322,7 @@ def calendar_grid_q(spark: SparkSession, d: str) -> DataFrame:
     cat, smap, daily = _base(spark, d)
     label = A.next_day_label(daily)
     rain = A.daily_rain(S.rain_readings(spark, d), smap)
-    entities = entity_reference(A.label_names(daily), cat.select(KEY, NAME))
+    entities = entity_reference(A.label_names(daily), cat.select(KEY, NAME, "_row"))
     return calendar_grid(entities, date_bounds([label, rain]))
 
 
@@ -339,7 +339,7 @@ def fill_and_cast(spark: SparkSession, d: str) -> DataFrame:
     cat, smap, daily = _base(spark, d)
     label = A.next_day_label(daily)
     rain = A.daily_rain(S.rain_readings(spark, d), smap)
-    entities = entity_reference(A.label_names(daily), cat.select(KEY, NAME))
+    entities = entity_reference(A.label_names(daily), cat.select(KEY, NAME, "_row"))
     grid = calendar_grid(entities, date_bounds([label, rain]))
     return fill_label(grid.join(label, [KEY, DATE], "left")).select(KEY, DATE, TARGET)
 

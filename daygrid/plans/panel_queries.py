@@ -33,7 +33,7 @@ def flagship_panel(spark: SparkSession, d: str) -> DataFrame:
     daily = _daily_events(spark, d)
     label = A.next_day_label(daily)
     rain = A.daily_rain(S.rain_readings(spark, d), smap)
-    entities = entity_reference(A.label_names(daily), cat.select(KEY, NAME))
+    entities = entity_reference(A.label_names(daily), cat.select(KEY, NAME, "_row"))
     bounds = date_bounds([label, rain])
     return assemble(entities, static, bounds, [rain], label)
 
