@@ -159,7 +159,7 @@ def _sql_corr() -> str:
         cond = f"{a} IS NOT NULL AND {b} IS NOT NULL"
         r = (
             f"CASE WHEN var_pop({a}) FILTER (WHERE {cond}) > 0 AND var_pop({b}) FILTER (WHERE {cond}) > 0 "
-            f"THEN round(corr({a}, {b}) FILTER (WHERE {cond}), 6) END"
+            f"THEN round(corr({a}, {b}) FILTER (WHERE {cond}), 6) + 0.0 END"
         )
         parts.append(f"SELECT '{a}' AS a, '{b}' AS b, {r} AS corr FROM panel")
         parts.append(f"SELECT '{b}' AS a, '{a}' AS b, {r} AS corr FROM panel")
