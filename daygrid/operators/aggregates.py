@@ -19,6 +19,7 @@ from ..functions.dates import day_floor, lenient_timestamp
 from ..functions.text import clean_code, contains_any, decimal_comma_double, entity_columns, normalize_text
 from ..schema import DATE, FLOOD_EVENT_KEYWORDS, KEY, NAME, STATION
 from .filters import clip_dates, keep_matching_or_all, negative_to_null, non_empty_key
+from .joins import join_small
 from .windows import lag_delta, rolling_sum, shift_days
 
 
@@ -198,7 +199,7 @@ def _entity_day(
             per_station = _recombine(cleaned, [STATION], metrics, stations=False)
         # JOIN1: inner is the left join followed by dropping null keys;
         # (station, key) is unique in the map, so each row is one station.
-        mapped = per_station.join(smap, STATION, "inner")
+        mapped = join_small(per_station, smap, STATION, "inner")
         return _recombine(mapped, [KEY], metrics, stations=True)
     if _has(work, "municipio_raw"):
         # JOIN2: no station column, entity from the reading's own name;
@@ -302,4 +303,4 @@ def readings_to_entity(readings: DataFrame, smap: DataFrame, code_col: str = "st
     """JOIN1 at row level: each reading with its cleaned station code and the
     entity key(s) of that station (left join; unmatched rows keep a null key)."""
     code_type = readings.schema[code_col].dataType
-    return readings.withColumn(STATION, clean_code(F.col(code_col), code_type)).join(smap, STATION, "left")
+    return join_small(readings.withColumn(STATION, clean_code(F.col(code_col), code_type)), smap, STATION, "left")

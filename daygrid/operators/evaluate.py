@@ -12,6 +12,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_small
+
 # Decision threshold grid of the reference sweep (37 points).
 SWEEP = [round(0.05 + i * 0.025, 10) for i in range(37)]
 
@@ -87,7 +89,7 @@ def _grouped_prefix(df: DataFrame, by: Sequence[str], order: Column, sums: Seque
     offsets = totals.select("__pid", *by, *[F.coalesce(F.sum(f"__t_{c}").over(wo), F.lit(0)).alias(f"__o_{c}") for c in sums])
     wi = Window.partitionBy("__pid", *by).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     within = ranged.withColumns({f"__w_{c}": F.sum(c).over(wi) for c in sums})
-    out = within.join(offsets, ["__pid", *by], "left").withColumns({f"{c}_cum": F.col(f"__w_{c}") + F.col(f"__o_{c}") for c in sums})
+    out = join_small(within, offsets, ["__pid", *by], "left").withColumns({f"{c}_cum": F.col(f"__w_{c}") + F.col(f"__o_{c}") for c in sums})
     return out.drop("__pid", *[f"__w_{c}" for c in sums], *[f"__o_{c}" for c in sums])
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..schema import NON_FEATURES, TARGET
+from .joins import join_bounded
 from .stats import exact_medians
 
 
@@ -109,7 +110,7 @@ def dense_index(df: DataFrame, col: str = "__idx") -> DataFrame:
         "__pid",
         F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
     )
-    return tagged.join(offsets, "__pid").withColumn(col, F.col("__off") + pos).drop("__pid", "__mid", "__off")
+    return join_bounded(tagged, offsets, "__pid").withColumn(col, F.col("__off") + pos).drop("__pid", "__mid", "__off")
 
 
 def oversample_minority(train: DataFrame, label: str = TARGET, seed: int = 42) -> tuple[DataFrame, dict]:

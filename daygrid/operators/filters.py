@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_text
+from .joins import join_small
 
 
 def _as_date(v):
@@ -45,12 +46,12 @@ def keep_matching_or_all(df: DataFrame, match: Column, by: Sequence[str] | None
             F.coalesce(F.col("m"), F.lit(0)) == 1
         )
         return marked.filter(F.col(flag) | ~any_match.scalar()).drop(flag)
-    per_group = marked.groupBy(*by).agg(F.max(F.col(flag)).alias("__any"))
-    return (
-        marked.join(per_group, list(by), "left")
-        .filter(F.col(flag) | ~F.coalesce(F.col("__any"), F.lit(False)))
-        .drop(flag, "__any")
-    )
+    # one entry per group (parts are files: a bounded set) in a scalar map, so
+    # the rows are filtered in place instead of being joined to the flags
+    key = F.struct(*[F.col(b) for b in by]) if len(by) > 1 else F.col(by[0])
+    per_group = marked.groupBy(key.alias("__k")).agg(F.max(F.col(flag)).alias("__any"))
+    flags = per_group.agg(F.map_from_entries(F.collect_list(F.struct("__k", "__any"))).alias("m")).select("m").scalar()
+    return marked.filter(F.col(flag) | ~F.coalesce(F.element_at(flags, key), F.lit(False))).drop(flag)
 
 
 def text_contains_filter(df: DataFrame, col: str, needle_regex: str, by: Sequence[str] | None = None) -> DataFrame:
@@ -75,7 +76,9 @@ def non_empty_key(df: DataFrame, key: str) -> DataFrame:
 
 def in_date_set(df: DataFrame, date_col: str, dates: DataFrame, dates_col: str = "date") -> DataFrame:
     """FLT9: rows whose day is in a set of days (left-semi join)."""
-    return df.join(dates.select(F.col(dates_col).alias("__d")), F.to_date(F.col(date_col)) == F.col("__d"), "left_semi")
+    days = dates.select(F.col(dates_col).alias("__d")).distinct()
+    keyed = df.withColumn("__d", F.to_date(F.col(date_col)))
+    return join_small(keyed, days, "__d", "left_semi").drop("__d")
 
 
 def class_rows(df: DataFrame, label_col: str, k: int) -> DataFrame:

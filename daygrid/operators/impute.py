@@ -10,6 +10,7 @@ from pyspark.sql.types import NumericType
 
 from ..schema import CALENDAR_COLUMNS, KEY, NON_FEATURES, TARGET
 from ..session import cut_lineage
+from .joins import join_small
 from .stats import exact_medians
 
 
@@ -50,7 +51,7 @@ def impute_three_level(
     if not fill:
         return out
     group_med = df.groupBy(key).agg(*[F.median(F.col(c)).alias(f"__g_{c}") for c in fill])
-    stepped = out.join(group_med, key, "left").withColumns(
+    stepped = join_small(out, group_med, key, "left", materialize=materialize).withColumns(
         {c: F.coalesce(F.col(c).cast("double"), F.col(f"__g_{c}")) for c in fill}
     ).drop(*[f"__g_{c}" for c in fill])
     med = exact_medians(stepped, fill)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import files as FF
+from .joins import join_bounded, join_small
 
 INSPECTABLE = ("tabular", "geospatial_vector", "raster", "compressed_archive")
 
@@ -57,7 +58,7 @@ def inspection_quota(inv: DataFrame, max_per_group: int = 5) -> DataFrame:
         .select("relative_path", F.lit(True).alias("inspected"))
     )
     return (
-        inv.join(chosen, "relative_path", "left")
+        join_small(inv, chosen, "relative_path", "left")
         .withColumn("inspected", F.coalesce(F.col("inspected"), F.lit(False)))
         .withColumn("inspect_skipped", inspectable & ~F.col("inspected"))
     )
@@ -132,7 +133,7 @@ def source_rationale(inv: DataFrame) -> DataFrame:
     counts = inv.groupBy("source_group").agg(F.count(F.lit(1)).alias("file_count"))
     # Rules are a fixed 13-row table; the UNKNOWN defaults are literals.
     u = FF.SOURCE_RULES["UNKNOWN"]
-    return counts.join(rules, "source_group", "left").select(
+    return join_bounded(counts, rules, "source_group", "left").select(
         "source_group",
         "file_count",
         F.coalesce(F.col("default_phase"), F.lit(u[0])).alias("default_phase"),

@@ -21,6 +21,7 @@ from ..schema import CALENDAR_COLUMNS, DATE, FLOOD_EVENT_KEYWORDS, KEY, NAME, TA
 from . import aggregates as A
 from .grid import calendar_grid, date_bounds, entity_reference
 from .impute import impute_three_level, numeric_columns
+from .joins import join_small
 
 
 @dataclass(frozen=True)
@@ -66,7 +67,7 @@ def assemble(
     ent = entities
     if static is not None:
         s = static if NAME in static_on else static.drop(NAME)
-        ent = ent.join(s, list(static_on), "left")  # JOIN6, on entities, before the explode
+        ent = join_small(ent, s, list(static_on), "left")  # JOIN6, on entities, before the explode
     panel = calendar_grid(ent, bounds)
     for b in blocks:
         panel = attach(panel, b)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..schema import DATE, KEY, NAME, TARGET
 from ..session import cut_lineage
+from .joins import join_small
 from .stats import exact_quantiles
 
 
@@ -123,7 +124,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 40, by: str | None
         F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
     )
-    j = long.join(rng, [*group, "column_name"])  # one row per (group, column): AQE broadcasts it
+    j = join_small(long, rng, [*group, "column_name"], materialize=True)  # one row per (group, column)
     b = F.least(F.floor((F.col("v") - F.col("lo")) * (F.lit(float(bins)) / (F.col("hi") - F.col("lo")))), F.lit(bins - 1))
     counted = j.groupBy(*group, "column_name", "lo", "hi", b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     width = (F.col("hi") - F.col("lo")) / bins

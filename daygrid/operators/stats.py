@@ -28,6 +28,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_bounded
+
 GRID = [i / 1000.0 for i in range(1001)]
 
 
@@ -184,7 +186,7 @@ def prefix_sums(
     offsets = totals.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(wo), F.lit(0)).alias(f"__o_{c}") for c in sums])
     wi = Window.partitionBy("__pid").orderBy(*sort_keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     within = ranged.withColumns({f"__w_{c}": F.sum(c).over(wi) for c in sums})
-    out = within.join(offsets, "__pid", "left").withColumns(
+    out = join_bounded(within, offsets, "__pid", "left").withColumns(
         {f"{c}_cum": F.col(f"__w_{c}") + F.col(f"__o_{c}") for c in sums}
     )
     return out.drop("__pid", *[f"__w_{c}" for c in sums], *[f"__o_{c}" for c in sums])
