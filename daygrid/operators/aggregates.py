@@ -19,7 +19,7 @@ from ..functions.dates import day_floor, lenient_timestamp
 from ..functions.text import clean_code, contains_any, decimal_comma_double, entity_columns, normalize_text
 from ..schema import DATE, FLOOD_EVENT_KEYWORDS, KEY, NAME, STATION
 from .filters import clip_dates, keep_matching_or_all, negative_to_null, non_empty_key
-from .joins import join_small
+from .joins import is_small
 from .windows import lag_delta, rolling_sum, shift_days
 
 
@@ -71,13 +71,16 @@ def station_map(catalogue_rows: DataFrame) -> DataFrame:
     """SET3: distinct (station_code, entity key) pairs, empty codes removed.
 
     The display name is deliberately not part of the map, so that several
-    spellings of one entity do not multiply readings (trap T4).
+    spellings of one entity do not multiply readings (trap T4). Its size is
+    checked once here (bounded count); a small map carries a broadcast hint
+    into every block join, a large one is joined sort-merge.
     """
-    return (
+    smap = (
         catalogue_rows.select(STATION, KEY)
         .filter(F.col(STATION).isNotNull() & (F.col(STATION) != ""))
         .distinct()
     )
+    return F.broadcast(smap) if is_small(smap) else smap
 
 
 def static_attributes(catalogue_rows: DataFrame, order: Column | None = None) -> DataFrame:
@@ -199,7 +202,7 @@ def _entity_day(
             per_station = _recombine(cleaned, [STATION], metrics, stations=False)
         # JOIN1: inner is the left join followed by dropping null keys;
         # (station, key) is unique in the map, so each row is one station.
-        mapped = join_small(per_station, smap, STATION, "inner")
+        mapped = per_station.join(smap, STATION, "inner")  # size checked in station_map
         return _recombine(mapped, [KEY], metrics, stations=True)
     if _has(work, "municipio_raw"):
         # JOIN2: no station column, entity from the reading's own name;
@@ -303,4 +306,4 @@ def readings_to_entity(readings: DataFrame, smap: DataFrame, code_col: str = "st
     """JOIN1 at row level: each reading with its cleaned station code and the
     entity key(s) of that station (left join; unmatched rows keep a null key)."""
     code_type = readings.schema[code_col].dataType
-    return join_small(readings.withColumn(STATION, clean_code(F.col(code_col), code_type)), smap, STATION, "left")
+    return readings.withColumn(STATION, clean_code(F.col(code_col), code_type)).join(smap, STATION, "left")
