@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from . import fingerprints, mixing, quality, secrets
+from . import bpe, fingerprints, mixing, neardup, quality, secrets
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
+    "op2_minhash_dedup": neardup.op2,
     "op4_quality_rules": quality.op4,
     "op5_secret_scan": secrets.op5,
+    "op6_bpe_round_trip": bpe.op6,
     "op9_fingerprints": fingerprints.op9,
 }
 
 ORACLE = {
     "op1_mix_sources": mixing.SQL,
+    "op2_minhash_dedup": neardup.SQL,
     "op4_quality_rules": quality.SQL,
 }
