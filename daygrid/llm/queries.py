@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, mixing, neardup, quality, secrets
+from . import bpe, fingerprints, mixing, neardup, quality, secrets, substrings
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_quality_rules": quality.op4,
     "op5_secret_scan": secrets.op5,
     "op6_bpe_round_trip": bpe.op6,
+    "op8_substring_dedup": substrings.op8,
     "op9_fingerprints": fingerprints.op9,
 }
 
@@ -17,4 +18,5 @@ ORACLE = {
     "op1_mix_sources": mixing.SQL,
     "op2_minhash_dedup": neardup.SQL,
     "op4_quality_rules": quality.SQL,
+    "op8_substring_dedup": substrings.SQL,
 }
