@@ -8,10 +8,10 @@ were counted.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,22 +67,6 @@ def ranges(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
-class WordHashes(dict):
-    """Word (bytes) -> 64-bit hash, remembered for at most ``limit`` words."""
-
-    def __init__(self, limit: int = 1 << 19):
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, tokens: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finalizer (avalanche)."""
     x = x ^ (x >> np.uint64(30))
@@ -92,6 +76,64 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_BYTE_BASE = np.uint64(0xA0761D6478BD642F)
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[list(SPACES.encode())] = True
+_SPACE_RE = re.compile(rb"[\x20\x09-\x0D]")
+#: Bytes that are hashed at a time.
+BLOCK_BYTES = 1 << 16
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """base**0 ... base**(n-1) modulo 2^64."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+class RunHasher:
+    """Hashes of runs [start, end) of an integer sequence from prefix sums of a
+    polynomial modulo 2^64; powers are kept between calls."""
+
+    def __init__(self, base: np.uint64):
+        self.base, self.up, self.down = base, powers(base, 0), powers(base, 0)
+
+    def prefix(self, values: np.ndarray) -> np.ndarray:
+        if len(self.up) <= len(values):
+            self.up = powers(self.base, 2 * len(values) + 1)
+            self.down = powers(np.uint64(pow(int(self.base), -1, 1 << 64)), 2 * len(values) + 1)
+        sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * self.up[: len(values)], dtype=np.uint64, out=sums[1:])
+        return sums
+
+    def of(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+
+
+_bytes_hasher = RunHasher(_BYTE_BASE)
+_BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64))
+
+
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, and the len(texts) + 1 bounds between
+    the texts' words. Works on about ``BLOCK_BYTES`` at a time (a longer word is one block)."""
+    blob = b"\n".join(texts) + b"\n"
+    hashes, starts, at = [], [], 0
+    while at < len(blob):
+        end = at + BLOCK_BYTES
+        if end < len(blob):
+            gap = _SPACE_RE.search(blob, end)
+            end = gap.end() if gap else len(blob)
+        data = np.frombuffer(blob, np.uint8, min(end, len(blob)) - at, at)
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], _IS_SPACE[data]])))
+        first, last = edge[0::2], edge[1::2]
+        hashes.append(_bytes_hasher.of(_bytes_hasher.prefix(_BYTE_VALUE[data]), first, last))
+        starts.append(first + at)
+        at += len(data)
+    ends_of_texts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), ends_of_texts)
+
+
 def rows_of(batch, *names: str, step: int = 512):
     """Rows of an Arrow record batch as tuples, decoded ``step`` rows at a time."""
     for at in range(0, batch.num_rows, step):

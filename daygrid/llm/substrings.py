@@ -36,88 +36,97 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, mix, rows_of, spilled, table
+from .common import RunHasher, hashed_words, mix, rows_of, spilled, table
 
 WINDOW = 35
 #: A null doc_id inside the operator.
 NO_ID = -(1 << 63)
 
-_BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+_ONE, _TWO = RunHasher(np.uint64(0x9E3779B97F4A7C15)), RunHasher(np.uint64(0xC2B2AE3D27D4EB4F))
+#: Characters of text that are hashed together.
+BLOCK_CHARS = 1 << 20
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(max(n - 1, 0), base, np.uint64)]))[:n]
-
-
-class RunHashes:
-    """Hashes of word runs of one document from prefix sums of a polynomial."""
-
-    def __init__(self, h: np.ndarray, which: int = 0):
-        n = len(h) + 1
-        self.inverse = _powers(np.uint64(pow(int(_BASE[which]), -1, 1 << 64)), n)
-        salted = mix(h + np.uint64(which + 1))
-        self.sums = np.concatenate([[np.uint64(0)], np.cumsum(salted * _powers(_BASE[which], n)[: len(h)], dtype=np.uint64)])
+def tag_of(text: bytes) -> int:
+    """24 bits that tell rows of one doc_id apart."""
+    return xxhash.xxh3_64_intdigest(text) & 0xFFFFFF
 
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64))
 
+def _leftmost_least(values: np.ndarray, span: int) -> np.ndarray:
+    """Position of the least value of every run of ``span`` values, leftmost if equal."""
+    best, at = values, np.arange(len(values))
+    width = 1
+    while width < span:
+        step = min(width, span - width)
+        n = len(best) - step
+        right = best[step:] < best[:n]
+        best, at = np.where(right, best[step:], best[:n]), np.where(right, at[step:], at[:n])
+        width += step
+    return at
 
-def tag_of(text: str) -> int:
-    """24 bits that tell rows of one doc_id apart."""
-    return xxhash.xxh3_64_intdigest(text.encode()) & 0xFFFFFF
 
-
-def anchors(h: np.ndarray, window: int, half: int) -> tuple[np.ndarray, ...]:
-    """(anchor position, first and last full window that chose it, hash) of a document."""
+def anchors(h: np.ndarray, bounds: np.ndarray, window: int, half: int):
+    """Anchors of documents whose words are ``h[bounds[i]:bounds[i + 1]]``: document,
+    anchor position, first and last full window that chose it, hash, context hash."""
     n = len(h) - window + 1
     if n <= 0:
-        return tuple(np.empty(0, np.int64) for _ in range(3)) + (np.empty(0, np.uint64),)
+        return None
+    one, two = _ONE.prefix(h), _TWO.prefix(mix(h))
     starts = np.arange(len(h) - half + 1)
-    halves = RunHashes(h).of(starts, starts + half)
-    span = window - half + 1
-    chosen = np.empty(n, np.int64)
-    for at in range(0, n, 4096):
-        part = np.lib.stride_tricks.sliding_window_view(halves[at : min(at + 4096, n) + span - 1], span)
-        chosen[at : at + len(part)] = np.arange(at, at + len(part)) + part.argmin(axis=1)
-    first = np.concatenate([[0], np.flatnonzero(np.diff(chosen)) + 1])
-    last = np.concatenate([first[1:] - 1, [n - 1]])
-    return chosen[first], first, last, halves[chosen[first]]
+    halves = _ONE.of(one, starts, starts + half)
+    chosen = _leftmost_least(halves, window - half + 1)
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:n]
+    inside = np.flatnonzero(np.arange(n) + window <= bounds[doc + 1])
+    if not len(inside):
+        return None
+    run = np.flatnonzero(np.concatenate([[True], (np.diff(chosen[inside]) != 0) | (np.diff(doc[inside]) != 0)]))
+    first, last = inside[run], inside[np.concatenate([run[1:] - 1, [len(inside) - 1]])]
+    at = chosen[first]
+    context = mix(_TWO.of(two, first, last + window) + (at - first).astype(np.uint64))
+    return doc[first], at, first, last, halves[at], context
 
 
 def _half(window: int) -> int:
     return (window + 1) // 2
 
 
+def blocks(batch, *names: str):
+    """Rows of a batch in blocks of at least one and about ``BLOCK_CHARS`` of text."""
+    rows, size = [], 0
+    for row in rows_of(batch, *names, step=128):
+        rows.append(row)
+        size += len(row[1] or "")
+        if size >= BLOCK_CHARS:
+            yield rows
+            rows, size = [], 0
+    if rows:
+        yield rows
+
+
 def _occurrences(window: int):
     """(doc, key, context, place) of every anchor; place packs first window, number of
     windows and the row's tag into 63 bits."""
     half = _half(window)
 
     def run(batches):
-        memo = WordHashes()
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
-            for doc_id, text in rows_of(batch, "doc_id", "text"):
-                h = memo.of((text or "").encode().split())
-                at, first, last, key = anchors(h, window, half)
-                if not len(at):
+            for rows in blocks(batch, "doc_id", "text"):
+                texts = [(t or "").encode() for _, t in rows]
+                h, bounds = hashed_words(texts)
+                found = anchors(h, bounds, window, half)
+                if found is None:
                     continue
-                context = mix(RunHashes(h, 1).of(first, last + window) + (at - first).astype(np.uint64))
-                out[0].append(np.full(len(at), NO_ID if doc_id is None else doc_id, np.int64))
-                out[1].append(key.astype(np.int64))
-                out[2].append(context.astype(np.int64))
-                out[3].append((first << 32) | ((last - first + 1) << 24) | tag_of(text))
-                if sum(map(len, out[0])) > 100_000:
-                    yield _record(out)
-                    out = [[], [], [], []]
-            yield _record(out)
+                doc, _, first, last, key, context = found
+                ids = np.array([NO_ID if i is None else i for i, _ in rows], np.int64)[doc]
+                tags = np.array([tag_of(t) for t in texts], np.int64)[doc]
+                place = ((first - bounds[doc]) << 32) | ((last - first + 1) << 24) | tags
+                yield _record([ids, key.view(np.int64), context.view(np.int64), place])
 
     return run
 
 
-def _record(out):
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else np.empty(0, np.int64), pa.int64()) for c in out], names=["doc", "key", "context", "place"])
+def _record(columns, names=("doc", "key", "context", "place")):
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=list(names))
 
 
 def _unpack(place: np.ndarray, tag: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,22 +139,28 @@ def _full_windows(window: int):
     """(h1, h2, weight, doc, place) of the full windows of marked contexts. Weight 2
     stands for a context that occurs more than once; its windows need no answer."""
 
+    names = ("h1", "h2", "weight", "doc", "place")
+
     def run(batches):
-        memo = WordHashes()
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
-            for doc, text, ones, many in rows_of(batch, "doc", "text", "ones", "many", step=128):
-                h = memo.of((text or "").encode().split())
-                tag = tag_of(text or "")
-                one, two = RunHashes(h, 0), RunHashes(h, 1)
-                for places, weight in ((ones, 1), (many, 2)):
-                    first, end = _unpack(np.array(places or [], np.int64), tag)
-                    if not len(first):
-                        continue
-                    at = np.unique(np.concatenate([np.arange(a, b) for a, b in zip(first, end)]))
-                    for c, v in zip(out, (one.of(at, at + window).view(np.int64), two.of(at, at + window).view(np.int64), np.full(len(at), weight), np.full(len(at), doc), (at << 32) | (1 << 24) | tag)):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else np.empty(0, np.int64), pa.int64()) for c in out], names=["h1", "h2", "weight", "doc", "place"])
+            for rows in blocks(batch, "doc", "text", "ones", "many"):
+                texts = [(r[1] or "").encode() for r in rows]
+                h, bounds = hashed_words(texts)
+                one, two = _ONE.prefix(h), _TWO.prefix(mix(h))
+                out: list[list[np.ndarray]] = [[], [], []]
+                for base, text, (doc, _, ones, many) in zip(bounds, texts, rows):
+                    tag = tag_of(text)
+                    for places, weight in ((ones, 1), (many, 2)):
+                        first, end = _unpack(np.array(places or [], np.int64), tag)
+                        # all windows of the runs [first, end)
+                        size = end - first
+                        at = np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(first) else first
+                        at = np.unique(at)
+                        out[0].append(at + base)
+                        out[1].append(np.full(len(at), weight))
+                        out[2].append(np.stack([np.full(len(at), doc), (at << 32) | (1 << 24) | tag]))
+                at, (doc, place) = np.concatenate(out[0]), np.concatenate(out[2], axis=1)
+                yield _record([_ONE.of(one, at, at + window).view(np.int64), _TWO.of(two, at, at + window).view(np.int64), np.concatenate(out[1]), doc, place], names)
 
     return run
 
@@ -172,7 +187,7 @@ def _kept(window: int, digest: bool):
                     w = (text or "").encode().split()
                     gone = np.zeros(len(w), bool)
                     if marked:
-                        gone = covered(len(w), *_unpack(np.array(places[0], np.int64), tag_of(text or "")), window)
+                        gone = covered(len(w), *_unpack(np.array(places[0], np.int64), tag_of((text or "").encode())), window)
                     kept = b" ".join([x for x, g in zip(w, gone.tolist()) if not g] if gone.any() else w)
                     rows.append((doc_id, len(w), int(gone.sum()), hashlib.sha256(kept).hexdigest() if digest else kept.decode()))
                 ids, n, m, k = zip(*rows)
@@ -186,7 +201,7 @@ def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_occurrences(window), "doc long, key long, context long, place long")
     # level 1: contexts and their counts, kept where the anchor occurs more than once
-    contexts = rows.groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("rep"))
+    contexts = spilled(rows.groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("rep")))
     by_key = contexts.groupBy("key").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).filter("total > 1")
     alive = spilled(contexts.join(by_key, "key").select("key", "context", (F.col("n") > 1).alias("whole"), (F.col("kinds") > 1).alias("compare"), "rep"))
     found = rows.join(alive, ["key", "context"]).select("doc", "place", "whole", (F.col("compare") & (F.col("doc") == F.col("rep"))).alias("compare"))
