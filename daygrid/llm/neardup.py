@@ -9,21 +9,25 @@ exact key. All pairs below that distance are thus candidates; for a pair at
 similarity 0.8 the chance to share no key is 2.4e-5. Candidates are confirmed
 on the full sets.
 
-Cost is kept linear in a group's size. Equal sets form a class first. In every
-key's bucket, members are compared with one leader; confirmed links are
-contracted to components; only members outside a bucket's main component are
-then compared with the rest, since pairs inside a component cannot change the
-result. Leaders change over ``STAR_ROUNDS`` rounds; a last round compares every
-remaining pair of different components that shares a bucket, so no link
-between them is lost. In that round a pair must also agree in ``LEAST_AGREEING``
-of the positions (a pair at similarity 0.8 has fewer with chance below 1e-9).
+Cost is kept linear in a group's size, and no link between different texts is
+lost. Equal sets form a class first. Every bucket (the sets that share a key)
+has a leader, its member with the most populous buckets; members are compared
+with their leaders only. That yields links, and for every member x of leader c
+its delta: the symmetric difference of x and c. Two sets of one bucket share
+its leader, and |x ^ y| = |dx ^ dy|, so whatever else is linked is found from
+deltas alone: J(x, y) >= 0.8 means 9 |x ^ y| <= |x| + |y|, that is an overlap of
+dx and dy of at least (|dx| + |dy| - (|x| + |y|) / 9) / 2. If both are linked to
+c they are one component already; otherwise that overlap is at least one, and
+an exact prefix-filtered overlap join of the deltas (elements outside the
+leader, which are rare, come first) finds all such pairs of members that are in
+different components.
 
 Defined results: words are split at ASCII white space after lower-casing A-Z; a
 null text counts as empty; a text without words has the empty set and links
 with nothing; one word is a set of one. Rows that share a doc_id are one
-document (their sets are linked, ``n_shingles`` is the largest). Rows with a null
-doc_id are returned as they are: component null, kept. Extra columns play no
-role. An empty table gives an empty result.
+document, its text the longest of them (the greatest if equally long). Rows with
+a null doc_id are returned as they are: component null, kept. Extra columns play
+no role. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,26 +38,26 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, mix, rows_of, spilled, table
+from .common import hashed_words, mix, rows_of, spilled, table
 
 CHUNKS, CHUNK = 10, 6
 POSITIONS = CHUNKS * CHUNK
 #: floor(distance / CHUNKS) <= 1 up to this distance.
 GUARANTEED = 2 * CHUNKS - 1
-STAR_ROUNDS = 2
-LEAST_AGREEING = 24
 
 _rng = np.random.default_rng(20240229)
 _MULT = _rng.integers(1, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, POSITIONS, dtype=np.uint64)
 
 
-def shingle_set(text: str | None, memo: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's 2-word shingles."""
-    w = memo.of((text or "").encode().lower().split())
-    if len(w) < 2:
-        return mix(w ^ np.uint64(0x9E3779B97F4A7C15))
-    return np.unique(mix(w[:-1] * np.uint64(0xD6E8FEB86659FD93) + mix(w[1:])))
+def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+    """For every text the sorted distinct 64-bit hashes of its 2-word shingles."""
+    h, bounds = hashed_words([(t or "").encode().lower() for t in texts])
+    pairs = mix(h[:-1] * np.uint64(0xD6E8FEB86659FD93) + mix(h[1:])) if len(h) > 1 else h[:0]
+    out = []
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        out.append(np.unique(pairs[a : b - 1]) if b - a > 1 else mix(h[a:b] ^ np.uint64(0x9E3779B97F4A7C15)))
+    return out
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -65,18 +69,19 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _sketch(batches):
-    memo = WordHashes()
     for batch in batches:
-        ids, sizes, sets, sigs = [], [], [], []
-        for doc_id, text in rows_of(batch, "doc_id", "text"):
-            s = shingle_set(text, memo)
-            ids.append(doc_id)
-            sizes.append(len(s))
-            sets.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-            sigs.append(signature(s).tobytes() if len(s) else None)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "set_id", "sig"]
-        )
+        for at in range(0, batch.num_rows, 64):
+            part = batch.slice(at, 64)
+            sets = shingle_sets(part.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    pa.array(map(len, sets), pa.int64()),
+                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                    pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                ],
+                names=["doc_id", "n_shingles", "set_id", "sig"],
+            )
 
 
 def _chunk_keys(batches):
@@ -94,40 +99,42 @@ def _chunk_keys(batches):
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().astype(np.int64)), pa.array(reps)], names=["key", "rep"])
 
 
-def _confirm(batches):
-    """Pairs whose full sets reach the similarity: 100 * intersection >= 80 * union."""
-    memo = WordHashes()
-    last = (None, None)
+_COMPARED = "a long, c long, size long, linked boolean, delta array<long>"
+
+
+def _compare(batches):
+    """Full sets of members ``a`` against their leaders ``c``: size of a's set, whether
+    they are linked, and the delta, elements outside the leader first."""
+    leader = (None, None)
     for batch in batches:
-        a, b = [], []
-        for x, y, tx, ty in rows_of(batch, "a", "b", "text_a", "text_b", step=128):
-            if last[0] != ty:
-                last = (ty, shingle_set(ty, memo))
-            s, t = shingle_set(tx, memo), last[1]
-            if not len(s) or not len(t) or 100 * min(len(s), len(t)) < 80 * max(len(s), len(t)):
-                continue
-            both = len(np.intersect1d(s, t, assume_unique=True))
-            if 100 * both >= 80 * (len(s) + len(t) - both):
-                a.append(x)
-                b.append(y)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
-def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those (a, b) of distinct ``pairs`` that are linked; ``texts``: (rep, text)."""
-    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long")
+        out = []
+        for at in range(0, batch.num_rows, 64):
+            part = list(rows_of(batch.slice(at, 64), "a", "c", "text_a", "text_c"))
+            for (a, c, _, text_c), s in zip(part, shingle_sets([p[2] for p in part])):
+                if leader[0] != text_c:
+                    leader = (text_c, shingle_sets([text_c])[0])
+                added, gone = np.setdiff1d(s, leader[1], assume_unique=True), np.setdiff1d(leader[1], s, assume_unique=True)
+                d = len(added) + len(gone)
+                out.append((a, c, len(s), 9 * d <= len(s) + len(leader[1]), np.concatenate([added, gone]).view(np.int64)))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(col, t) for col, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())))], names=["a", "c", "size", "linked", "delta"])
+
+
+def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Full sets of distinct (a, c) pairs compared; ``texts``: (rep, text)."""
+    member = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
+    leader = texts.select(F.col("rep").alias("c"), F.col("text").alias("text_c"))
+    return pairs.join(member, "a").join(leader, "c").select("a", "c", "text_a", "text_c").mapInArrow(_compare, _COMPARED)
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component): the smallest node reachable over ``edges`` (a, b).
+    """(node, component): the smallest node reachable over ``edges`` (a, c).
 
     Alternates large-star and small-star steps, each a grouped minimum joined
     back, until the edges no longer change; every round is written to the shared
     folder. Nodes without an edge to another are left out.
     """
-    now = spilled(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    now = spilled(edges.filter("a <> c").select(F.greatest("a", "c").alias("u"), F.least("a", "c").alias("v")).distinct())
     seen = None
     while True:
         count = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -144,95 +151,77 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(heads)
 
 
-def _labelled(members: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """(key, rep, comp) of bucket members; a node without a link is its own component."""
-    if comps is None:
-        return members.withColumn("comp", F.col("rep"))
-    own = members.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-    return own.select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-
-
-def _mixed(labelled: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component."""
-    split = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-    return labelled.join(split, "key")
-
-
-def _star_pairs(labelled: DataFrame, seed: int) -> DataFrame:
-    """Every member of a bucket with the bucket's leader, unless already together."""
-    order = F.struct(F.when(F.lit(seed == 0), F.lit(0).cast("long")).otherwise(F.xxhash64(F.lit(seed), "rep")).alias("o"), F.col("rep"), F.col("comp"))
-    leaders = labelled.groupBy("key").agg(F.min(order).alias("l"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key", F.col("l.rep").alias("leader"), F.col("l.comp").alias("leader_comp"))
-    pairs = labelled.join(leaders, "key").filter("comp <> leader_comp")
-    return pairs.select(F.greatest("rep", "leader").alias("a"), F.least("rep", "leader").alias("b")).distinct()
+def _led_pairs(members: DataFrame) -> DataFrame:
+    """Distinct (a, c): members and the leaders of their buckets."""
+    popular = members.groupBy("rep").agg(F.sum("n").alias("popularity"))
+    order = F.struct(F.col("popularity"), (-F.col("rep")).alias("low"), F.col("rep").alias("c"))
+    ranked = members.join(popular, "rep").select("key", "rep", order.alias("o"))
+    leaders = ranked.groupBy("key").agg(F.max("o").alias("o")).select("key", F.col("o.c").alias("c"))
+    return members.join(leaders, "key").filter("rep <> c").select(F.col("rep").alias("a"), "c").distinct()
 
 
-def _cross_pairs(mixed: DataFrame) -> DataFrame:
-    """Pairs of different components in a bucket, found from the members outside the
-    bucket's largest component."""
-    sizes = mixed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m")).select("key", F.col("m.comp").alias("main"))
-    marked = mixed.join(main, "key")
-    minor = marked.filter("comp <> main").select("key", "rep", "comp")
-    other = marked.select("key", F.col("rep").alias("rep2"), F.col("comp").alias("comp2"), (F.col("comp") == F.col("main")).alias("in_main"))
-    pairs = minor.join(other, "key").filter("comp <> comp2 AND (in_main OR rep < rep2)")
-    return pairs.select(F.greatest("rep", "rep2").alias("a"), F.least("rep", "rep2").alias("b")).distinct()
+def _delta_links(compared: DataFrame, comps: DataFrame) -> DataFrame:
+    """Linked (a, c) pairs among members of one leader that are not yet in one component."""
+    own = comps.withColumnRenamed("component", "comp")
+    led = compared.join(own.withColumnRenamed("node", "a"), "a", "left").withColumn("comp", F.coalesce("comp", "a"))
+    led = led.join(own.select(F.col("node").alias("c"), F.col("comp").alias("comp_c")), "c", "left").withColumn("comp_c", F.coalesce("comp_c", "c"))
+    led = spilled(led.withColumn("d", F.size("delta").cast("long")).select("c", "a", "size", "d", "delta", "comp", (F.col("comp") != F.col("comp_c")).alias("outer")))
+    open_ = led.filter("outer").select("c").distinct()
+    each = led.join(open_, "c", "left_semi").select("c", "a", "size", "d", "comp", "outer", F.posexplode("delta").alias("at", "element"))
+    x = each.filter("outer").select("c", "element", *[F.col(n).alias(f"{n}_x") for n in ("a", "size", "d", "comp", "at")])
+    # x is not linked to c, so an overlap above 4/9 of the other's delta is needed
+    y = each.filter("at <= d - ceil(4 * d / 9)").select("c", "element", *[F.col(n).alias(f"{n}_y") for n in ("a", "size", "d", "comp", "at")])
+    need = "(9 * (d_x + d_y) - (size_x + size_y))"
+    met = x.join(y, ["c", "element"]).filter(f"comp_x <> comp_y AND 18 * (d_x - at_x) >= {need} AND 18 * (d_y - at_y) >= {need}").select("c", "a_x", "a_y").distinct()
+    delta = lambda n: led.select("c", F.col("a").alias(f"a_{n}"), F.col("size").alias(f"size_{n}"), F.col("d").alias(f"d_{n}"), F.col("delta").alias(f"delta_{n}"))
+    sure = met.join(delta("x"), ["c", "a_x"]).join(delta("y"), ["c", "a_y"]).withColumn("both", F.size(F.array_intersect("delta_x", "delta_y")))
+    return sure.filter(f"18 * both >= {need}").select(F.col("a_x").alias("a"), F.col("a_y").alias("c"))
 
 
-def _alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs that agree in at least ``LEAST_AGREEING`` signature positions."""
+def repeated_ids(docs: DataFrame) -> DataFrame:
+    """doc_ids of more than one row."""
+    return spilled(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
 
-    def agree(batches):
-        for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, POSITIONS) for c in ("sa", "sb"))
-                yield batch.filter(pa.array((x == y).sum(axis=1) >= LEAST_AGREEING)).select(["a", "b"])
 
-    left, right = (reps.select(F.col("rep").alias(n), F.col("sig").alias(s)) for n, s in (("a", "sa"), ("b", "sb")))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(agree, "a long, b long")
+def one_row_each(source: DataFrame) -> DataFrame:
+    """(doc_id, text) with one row for each doc_id (rows without one stay)."""
+    again = repeated_ids(source)
+    longest = F.max(F.struct(F.char_length("text"), F.col("text")))
+    merged = source.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(longest.alias("t")).select("doc_id", "t.text")
+    return source.join(again, "doc_id", "left_anti").unionByName(merged)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each doc_id."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = one_row_each(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     sketched = spilled(source.mapInArrow(_sketch, "doc_id long, n_shingles long, set_id binary, sig binary"))
     known = sketched.filter("doc_id IS NOT NULL")
     reps = spilled(known.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")))
     keys = reps.select("rep", "sig").mapInArrow(_chunk_keys, "key long, rep long")
-    shared = keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi").select("key")
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi").select("key", "n")
     members = spilled(keys.join(shared, "key"))
 
-    # rows that share a doc_id are one document
-    classes = known.filter("set_id IS NOT NULL").join(reps.select("set_id", "rep"), "set_id")
-    by_id = classes.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("hi"), F.collect_set("rep").alias("reps")).filter("b <> hi")
-    links = spilled(by_id.select(F.explode("reps").alias("a"), "b").filter("a <> b"))
-    # one text of each set: that of its representative, chosen by the set itself
-    wanted = reps.select("rep").distinct()
-
-    comps = None
-    for round_ in range(STAR_ROUNDS + 1):
-        labelled = _labelled(members, comps)
-        if round_ < STAR_ROUNDS:
-            pairs = spilled(_star_pairs(labelled, round_))
-        else:
-            pairs = spilled(_alike(_cross_pairs(spilled(_mixed(labelled))), reps.dropDuplicates(["rep"])))
-        used = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-        texts = source.withColumnRenamed("doc_id", "rep").join(used.join(wanted, "rep", "left_semi"), "rep")
-        links = spilled(links.unionByName(confirm(pairs, texts)).distinct())
-        comps = components(links)
+    pairs = spilled(_led_pairs(members))
+    used = pairs.select(F.explode(F.array("a", "c")).alias("rep")).distinct()
+    texts = source.withColumnRenamed("doc_id", "rep").join(used, "rep", "left_semi")
+    compared = spilled(compare(pairs, texts))
+    links = spilled(compared.filter("linked").select("a", "c"))
+    comps = components(links)
+    more = spilled(_delta_links(compared, comps))
+    comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("c")).unionByName(more))
     comps = comps.withColumnRenamed("node", "rep")
     by_class = reps.select("set_id", "rep").join(comps, "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component"))
-    placed = known.select("doc_id", "n_shingles", "set_id").join(by_class, "set_id", "left")
-    per_id = placed.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min(F.coalesce("component", "doc_id")).alias("component_id"))
+    per_id = known.select("doc_id", "n_shingles", "set_id").join(by_class, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     unnamed = sketched.filter("doc_id IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
     return per_id.withColumn("kept", F.col("doc_id") == F.col("component_id")).unionByName(unnamed)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` without near duplicates: one row of each group of documents stays (of
-    repeated rows of a doc_id, one); rows without a doc_id stay."""
+    repeated rows of a doc_id, any one); rows without a doc_id stay."""
     verdict = spilled(near_duplicates(docs))
     gone = verdict.filter("NOT kept").select("doc_id")
-    again = spilled(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    again = repeated_ids(docs)
     single = docs.join(gone.unionByName(again), "doc_id", "left_anti")
     repeated = docs.join(again, "doc_id", "left_semi").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
     return single.unionByName(repeated).select(*docs.columns)
