@@ -195,10 +195,11 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens and the hashes of the ids and of the decoded bytes."""
+def digests(encoded: DataFrame, *columns: str) -> DataFrame:
+    """doc_id, ``columns``, n_tokens and the hashes of the ids and of the decoded bytes."""
     return encoded.select(
         "doc_id",
+        *columns,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hashed_words, mix, rows_of, spilled, table
+from .common import hashed_words, join_by_size, mix, rows_of, spilled, table
 
 CHUNKS, CHUNK = 10, 6
 POSITIONS = CHUNKS * CHUNK
@@ -202,8 +202,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = spilled(keys.join(shared, "key"))
 
     pairs = spilled(_led_pairs(members))
-    used = pairs.select(F.explode(F.array("a", "c")).alias("rep")).distinct()
-    texts = source.withColumnRenamed("doc_id", "rep").join(used, "rep", "left_semi")
+    used = spilled(pairs.select(F.explode(F.array("a", "c")).alias("rep")).distinct())
+    texts = join_by_size(source.withColumnRenamed("doc_id", "rep"), used, "rep", "left_semi")
     compared = spilled(compare(pairs, texts))
     links = spilled(compared.filter("linked").select("a", "c"))
     comps = components(links)

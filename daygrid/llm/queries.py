@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, mixing, neardup, quality, secrets, substrings
+import corpus_pipeline
+
+from . import bpe, fingerprints, html_wrappers, licenses, mixing, neardup, quality, secrets, substrings, toxicity
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
     "op2_minhash_dedup": neardup.op2,
+    "op3_toxicity": toxicity.op3,
     "op4_quality_rules": quality.op4,
     "op5_secret_scan": secrets.op5,
     "op6_bpe_round_trip": bpe.op6,
+    "op7_html_wrappers": html_wrappers.op7,
     "op8_substring_dedup": substrings.op8,
     "op9_fingerprints": fingerprints.op9,
+    "op10_license_scan": licenses.op10,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
