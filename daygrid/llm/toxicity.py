@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import spilled, table
+from .common import join_by_size, spilled, table
 
 MAX_LABELLED = 60_000
 MAX_LEXICON = 5_000
@@ -51,7 +51,10 @@ LEET = str.maketrans("0134578@$!", "oieastbasi")
 _WORD = re.compile(r"[^\W\d_]+")
 _CHUNK = re.compile(r"\S+")
 _DISGUISED = re.compile(r"(?=.*[^\W\d_])(?:.*[^\W\d_][0-9@$!*#+]+[^\W\d_].*|.*([^\W\d_])\1\1.*|[0-9@$][^\W\d_]{2,})$")
-_SPACED = re.compile(r"(?:\b[^\W\d_][ .\-_]){3,}[^\W\d_]\b")
+_ODD = re.compile(r"[0-9@$!*#+]|([^\W\d_])\1\1")
+_SPACED = re.compile(r"(?<!\w)[^\W\d_](?:[ .\-_][^\W\d_]){3,}\b")
+_UPPER = re.compile("[A-ZÀ-ÖØ-Þ]")
+_SHOUTED = re.compile(r"\b[A-Z]{3,}\b")
 FEATURES = (
     "word_density", "word_hits", "stem_density", "stem_hits", "hidden_density", "hidden_hits", "top_weight", "mean_weight", "near_second_person",
     "second_person", "capitals", "shouted", "punctuation", "exclaimed", "disguised", "spaced", "length",
@@ -68,42 +71,49 @@ def entries(text: str) -> set[str]:
     return own.union(*(stems(w) for w in own)) if own else own
 
 
-def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
+class WordWeights(dict):
+    """word -> (word weight, best stem weight, is second person), for at most 500,000 words."""
+
+    def __init__(self, lexicon: dict[str, float]):
+        self.lexicon = lexicon
+
+    def __missing__(self, w: str):
+        if len(self) >= 500_000:
+            self.clear()
+        get = self.lexicon.get
+        self[w] = got = (get(w, 0.0), max([get(s, 0.0) for s in stems(w)], default=0.0), w in SECOND_PERSON)
+        return got
+
+
+def features(text: str | None, weights: WordWeights) -> list[float]:
     text = text or ""
     low = text.lower()
     words = _WORD.findall(low)
     n = len(words) or 1
-    known: dict[str, tuple[float, float]] = {}
-
-    def weights(w: str) -> tuple[float, float]:
-        if (got := known.get(w)) is None:
-            got = known[w] = (lexicon.get(w, 0.0), max((lexicon.get(s, 0.0) for s in stems(w)), default=0.0))
-        return got
-
-    scored = [weights(w) for w in words]
-    hits = [i for i, (a, b) in enumerate(scored) if a or b]
-    word_hits, stem_hits = sum(1 for a, _ in scored if a), sum(1 for _, b in scored if b)
-    best = [max(a, b) for a, b in scored]
-    address = [i for i, w in enumerate(words) if w in SECOND_PERSON]
+    scored = list(map(weights.__getitem__, words))
+    hits = [i for i, (a, b, _) in enumerate(scored) if a or b]
+    by_word, by_stem = [a for i in hits if (a := scored[i][0])], [b for i in hits if (b := scored[i][1])]
+    best = [max(scored[i][:2]) for i in hits]
+    address = [i for i, s in enumerate(scored) if s[2]]
     near = 0.0
     if hits and address:
         close = set(address)
         near = sum(max((1 / (1 + abs(d)) for d in range(-NEAR, NEAR + 1) if i + d in close), default=0.0) for i in hits)
     disguised = hidden = 0
-    for chunk in _CHUNK.findall(low) if re.search(r"[0-9@$!*#+]|([^\W\d_])\1\1", low) else ():
-        core = chunk.strip(".,;:!?\"'()")
-        if _DISGUISED.match(core):
-            disguised += 1
-            plain = re.sub(r"(.)\1\1+", r"\1", core.translate(LEET).replace("*", "").replace("#", "").replace("+", ""))
-            hidden += plain != core and any(weights(plain))
-    spaced = sum(1 for m in _SPACED.findall(low)) if re.search(r"\b[^\W\d_][ .\-_][^\W\d_][ .\-_]", low) else 0
+    if _ODD.search(low):
+        for chunk in _CHUNK.findall(low):
+            core = chunk.strip(".,;:!?\"'()")
+            if _DISGUISED.match(core):
+                disguised += 1
+                plain = re.sub(r"(.)\1\1+", r"\1", core.translate(LEET).replace("*", "").replace("#", "").replace("+", ""))
+                hidden += plain != core and any(weights[plain][:2])
+    spaced = len(_SPACED.findall(low))
     letters = sum(map(len, words)) or 1
-    capitals = sum(1 for a, b in zip(text, low) if a != b)
-    marks = sum(text.count(c) for c in ".,;:!?'\"-()")
+    marks = sum(map(text.count, ".,;:!?'\"-()"))
     size = len(text) or 1
     return [
-        word_hits / n, math.log1p(word_hits), stem_hits / n, math.log1p(stem_hits), hidden / n, math.log1p(hidden), max(best, default=0.0), sum(best) / n, near / n,
-        len(address) / n, capitals / letters, sum(1 for w in re.findall(r"\b[A-Z]{3,}\b", text)) / n, marks / size, (text.count("!") + text.count("?")) / size,
+        len(by_word) / n, math.log1p(len(by_word)), len(by_stem) / n, math.log1p(len(by_stem)), hidden / n, math.log1p(hidden), max(best, default=0.0), sum(best) / n, near / n,
+        len(address) / n, len(_UPPER.findall(text)) / letters, len(_SHOUTED.findall(text)) / n, marks / size, (text.count("!") + text.count("?")) / size,
         disguised / n, spaced / n, math.log1p(len(words)),
     ]
 
@@ -114,10 +124,11 @@ def featured(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
+        weights = WordWeights(lexicon)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                rows = pa.array([features(t, lexicon) for t in part.column(at).to_pylist()], pa.list_(pa.float64()))
+                rows = pa.array([features(t, weights) for t in part.column(at).to_pylist()], pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([*part.columns, rows], names=[*part.schema.names, "features"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("features", T.ArrayType(T.DoubleType()))]))
@@ -136,8 +147,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LA
     share = min(1.0, max_labelled / n) if n else 1.0
     draw = F.pmod(F.xxhash64(F.lit("draw"), "doc_id"), F.lit(1_000_000))
     marks = marks.filter(draw < int(share * 1_000_000))
-    fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(10)).cast("int")
-    return spilled(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(marks, "doc_id").select("text", "label", fold.alias("fold")))
+    marks = marks.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(10)).cast("int"))
+    # the sample is bounded, so it reaches the documents by a broadcast (its bytes are checked all the same)
+    found = join_by_size(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), spilled(marks), "doc_id")
+    return spilled(found.select("text", "label", "fold"))
 
 
 def learn_lexicon(rows: DataFrame, max_entries: int = MAX_LEXICON) -> dict[str, float]:

@@ -38,11 +38,11 @@ def test_held_out_labels_do_not_matter(spark, sf):
 
 
 def test_features_see_disguises():
-    lexicon = {"moron": 4.0, "vequ-": 3.0}
+    lexicon = X.WordWeights({"moron": 4.0, "vequ-": 3.0})
     f = dict(zip(X.FEATURES, X.features("YOU MORON! what a m0r0n, you vequster. i d i o t", lexicon)))
     assert f["word_hits"] > 0 and f["stem_hits"] > 0 and f["hidden_hits"] > 0 and f["near_second_person"] > 0
     assert f["shouted"] > 0 and f["exclaimed"] > 0 and f["disguised"] > 0 and f["spaced"] > 0
-    assert set(X.features(None, lexicon)) == {0.0} and len(X.features("", {})) == len(X.FEATURES)
+    assert set(X.features(None, lexicon)) == {0.0} and len(X.features("", X.WordWeights({}))) == len(X.FEATURES)
 
 
 @pytest.mark.parametrize("toxic", [None, 0, 1])
