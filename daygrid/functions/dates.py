@@ -9,18 +9,15 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 from .text import ColumnOrName, _col, strip_ws
 
 # Patterns tried after the ISO cast, in order (month-first before day-first, as
-# a month-first parser would do for ambiguous dates).
+# a month-first parser would do for ambiguous dates). One-digit fields, 24- and
+# 12-hour times and month names are understood; the time is optional.
+_TIME = "[ H:mm[:ss]]"
+_HALF = " h:mm[:ss] a"
 TIMESTAMP_PATTERNS = (
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd HH:mm",
-    "yyyy/MM/dd",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "MM/dd/yyyy",
-    "dd/MM/yyyy HH:mm:ss",
-    "dd/MM/yyyy HH:mm",
-    "dd/MM/yyyy",
+    "yyyy/M/d" + _TIME,
+    *(f"{day}{time}" for sep in "/-." for day in (f"M{sep}d{sep}yyyy", f"d{sep}M{sep}yyyy") for time in (_TIME, _HALF)),
     "yyyyMMdd",
+    *(f"{day}{time}" for day in ("MMM d yyyy", "MMM d, yyyy", "d MMM yyyy", "MMMM d yyyy", "MMMM d, yyyy", "d MMMM yyyy") for time in (_TIME, _HALF)),
 )
 
 
@@ -62,3 +59,11 @@ def calendar_columns(date_col: str = "date") -> dict[str, Column]:
 def day_sequence(start: Column, end: Column) -> Column:
     """DAT4: exploded inclusive day sequence between two dates."""
     return F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY")))
+
+
+def unparsed_count(df, column: str):
+    """One row: values of ``column`` and how many of them are no date (``values``,
+    ``unparsed``), so that rows lost to odd spellings are reported."""
+    raw = F.col(column).cast("string")
+    given = raw.isNotNull() & (strip_ws(raw) != "")
+    return df.agg(F.count_if(given).alias("values"), F.count_if(given & lenient_timestamp(column, df.schema[column].dataType).isNull()).alias("unparsed"))

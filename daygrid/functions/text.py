@@ -6,6 +6,7 @@ Catalyst / whole-stage codegen; nothing here runs Python per row.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import reduce
 from typing import Iterable, Sequence
@@ -137,3 +138,14 @@ def keyword_score(c: ColumnOrName, keywords: Sequence[str]) -> Column:
     if not terms:
         return F.lit(0)
     return reduce(lambda a, b: a + b, terms)
+
+
+def folded(value: object) -> str:
+    """Driver-side twin of ``normalize_text`` for header names and keywords."""
+    marks = unicodedata.normalize("NFKD", str(value).strip())
+    return "".join(ch for ch in marks if not unicodedata.combining(ch)).lower()
+
+
+def folded_key(value: object) -> str:
+    """Driver-side twin of ``normalize_key``."""
+    return "_".join(re.findall("[a-z0-9]+", folded(value)))

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import join_small
+from .stats import prefix_sums
 
 # Decision threshold grid of the reference sweep (37 points).
 SWEEP = [round(0.05 + i * 0.025, 10) for i in range(37)]
@@ -77,28 +77,12 @@ def _score_counts(df: DataFrame, y: str, p: str, by: Sequence[str]) -> DataFrame
     )
 
 
-def _grouped_prefix(df: DataFrame, by: Sequence[str], order: Column, sums: Sequence[str], ascending: bool) -> DataFrame:
-    """Inclusive running sums along ``order`` within each ``by`` group, via
-    range partitioning + per-partition offsets (no global window)."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    o = order if ascending else order.desc()
-    ranged = df.repartitionByRange(n, *[F.col(b) for b in by], o).withColumn("__pid", F.spark_partition_id())
-    totals = ranged.groupBy("__pid", *by).agg(*[F.sum(c).alias(f"__t_{c}") for c in sums])
-    wo = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__pid", *by, *[F.coalesce(F.sum(f"__t_{c}").over(wo), F.lit(0)).alias(f"__o_{c}") for c in sums])
-    wi = Window.partitionBy("__pid", *by).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    within = ranged.withColumns({f"__w_{c}": F.sum(c).over(wi) for c in sums})
-    out = join_small(within, offsets, ["__pid", *by], "left").withColumns({f"{c}_cum": F.col(f"__w_{c}") + F.col(f"__o_{c}") for c in sums})
-    return out.drop("__pid", *[f"__w_{c}" for c in sums], *[f"__o_{c}" for c in sums])
-
-
 def roc_auc(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
     """EVL3: exact ROC-AUC (ties count one half); null with one class only.
 
     AUC = sum over distinct scores s of pos(s) * (neg below s + neg(s) / 2) / (P N)."""
     counts = _score_counts(df, y, p, by)
-    cum = _grouped_prefix(counts, by, F.col("score"), ["neg"], ascending=True)
+    cum = prefix_sums(counts, ["score"], ["neg"], by=by)
     contrib = F.col("pos") * (F.col("neg_cum") - F.col("neg") + F.col("neg") * 0.5)
     agg = cum.groupBy(*by).agg(F.sum(contrib).alias("__u"), F.sum("pos").alias("__p"), F.sum("neg").alias("__n"))
     auc = F.when((F.col("__p") > 0) & (F.col("__n") > 0), F.col("__u") / (F.col("__p") * F.col("__n")))
@@ -110,7 +94,7 @@ def roc_curve(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFram
     the (0, 0) start (threshold null = infinity). Intermediate collinear points
     are kept."""
     counts = _score_counts(df, y, p, by)
-    cum = _grouped_prefix(counts, by, F.col("score"), ["pos", "neg"], ascending=False)
+    cum = prefix_sums(counts, ["score"], ["pos", "neg"], ascending=False, by=by)
     tot = counts.groupBy(*by).agg(F.sum("pos").alias("__P"), F.sum("neg").alias("__N"))
     pts = cum.join(tot, list(by), "left") if by else cum.select("*", tot.select("__P").scalar().alias("__P"), tot.select("__N").scalar().alias("__N"))
     curve = pts.select(
@@ -169,11 +153,15 @@ def class_report(df: DataFrame, y: str, pred: str, by: Sequence[str] = ()) -> Da
 
 
 def threshold_sweep(df: DataFrame, y: str, p: str, by: Sequence[str] = (), thresholds: Sequence[float] = SWEEP) -> DataFrame:
-    """EVL6: precision, recall, F1 at each threshold (each row is expanded
-    over the small fixed threshold list, then aggregated)."""
-    ex = df.select(*by, F.col(y).cast("int").alias("__y"), F.col(p).alias("__p"), F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("threshold"))
-    ex = ex.withColumn("__pred", (F.col("__p") >= F.col("threshold")).cast("int"))
-    cm = confusion(ex, "__y", "__pred", [*by, "threshold"])
+    """EVL6: precision, recall, F1 at each threshold. Every score is put between
+    two thresholds once and counted there; the few counts are then cumulated."""
+    grid = sorted(float(t) for t in thresholds)
+    label = F.col(y).cast("int")
+    reached = F.when(F.col(p).isNotNull(), F.size(F.filter(F.array(*map(F.lit, grid)), lambda t: t <= F.col(p))))
+    counts = df.groupBy(*by, reached.alias("__k")).agg(F.count_if(label == 1).alias("__pos"), F.count_if(label == 0).alias("__neg")).filter("__k IS NOT NULL")
+    each = counts.select("*", F.posexplode(F.array(*map(F.lit, grid))).alias("__i", "threshold"))
+    total = lambda c, hit: F.sum(F.when((F.col("__k") > F.col("__i")) == F.lit(hit), F.col(c)).otherwise(0))
+    cm = each.groupBy(*by, "threshold").agg(total("__neg", False).alias("tn"), total("__neg", True).alias("fp"), total("__pos", False).alias("fn"), total("__pos", True).alias("tp"))
     return metrics_from_confusion(cm).select(*by, "threshold", "precision", "recall", "f1")
 
 

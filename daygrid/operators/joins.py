@@ -1,7 +1,7 @@
 """Size-checked broadcast joins.
 
-A side is broadcast only after counting it with a bounded job
-(``limit(max_rows + 1).count()``: it stops after ``max_rows + 1`` rows);
+A side is broadcast only if its rows, at the width of its schema, stay below a
+bound in bytes. They are counted with a bounded job that stops one row beyond;
 beyond the bound the join is left to the planner (sort-merge with AQE skew
 splitting). This keeps a large side from being shuffled just to meet a small
 dimension, without trusting file-size estimates.
@@ -13,16 +13,19 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
-MAX_BROADCAST_ROWS = 1_000_000
-CONF_KEY = "daygrid.broadcast.maxRows"
+MAX_BROADCAST_BYTES = 32 << 20
+CONF_KEY = "daygrid.broadcast.maxBytes"
+#: Bytes counted for a text, binary or nested column of a row.
+WIDE_COLUMN = 64
 
 
 def broadcast_bound(df: DataFrame) -> int:
-    try:
-        return int(df.sparkSession.conf.get(CONF_KEY, str(MAX_BROADCAST_ROWS)))
-    except Exception:  # pragma: no cover
-        return MAX_BROADCAST_ROWS
+    """Rows of ``df``'s width that fit the bound in bytes."""
+    limit = int(df.sparkSession.conf.get(CONF_KEY, str(MAX_BROADCAST_BYTES)))
+    width = 16 + sum(8 if isinstance(f.dataType, (NumericType, BooleanType, DatetimeType)) else WIDE_COLUMN for f in df.schema.fields)
+    return max(limit // width, 1)
 
 
 def is_small(df: DataFrame, max_rows: int | None = None) -> bool:

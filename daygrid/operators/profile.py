@@ -9,6 +9,8 @@ from __future__ import annotations
 from itertools import combinations
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -147,23 +149,41 @@ def varying_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """QLT9: pairwise-complete Pearson correlation of every column pair.
 
-    Each row emits one (a, b, x, y) record per pair; grouping by the pair
-    (few keys, partial aggregation) gives population co-moments, and
-    corr = covar / sqrt(var_x var_y) with ``try_divide`` so a pair without
-    variance yields null instead of an ANSI division error."""
+    Columns are centred on their averages; each partition then sums, for all
+    pairs at once, the co-moments of the rows where both are present (matrix
+    products over null masks) and emits one record; records add up. A pair
+    without variance yields null."""
     pairs = list(combinations(cols, 2))
-    recs = F.array(
-        *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-            for a, b in pairs
-        ]
-    )
-    long = df.select(F.inline(recs)).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    mom = long.groupBy("a", "b").agg(
-        F.covar_pop("x", "y").alias("cxy"), F.var_pop("x").alias("vx"), F.var_pop("y").alias("vy")
+    k = len(cols)
+    means = df.agg(*[F.avg(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    centre = np.array([0.0 if m is None else m for m in means])
+    names = ("n", "sx", "sxx", "sxy")
+
+    def moments(batches):
+        total = {m: np.zeros((k, k)) for m in names}
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - centre
+            there = ~np.isnan(x)
+            x = np.where(there, x, 0.0)
+            mask = there.astype(float)
+            for m, (left, right) in zip(names, ((mask, mask), (x, mask), (x * x, mask), (x, x))):
+                total[m] += left.T @ right
+        yield pa.RecordBatch.from_arrays([pa.array([total[m].ravel().tolist()]) for m in names], names=list(names))
+
+    doubles = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    parts = doubles.mapInArrow(moments, ", ".join(f"{m} array<double>" for m in names))
+    cell = parts.select(F.posexplode(F.arrays_zip(*names)).alias("at", "v")).groupBy("at").agg(*[F.sum(f"v.{m}").alias(m) for m in names])
+    index = F.create_map(*[F.lit(v) for i, c in enumerate(cols) for v in (i, c)])
+    cell = cell.select(F.floor(F.col("at") / k).cast("int").alias("i"), (F.col("at") % k).cast("int").alias("j"), *names)
+    # sx and sxx of the other column of a pair stand in the transposed cell
+    other = cell.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("sx").alias("sy"), F.col("sxx").alias("syy"))
+    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
+    mom = cell.filter("i < j AND n > 0").join(F.broadcast(other), ["i", "j"]).select(
+        index[F.col("i")].alias("a"), index[F.col("j")].alias("b"), (F.col("sxy") - sx * sy / n).alias("cxy"), (F.col("sxx") - sx * sx / n).alias("vx"), (F.col("syy") - sy * sy / n).alias("vy")
     )
-    r = F.when((F.col("vx") > 0) & (F.col("vy") > 0), F.try_divide(F.col("cxy"), F.sqrt(F.col("vx") * F.col("vy"))))
-    upper = mom.select("a", "b", r.alias("corr"))
+    tiny = 1e-12
+    real = (F.col("vx") > tiny) & (F.col("vy") > tiny)
+    upper = mom.select("a", "b", F.when(real, F.try_divide(F.col("cxy"), F.sqrt(F.col("vx") * F.col("vy")))).alias("corr"))
     spark = df.sparkSession
     everything = upper.unionByName(upper.select(F.col("b").alias("a"), F.col("a").alias("b"), "corr"))
     diag = spark.createDataFrame([(c, c, 1.0) for c in cols], "a string, b string, corr double")

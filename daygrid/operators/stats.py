@@ -16,20 +16,20 @@ between order statistics (numpy / pandas / SQL ``quantile_cont``), nulls and
 NaN ignored.
 
 ``prefix_sums`` gives running totals along a global order without a global
-window: rows are range-partitioned by the order, per-partition totals become
-offsets (one row per partition), and running sums are taken within partitions.
+window: cut points of the order are taken once, as data, and assign every row to
+a bucket by expression; bucket totals become offsets, running sums are taken
+within buckets. No result depends on how Spark partitions an execution.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import join_bounded
-
 GRID = [i / 1000.0 for i in range(1001)]
 
 
@@ -168,25 +168,46 @@ def _resolve(cands: DataFrame, targets: Sequence[str], state: dict) -> None:
 # ---------------------------------------------------------------------------
 
 
+def order_cuts(df: DataFrame, order: str, n: int) -> list:
+    """At most ``n - 1`` increasing cut points that split ``order`` about evenly
+    (approximate quantiles of all rows; only their balance depends on the
+    approximation, never a result)."""
+    if n < 2:
+        return []
+    cuts = df.agg(F.percentile_approx(order, F.array(*[F.lit(i / n) for i in range(1, n)]), F.lit(20 * n))).first()[0]
+    return sorted(set(cuts or []))
+
+
+def bucket_of(order: Column, cuts: Sequence) -> Column:
+    """Number of cut points that are at most ``order`` (a binary search); a pure
+    function of the value, so every evaluation deals rows out alike."""
+    if not cuts:
+        return F.lit(0)
+    bounds = F.array(*[F.lit(c) for c in cuts])
+    steps = F.array(*[F.lit(1 << b) for b in range(len(cuts).bit_length() - 1, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda k, s: F.when((k + s <= len(cuts)) & (F.get(bounds, k + s - 1) <= order), k + s).otherwise(k))
+
+
 def prefix_sums(
-    df: DataFrame, order: Sequence, sums: Sequence[str], ascending: bool = True, partitions: int | None = None
+    df: DataFrame, order: Sequence, sums: Sequence[str], ascending: bool = True, partitions: int | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Add ``<c>_cum`` (inclusive running sum along ``order``) for each column
-    in ``sums``. ``order`` must be unique per row (e.g. distinct scores).
-
-    Range partitioning keeps each partition a contiguous slice of the order;
-    per-partition totals (one row per partition) give the offsets."""
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(o) if isinstance(o, str) else o for o in order]
-    sort_keys = keys if ascending else [k.desc() for k in keys]
-    ranged = df.repartitionByRange(n_parts, *sort_keys).withColumn("__pid", F.spark_partition_id())
-    totals = ranged.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in sums])
-    wo = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(wo), F.lit(0)).alias(f"__o_{c}") for c in sums])
-    wi = Window.partitionBy("__pid").orderBy(*sort_keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    within = ranged.withColumns({f"__w_{c}": F.sum(c).over(wi) for c in sums})
-    out = join_bounded(within, offsets, "__pid", "left").withColumns(
-        {f"{c}_cum": F.col(f"__w_{c}") + F.col(f"__o_{c}") for c in sums}
-    )
-    return out.drop("__pid", *[f"__w_{c}" for c in sums], *[f"__o_{c}" for c in sums])
+    """Add ``<c>_cum`` (inclusive running sum along ``order``, one column, within
+    each ``by`` group) for each column in ``sums``. ``order`` must be unique per
+    row of a group (e.g. distinct scores).
+
+    Cut points taken once as data give every row its bucket; bucket totals (a row
+    per group and bucket) become offsets, running sums are taken inside buckets."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (key,) = order
+    col = F.col(key)
+    direction, bucket_order = (col.asc(), F.col("__b").asc()) if ascending else (col.desc(), F.col("__b").desc())
+    dealt = df.withColumn("__b", bucket_of(col, order_cuts(df, key, n)))
+    groups = [*by, "__b"]
+    totals = dealt.groupBy(*groups).agg(*[F.sum(c).alias(f"__t_{c}") for c in sums])
+    before = Window.partitionBy(*by).orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*[F.col(g).alias(f"__k_{g}") for g in groups], *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in sums])
+    inside = Window.partitionBy(*groups).orderBy(direction).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = dealt.withColumns({f"__w_{c}": F.sum(c).over(inside) for c in sums})
+    same = reduce(lambda x, y: x & y, [F.col(g).eqNullSafe(F.col(f"__k_{g}")) for g in groups])
+    out = within.join(offsets, same, "left").withColumns({f"{c}_cum": F.col(f"__w_{c}") + F.col(f"__o_{c}") for c in sums})
+    return out.select(*df.columns, *[f"{c}_cum" for c in sums])

@@ -700,14 +700,6 @@ def gzip_member_guess(spark: SparkSession, d: str) -> DataFrame:
     return docs.unionByName(pages).select("file_name", FF.gzip_member_guess("file_name").alias("member"))
 
 
-@query("file_listing")
-def file_listing(spark: SparkSession, d: str) -> DataFrame:
-    """SRC1: recursive listing of the data folder's parquet files (path, size,
-    modification time; file content pruned from the scan). Paths differ by
-    machine, so the check is on rows only."""
-    return SF.list_files(spark, d, suffixes=(".parquet",)).select("relative_path", "file_name", "size_bytes")
-
-
 @query(
     "error_sample",
     f"""

@@ -24,16 +24,10 @@ DEFAULTS = {
 }
 
 
-# Planner settings the library applies to the session it runs on. Constraint
-# propagation re-derives filters from every alias of the (large) cleaning
-# expressions; it changes no result but dominated planning time of the panel.
-PLANNER = {
-    "spark.sql.constraintPropagation.enabled": "false",
-    # No broadcast from file-size estimates: a side is broadcast only after AQE
-    # has measured its shuffle output (adaptive.autoBroadcastJoinThreshold),
-    # otherwise the join stays sort-merge (with skew splitting).
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-}
+# No broadcast from file-size estimates unless the session asks for it: a side is
+# broadcast only after AQE has measured its shuffle output, otherwise the join
+# stays sort-merge (with skew splitting).
+PLANNER = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
 
 
 def get_session(master: str | None = None, app_name: str = "daygrid", **conf: str) -> SparkSession:
@@ -47,7 +41,7 @@ def get_session(master: str | None = None, app_name: str = "daygrid", **conf: st
         builder = builder.master(master)
         if master.startswith("local"):
             # single JVM: the driver heap is the executors' heap
-            builder = builder.config("spark.driver.memory", os.environ.get("DAYGRID_DRIVER_MEMORY", "16g"))
+            builder = builder.config("spark.driver.memory", os.environ.get("DAYGRID_DRIVER_MEMORY", "8g"))
     builder = builder.config("spark.sql.ui.retainedExecutions", "50").config(
         "spark.cleaner.referenceTracking.cleanCheckpoints", "true"
     )
@@ -60,7 +54,7 @@ def get_session(master: str | None = None, app_name: str = "daygrid", **conf: st
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply library defaults where unset and make sure a checkpoint dir exists."""
-    for k, v in DEFAULTS.items():
+    for k, v in {**DEFAULTS, **PLANNER}.items():
         try:
             current = spark.conf.get(k, None)
         except Exception:  # pragma: no cover - static confs
@@ -70,8 +64,6 @@ def configure(spark: SparkSession) -> SparkSession:
                 spark.conf.set(k, v)
             except Exception:  # pragma: no cover - static confs
                 pass
-    for k, v in PLANNER.items():
-        spark.conf.set(k, v)
     checkpoint_dir(spark)
     return spark
 

@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import keyword_score, normalize_text
+from ..functions.text import keyword_score, normalize_text, folded
 
 TABLE_SUFFIXES = (".csv", ".txt", ".xlsx", ".xls", ".parquet")
 DELIMITERS = (",", ";", "\t", "|")
@@ -56,21 +56,14 @@ def score_files(files: DataFrame, include: Sequence[str], exclude: Sequence[str]
     """SRC2 scoring: keywords contained in the normalized path (relative to the
     root, trap T10); an exclude keyword removes the file, score 0 removes it."""
     key = normalize_text(F.col(path_col), trim=True)
-    inc = [_norm(k) for k in include]
-    exc = [_norm(k) for k in exclude]
+    inc = [folded(k) for k in include]
+    exc = [folded(k) for k in exclude]
     scored = files.withColumn("__key", key).withColumn("score", keyword_score(F.col("__key"), inc))
     if exc:
         scored = scored.filter(~reduce(lambda a, b: a | b, [F.col("__key").contains(k) for k in exc]))
     return scored.filter(F.col("score") > 0).drop("__key")
 
 
-def _norm(s: str) -> str:
-    import unicodedata
-
-    t = unicodedata.normalize("NFKD", s.strip())
-    return "".join(c for c in t if not unicodedata.combining(c)).lower()
-
-
 def pick_file(files: DataFrame, include: Sequence[str], exclude: Sequence[str] = (), path_col: str = "relative_path") -> DataFrame:
     """SRC2: the single best file by (score, size, path), all descending."""
     scored = score_files(files, include, exclude, path_col)

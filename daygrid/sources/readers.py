@@ -38,15 +38,18 @@ def sniff(spark: SparkSession, path: str, sample_bytes: int = 4096) -> tuple[str
     UTF-8 unless some line is not valid UTF-8 anywhere in the file (a
     filter + limit(1) job over the whole file, no data kept)."""
     lines = spark.read.text(path)
-    head = lines.limit(200).agg(F.concat_ws("\n", F.collect_list("value")).alias("t"))
+    # the first split's rows come in file order; other splits are no file head
+    head = lines.filter(F.col("_metadata.file_block_start") == 0).limit(200).agg(F.concat_ws("\n", F.collect_list("value")).alias("t"))
     delim = head.select(detect_delimiter(F.encode("t", "UTF-8"), sample_bytes).alias("d")).first()["d"]
     bad = lines.filter(~F.is_valid_utf8(F.col("value"))).limit(1).count() > 0
     return delim, ("ISO-8859-1" if bad else "UTF-8")
 
 
-def read_csv(spark: SparkSession, path: str, sep: str | None = None, encoding: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, sep: str | None = None, encoding: str | None = None, multi_line: bool = False) -> DataFrame:
     """SRC5/SRC7: header CSV, all columns as text; delimiter and encoding
-    detected unless given. Large files are split across tasks by Spark."""
+    detected unless given. A doubled quote inside a quoted field is one quote.
+    Large files are split across tasks by Spark; ``multi_line`` reads quoted
+    fields with line breaks, at the cost that a file is then one task."""
     if sep is None or encoding is None:
         d, e = sniff(spark, path)
         sep, encoding = sep or d, encoding or e
@@ -56,7 +59,9 @@ def read_csv(spark: SparkSession, path: str, sep: str | None = None, encoding: s
         .option("encoding", encoding)
         .option("inferSchema", "false")
         .option("mode", "PERMISSIVE")
-        .option("multiLine", "false")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", str(multi_line).lower())
         .csv(path)
     )
 

@@ -126,3 +126,28 @@ def test_header_profile_and_json_shape(spark):
     r = df.select(FF.header_profile("t", F.lit(";")).alias("h"), FF.json_shape("j").alias("s")).first()
     assert (r["h"]["sample_rows"], r["h"]["n_columns"], r["h"]["columns"]) == (2, 3, ["a", "b", "c"])
     assert (r["s"]["json_type"], r["s"]["feature_count"], r["s"]["property_keys"]) == ("dict", 1, ["x", "y"])
+
+
+def test_common_date_spellings(spark):
+    from daygrid.functions import dates as D
+
+    texts = {
+        "01/15/2024 12:00:00 AM": "2024-01-15 00:00:00", "01/15/2024 01:30:00 PM": "2024-01-15 13:30:00", "1/5/2024": "2024-01-05 00:00:00",
+        "15/01/2024 3:05": "2024-01-15 03:05:00", "15-01-2024": "2024-01-15 00:00:00", "Jan 15 2024": "2024-01-15 00:00:00", "15 Jan 2024 4:05 PM": "2024-01-15 16:05:00",
+        "January 15, 2024": "2024-01-15 00:00:00", "2024/1/5 7:08": "2024-01-05 07:08:00", "20240115": "2024-01-15 00:00:00", "2024-01-15T10:11:12": "2024-01-15 10:11:12",
+        "32/13/2024": None, "soon": None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", D.lenient_timestamp("t").cast("string").alias("p")).collect()
+    assert {r["t"]: r["p"] for r in rows} == texts
+    assert tuple(D.unparsed_count(df, "t").first()) == (len(texts), 2)
+
+
+def test_header_resolution():
+    from daygrid.sources.canonical import Headers
+
+    h = Headers(["Código Estación", "CODIGO_estacion", "Fecha", "Fecha Observación", "valor", "Fecha evento"])
+    assert h.best(["codigo"]) == "CODIGO_estacion"  # the later of two alike stands in the first's place
+    assert h.best(["fecha"]) == "Fecha" and h.best(["fecha", "observacion"]) == "Fecha Observación"
+    assert h.best(["fecha"], ["observacion", "evento"]) == "Fecha" and h.best(["valor"], ["valor"]) is None
+    assert h.best(["lluvia"]) is None and h.best([]) is None and Headers([]).best(["x"]) is None

@@ -128,3 +128,28 @@ def test_inventory_from_folder(spark, raw_root):
     assert "n_columns=4" in rows["historico_emergencias_antioquia.csv"]["notes"]
     assert rows["broken.zip"]["readable_type_guess"] == "compressed_archive"
     assert summary["source_group_counts"]["DHIME_NIVEL_IDEAM"] == 3
+
+
+def test_csv_quoting_and_first_lines(spark, tmp_path):
+    from daygrid.sources import readers as R
+
+    path = tmp_path / "q.csv"
+    path.write_text('name,day,note\n"a ""b"", c",2024-01-01,x\nplain,2024-01-02,"two\nlines"\n')
+    rows = R.read_csv(spark, str(path), multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [('a "b", c', "2024-01-01", "x"), ("plain", "2024-01-02", "two\nlines")]
+    semi = tmp_path / "s.csv"
+    semi.write_text("a;b;c\n" * 5 + "1,2,3,4,5,6,7,8,9\n" * 5000)
+    assert R.sniff(spark, str(semi), sample_bytes=25)[0] == ";"
+
+
+def test_preset_session_values_survive(spark):
+    from daygrid.session import configure
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "12345")
+    try:
+        configure(spark)
+        assert spark.conf.get(key) == "12345"
+    finally:
+        spark.conf.set(key, before)

@@ -32,3 +32,33 @@ def test_prefix_sums_match_cumsum(spark):
     out = prefix_sums(df, ["s"], ["a", "b"], ascending=False, partitions=7).orderBy(F.desc("s")).collect()
     ca = np.cumsum([r[1] for r in sorted(rows, key=lambda r: -r[0])])
     assert [r["a_cum"] for r in out] == list(ca)
+
+
+def test_auc_and_prefix_sums_at_200_000_scores(spark):
+    """Exact against a rank sum, for several groups, extra columns, any exchange reuse."""
+    from daygrid.operators import evaluate as EV
+
+    n = 200_000
+    rng = np.random.default_rng(1)
+    p, noise = rng.permutation(n) / n, rng.random(n)
+    y = (noise < 0.2 + 0.3 * p).astype(int)
+    group = np.array([None, "a", "b"], object)[rng.integers(0, 3, n)]
+    import pandas as pd
+
+    df = spark.createDataFrame(pd.DataFrame({"g": group, "p": p, "y": y, "extra": np.arange(n)})).repartition(7)
+    exp = {}
+    for g in (None, "a", "b"):
+        own = np.array([x is g or x == g for x in group])
+        order = np.argsort(p[own])
+        pos = y[own][order] == 1
+        ranks = np.flatnonzero(pos) + 1
+        exp[g] = (ranks.sum() - len(ranks) * (len(ranks) + 1) / 2) / (len(ranks) * (own.sum() - len(ranks)))
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            got = {r["g"]: r["roc_auc"] for r in EV.roc_auc(df, "y", "p", ["g"]).collect()}
+            assert got == pytest.approx(exp, abs=1e-12)
+            cum = prefix_sums(df, ["p"], ["y"], by=["g"], partitions=9).filter("g = 'a'").orderBy("p").toPandas()
+            assert (cum["y_cum"] == cum["y"].cumsum()).all() and set(cum.columns) == {"g", "p", "y", "extra", "y_cum"}
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")
