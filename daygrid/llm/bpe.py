@@ -7,8 +7,8 @@ where it stands. Merges are applied in rank order over all pieces at once; each
 touches only its two neighbours, whose new pairs enter the index. Piece results
 are remembered in the task, so a frequent piece is merged once.
 
-The index is built per block of documents of one task, not for the whole corpus
-at a time: memory stays bounded by the block, and nothing is shuffled. A
+The index is built per block of new distinct pieces of a task, not for the whole
+corpus at a time: memory stays bounded by the block, and nothing is shuffled. A
 vocabulary file is read on the driver (it is below ``MAX_VOCABULARY`` bytes) and
 broadcast.
 
@@ -25,6 +25,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,9 +33,11 @@ from pyspark.sql import types as T
 from .common import table
 
 MAX_VOCABULARY = 64 << 20
-#: Documents of a block, and distinct pieces a task remembers.
+#: Documents of a block, distinct pieces that share an index (one that fits the
+#: processor's cache), and distinct pieces a Python worker remembers.
 BLOCK = 512
-REMEMBERED = 300_000
+INDEXED = 2_000
+REMEMBERED = 500_000
 #: White space as the rank files' library understands it (Unicode White_Space).
 WHITE = r"\t-\r \x85\xa0  -     　"
 
@@ -48,24 +51,29 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(t): int(r) for t, r in (line.split() for line in data.splitlines() if line.strip())}
 
 
+#: A pair of tokens as one number: left << PAIR_BITS | right.
+PAIR_BITS = 31
+
+
+def merge_ranks(ranks: dict[bytes, int]) -> dict[int, int]:
+    """Every pair of tokens whose bytes together are a token -> that token."""
+    out = {}
+    for token, rank in ranks.items():
+        for cut in range(1, len(token)):
+            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if left is not None and right is not None:
+                out[left << PAIR_BITS | right] = rank
+    return out
+
+
 class MergeReplay:
     """Merges distinct pieces by rank order over an inverted index."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], merges: dict[int, int] | None = None):
         self.ranks = ranks
-        self.token = dict(zip(ranks.values(), ranks.keys()))
-        self.single = [ranks[bytes([b])] for b in range(256)]
-        self.merge_of: dict[tuple[int, int], int] = {}
-
-    def _rank(self, left: int, right: int) -> int:
-        """Rank of the merge of two tokens, -1 if there is none."""
-        key = (left, right)
-        rank = self.merge_of.get(key)
-        if rank is None:
-            if len(self.merge_of) > 2_000_000:
-                self.merge_of.clear()
-            rank = self.merge_of[key] = self.ranks.get(self.token[left] + self.token[right], -1)
-        return rank
+        self.merges = merge_ranks(ranks) if merges is None else merges
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_pairs = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], np.int64)
 
     def encode(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Token ids of every piece; one that is a token as a whole needs no merges."""
@@ -74,79 +82,97 @@ class MergeReplay:
         return [next(merged) if w is None else (w,) for w in whole]
 
     def _replay(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        symbols = [self.single[b] for b in b"".join(pieces)]
-        ends, at = [], 0
-        for p in pieces:
-            at += len(p)
-            ends.append(at)
-        after, before = list(range(1, at + 1)), list(range(-1, at - 1))
-        end_of = np.repeat(np.array(ends, np.int64), np.diff([0, *ends])).tolist() if at else []
-        for start, end in zip([0, *ends[:-1]], ends):
-            if start < end:
-                before[start], after[end - 1] = -1, -1
-        index: dict[int, list[int]] = {}
-        for i in range(at):
-            if after[i] >= 0 and (r := self._rank(symbols[i], symbols[i + 1])) >= 0:
-                index.setdefault(r, []).append(i)
-        due = list(index)
-        heapq.heapify(due)
-
-        def enter(i: int, j: int) -> int:
-            r = self._rank(symbols[i], symbols[j])
-            if r >= 0:
-                if r in index:
-                    index[r].append(i)
-                else:
-                    index[r] = [i]
-                    heapq.heappush(due, r)
-            return r
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        if not len(data):
+            return [() for _ in pieces]
+        ends = np.cumsum([len(p) for p in pieces])
+        pairs = self.byte_pairs[data[:-1], data[1:]]
+        pairs[ends[:-1] - 1] = -1
+        # the index: rank -> left positions of pairs with that merge
+        places = np.flatnonzero(pairs >= 0)
+        places = places[np.argsort(pairs[places], kind="stable")]
+        due, first = np.unique(pairs[places], return_index=True)
+        index = dict(zip(due.tolist(), (part.tolist() for part in np.split(places, first[1:]))))
+        due = due.tolist()
+        after = np.arange(1, len(data) + 1)
+        before = np.arange(-1, len(data) - 1)
+        after[ends - 1] = -1
+        before[ends[:-1]] = -1
+        symbols, after, before = self.single[data].tolist(), after.tolist(), before.tolist()
+        rank_of = self.merges.get
 
         while due:
             rank = heapq.heappop(due)
-            places = sorted(index.pop(rank))
             wait_until = -1
-            for i in places:
+            for i in sorted(index.pop(rank)):
                 if i < wait_until:
                     # a merge with a lower rank has arisen in this piece: it goes first
-                    if rank in index:
-                        index[rank].append(i)
-                    else:
-                        index[rank] = [i]
-                        heapq.heappush(due, rank)
+                    self._enter(index, due, rank, i)
                     continue
                 j = after[i]
-                if symbols[i] < 0 or j < 0 or self._rank(symbols[i], symbols[j]) != rank:
+                if j < 0 or rank_of(symbols[i] << PAIR_BITS | symbols[j]) != rank:
                     continue
-                symbols[i], symbols[j] = rank, -1
-                after[i] = k = after[j]
+                k, h = after[j], before[i]
+                symbols[i], symbols[j], after[i], after[j] = rank, -1, k, -1
+                lower = False
                 if k >= 0:
                     before[k] = i
-                lower = k >= 0 and 0 <= enter(i, k) < rank
-                if before[i] >= 0 and 0 <= enter(before[i], i) < rank:
-                    lower = True
+                    r = rank_of(rank << PAIR_BITS | symbols[k])
+                    if r is not None:
+                        self._enter(index, due, r, i)
+                        lower = r < rank
+                if h >= 0:
+                    r = rank_of(symbols[h] << PAIR_BITS | rank)
+                    if r is not None:
+                        self._enter(index, due, r, h)
+                        lower = lower or r < rank
                 if lower:
-                    wait_until = end_of[i]
-        out, start = [], 0
-        for end in ends:
-            out.append(tuple([s for s in symbols[start:end] if s >= 0]))
-            start = end
-        return out
+                    wait_until = int(ends[np.searchsorted(ends, i, side="right")])
+        left = np.array(symbols)
+        alive = left >= 0
+        bounds = [0, *np.cumsum(alive)[ends - 1].tolist()]
+        ids = left[alive].tolist()
+        return [tuple(ids[a:b]) for a, b in zip(bounds, bounds[1:])]
+
+    @staticmethod
+    def _enter(index: dict[int, list[int]], due: list[int], rank: int, place: int) -> None:
+        waiting = index.get(rank)
+        if waiting is None:
+            index[rank] = [place]
+            heapq.heappush(due, rank)
+        else:
+            waiting.append(place)
 
 
-def _encoder(ranks, pattern: str):
-    """Text -> ids for blocks of texts, remembering pieces."""
+#: What a Python worker remembers from one task to the next, by vocabulary.
+_remembered: dict[str, dict[str, tuple[int, ...]]] = {}
+
+
+def _splitter(pattern: str):
     import regex
 
-    split = regex.compile(pattern.replace(r"\S", f"[^{WHITE}]").replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]")).findall
-    replay, known = MergeReplay(ranks), {}
+    return regex.compile(pattern.replace(r"\S", f"[^{WHITE}]").replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]")).findall
+
 
-    def encode(texts: list[str | None]) -> list[list[int]]:
+def _encoder(ranks, pattern: str, merges: dict[int, int] | None = None, name: str | None = None):
+    """Blocks of texts -> (flat ids, ids per text), remembering pieces."""
+    split, replay = _splitter(pattern), MergeReplay(ranks, merges)
+    known = _remembered.setdefault(name, {}) if name else {}
+
+    def encode(texts: list[str | None]) -> tuple[list[int], list[int]]:
         if len(known) > REMEMBERED:
             known.clear()
         pieces = [split(t) if t else [] for t in texts]
         fresh = list(set(chain.from_iterable(pieces)).difference(known))
-        known.update(zip(fresh, replay.encode([p.encode() for p in fresh])))
-        return [list(chain.from_iterable(map(known.__getitem__, p))) for p in pieces]
+        for at in range(0, len(fresh), INDEXED):
+            part = fresh[at : at + INDEXED]
+            known.update(zip(part, replay.encode([p.encode() for p in part])))
+        flat, sizes = [], []
+        for p in pieces:
+            before = len(flat)
+            flat.extend(chain.from_iterable(map(known.__getitem__, p)))
+            sizes.append(len(flat) - before)
+        return flat, sizes
 
     return encode
 
@@ -157,19 +183,20 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
 
     spark = docs.sparkSession
     pattern = pattern or P.PATTERN
-    shared = spark.sparkContext.broadcast(read_ranks(vocabulary or P.path("byte_bpe_multi_50k.tiktoken")))
+    ranks = read_ranks(vocabulary or P.path("byte_bpe_multi_50k.tiktoken"))
+    name = f"{pattern} {xxhash.xxh3_128_hexdigest(repr(sorted(ranks.items())))}"
+    shared = spark.sparkContext.broadcast((ranks, merge_ranks(ranks)))
     docs = docs.drop("ids")
     at = docs.columns.index("text")
 
     def run(batches):
-        to_ids = _encoder(shared.value, pattern)
+        to_ids = _encoder(shared.value[0], pattern, shared.value[1], name)
         for batch in batches:
             for start in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(start, BLOCK)
-                ids = to_ids(part.column(at).to_pylist())
-                offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=[*part.schema.names, "ids"])
+                flat, sizes = to_ids(part.column(at).to_pylist())
+                offsets = np.cumsum([0, *sizes], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.array(flat, np.int32)))], names=[*part.schema.names, "ids"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False))]))
 
@@ -180,6 +207,7 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     spark = encoded.sparkSession
     ranks = read_ranks(vocabulary or P.path("byte_bpe_multi_50k.tiktoken"))
+    name = f"{pattern} {xxhash.xxh3_128_hexdigest(repr(sorted(ranks.items())))}"
     shared = spark.sparkContext.broadcast({r: t for t, r in ranks.items()})
     encoded = encoded.drop("decoded")
     at = encoded.columns.index("ids")
