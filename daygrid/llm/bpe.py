@@ -207,7 +207,6 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     spark = encoded.sparkSession
     ranks = read_ranks(vocabulary or P.path("byte_bpe_multi_50k.tiktoken"))
-    name = f"{pattern} {xxhash.xxh3_128_hexdigest(repr(sorted(ranks.items())))}"
     shared = spark.sparkContext.broadcast({r: t for t, r in ranks.items()})
     encoded = encoded.drop("decoded")
     at = encoded.columns.index("ids")
