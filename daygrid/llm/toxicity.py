@@ -72,13 +72,13 @@ def entries(text: str) -> set[str]:
 
 
 class WordWeights(dict):
-    """word -> (word weight, best stem weight, is second person), for at most 500,000 words."""
+    """word -> (word weight, best stem weight, is second person), for at most 100,000 words."""
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
 
     def __missing__(self, w: str):
-        if len(self) >= 500_000:
+        if len(self) >= 100_000:
             self.clear()
         get = self.lexicon.get
         self[w] = got = (get(w, 0.0), max([get(s, 0.0) for s in stems(w)], default=0.0), w in SECOND_PERSON)
