@@ -37,7 +37,7 @@ MAX_VOCABULARY = 64 << 20
 #: processor's cache), and distinct pieces a Python worker remembers.
 BLOCK = 512
 INDEXED = 2_500
-REMEMBERED = 250_000
+REMEMBERED = 350_000
 #: White space as the rank files' library understands it (Unicode White_Space).
 WHITE = r"\t-\r \x85\xa0  -     　"
 
