@@ -53,6 +53,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 #: A pair of tokens as one number: left << PAIR_BITS | right.
 PAIR_BITS = 31
+#: How ids are kept in bytes.
+PACKED = np.dtype("<i4")
 
 
 def merge_ranks(ranks: dict[bytes, int]) -> dict[int, int]:
@@ -76,16 +78,21 @@ class MergeReplay:
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.byte_pairs = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], np.int64)
 
-    def encode(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """Token ids of every piece; one that is a token as a whole needs no merges."""
+    def encode(self, pieces: list[bytes]) -> list[list[int]]:
+        """Token ids of every piece."""
+        return [np.frombuffer(p, PACKED).tolist() for p in self.packed(pieces)]
+
+    def packed(self, pieces: list[bytes]) -> list[bytes]:
+        """Token ids of every piece, ``PACKED`` in bytes; one that is a token as a whole
+        needs no merges."""
         whole = [self.ranks.get(p) for p in pieces]
         merged = iter(self._replay([p for p, w in zip(pieces, whole) if w is None]))
-        return [next(merged) if w is None else (w,) for w in whole]
+        return [next(merged) if w is None else w.to_bytes(4, "little") for w in whole]
 
-    def _replay(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+    def _replay(self, pieces: list[bytes]) -> list[bytes]:
         data = np.frombuffer(b"".join(pieces), np.uint8)
         if not len(data):
-            return [() for _ in pieces]
+            return [b"" for _ in pieces]
         ends = np.cumsum([len(p) for p in pieces])
         pairs = self.byte_pairs[data[:-1], data[1:]]
         pairs[ends[:-1] - 1] = -1
@@ -137,9 +144,9 @@ class MergeReplay:
                     self._finish(int(ends[piece - 1]) if piece else 0, symbols, after, before)
         left = np.array(symbols)
         alive = left >= 0
-        bounds = [0, *np.cumsum(alive)[ends - 1].tolist()]
-        ids = left[alive].tolist()
-        return [tuple(ids[a:b]) for a, b in zip(bounds, bounds[1:])]
+        bounds = [0, *(4 * np.cumsum(alive)[ends - 1]).tolist()]
+        ids = left[alive].astype(PACKED).tobytes()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def _finish(self, start: int, symbols: list[int], after: list[int], before: list[int]) -> None:
         """The remaining merges of one piece, for the rare merge that opens a pair of a
@@ -161,7 +168,7 @@ class MergeReplay:
 
 
 #: What a Python worker remembers from one task to the next, by vocabulary.
-_remembered: dict[str, dict[str, tuple[int, ...]]] = {}
+_remembered: dict[str, dict[str, bytes]] = {}
 
 
 def _splitter(pattern: str):
@@ -173,24 +180,20 @@ def _splitter(pattern: str):
 
 
 def _encoder(ranks, pattern: str, merges: dict[int, int] | None = None, name: str | None = None):
-    """Blocks of texts -> (flat ids, ids per text), remembering pieces."""
+    """Blocks of texts -> (flat ids, ids per text), remembering the pieces' packed ids."""
     split, replay = _splitter(pattern), MergeReplay(ranks, merges)
     known = _remembered.setdefault(name, {}) if name else {}
 
-    def encode(texts: list[str | None]) -> tuple[list[int], list[int]]:
+    def encode(texts: list[str | None]) -> tuple[np.ndarray, list[int]]:
         if len(known) > REMEMBERED:
             known.clear()
         pieces = [split(t) if t else [] for t in texts]
         fresh = list(set(chain.from_iterable(pieces)).difference(known))
         for at in range(0, len(fresh), INDEXED):
             part = fresh[at : at + INDEXED]
-            known.update(zip(part, replay.encode([p.encode() for p in part])))
-        flat, sizes = [], []
-        for p in pieces:
-            before = len(flat)
-            flat.extend(chain.from_iterable(map(known.__getitem__, p)))
-            sizes.append(len(flat) - before)
-        return flat, sizes
+            known.update(zip(part, replay.packed([p.encode() for p in part])))
+        texts_ids = [b"".join(map(known.__getitem__, p)) for p in pieces]
+        return np.frombuffer(b"".join(texts_ids), PACKED), [len(ids) // 4 for ids in texts_ids]
 
     return encode
 
@@ -214,7 +217,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
                 part = batch.slice(start, BLOCK)
                 flat, sizes = to_ids(part.column(at).to_pylist())
                 offsets = np.cumsum([0, *sizes], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.array(flat, np.int32)))], names=[*part.schema.names, "ids"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=[*part.schema.names, "ids"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False))]))
 
