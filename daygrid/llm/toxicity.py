@@ -202,6 +202,13 @@ def _raw(trees, rows: DataFrame) -> DataFrame:
     return out.withColumn("_raw", vector_to_array("_probability")[1]).drop("_vector", "_probability", "_margin", "_class", "features")
 
 
+def _in_order(ready: DataFrame, max_labelled: int) -> DataFrame:
+    """The bounded learning rows in an order of their own values, one partition per
+    ``MAX_LABELLED``, so that sums and samples while learning, and so the model, do not
+    depend on how the documents are stored or which task ends first."""
+    return ready.coalesce(max(1, max_labelled // MAX_LABELLED)).sortWithinPartitions("features", "label")
+
+
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, rounds: int = 20, depth: int = 4) -> ToxicityModel:
     rows = training_rows(docs, labels, max_labelled)
     lexicon = learn_lexicon(rows.filter("fold < 5"))
@@ -215,10 +222,10 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
         maxIter=rounds, maxDepth=depth, stepSize=0.2, maxBins=64, minInstancesPerNode=5, seed=11,
     )
     gbt.setProbabilityCol("_probability").setRawPredictionCol("_margin")
-    trees = gbt.fit(ready.filter("fold < 8").withColumn("_vector", array_to_vector("features")).select("label", "_vector").coalesce(8))
+    trees = gbt.fit(_in_order(ready.filter("fold < 8"), max_labelled).select("label", array_to_vector("features").alias("_vector")))
     calibration = None
     if counts.get((True, 0.0)) and counts.get((True, 1.0)):
-        calibration = IsotonicRegression(featuresCol="_raw", labelCol="label", predictionCol="_step").fit(_raw(trees, ready.filter("fold >= 8")).select("_raw", "label"))
+        calibration = IsotonicRegression(featuresCol="_raw", labelCol="label", predictionCol="_step").fit(_raw(trees, _in_order(ready.filter("fold >= 8"), max_labelled)).select("_raw", "label"))
     return ToxicityModel(lexicon, trees, calibration, prior)
 
 

@@ -37,6 +37,13 @@ def test_held_out_labels_do_not_matter(spark, sf):
     assert score(labels) == score(flipped)
 
 
+def test_row_order_does_not_matter(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    score = lambda d: sorted((r["doc_id"], r["score"]) for r in X.train(d, labels).score(docs).collect())
+    assert score(docs) == score(docs.repartition(5, "text").sortWithinPartitions("n_chars"))
+
+
 def test_features_see_disguises():
     lexicon = X.WordWeights({"moron": 4.0, "vequ-": 3.0})
     f = dict(zip(X.FEATURES, X.features("YOU MORON! what a m0r0n, you vequster. i d i o t", lexicon)))
