@@ -35,7 +35,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with the hashes of the ids and of the decoded bytes."""
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text")).drop("text"))
+    coded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), keep_text=False)
     digests = bpe.digests(coded, "lang", "source", "ids")
     return digests.select("doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 

@@ -198,54 +198,91 @@ def _encoder(ranks, pattern: str, merges: dict[int, int] | None = None, name: st
     return encode
 
 
-def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:
-    """``docs`` with ``ids``: array<int>, the text's tokens. No special tokens."""
+def _vocabulary(path: str | None, pattern: str | None):
+    """The ranks of ``path`` (default: the public multilingual file), the pattern, and a
+    name under which workers remember pieces."""
     import public_tokenizers as P
 
-    spark = docs.sparkSession
     pattern = pattern or P.PATTERN
-    ranks = read_ranks(vocabulary or P.path("byte_bpe_multi_50k.tiktoken"))
-    name = f"{pattern} {xxhash.xxh3_128_hexdigest(repr(sorted(ranks.items())))}"
-    shared = spark.sparkContext.broadcast((ranks, merge_ranks(ranks)))
-    docs = docs.drop("ids")
-    at = docs.columns.index("text")
+    ranks = read_ranks(path or P.path("byte_bpe_multi_50k.tiktoken"))
+    return ranks, pattern, f"{pattern} {xxhash.xxh3_128_hexdigest(repr(sorted(ranks.items())))}"
+
+
+def _tokens(ranks: dict[bytes, int]) -> list[bytes]:
+    """Every token's bytes at its rank."""
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
+def _ids_column(flat: np.ndarray, sizes: list[int]) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes], dtype=np.int32)), pa.array(flat))
+
+
+def _decoded_column(tokens: list[bytes], ids: pa.Array) -> pa.Array:
+    flat, bounds = ids.flatten().to_numpy().tolist(), np.cumsum([0, *(n or 0 for n in pc.list_value_length(ids).to_pylist())]).tolist()
+    token = tokens.__getitem__
+    return pa.array([b"".join(map(token, flat[a:b])) if there else None for a, b, there in zip(bounds, bounds[1:], ids.is_valid().to_pylist())], pa.binary())
+
+
+def _with_columns(rows: DataFrame, source: str, added: dict[str, T.DataType], start, keep_source: bool = True) -> DataFrame:
+    """``rows`` with the ``added`` columns, made from the column ``source`` block by block;
+    ``start()`` gives a task's function from that column to the new ones."""
+    rows = rows.drop(*added)
+    at = rows.columns.index(source)
+    kept = [i for i in range(len(rows.columns)) if keep_source or i != at]
+    names = [*(rows.columns[i] for i in kept), *added]
 
     def run(batches):
-        to_ids = _encoder(shared.value[0], pattern, shared.value[1], name)
+        convert = start()
         for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(start, BLOCK)
-                flat, sizes = to_ids(part.column(at).to_pylist())
-                offsets = np.cumsum([0, *sizes], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=[*part.schema.names, "ids"])
+            for first in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(first, BLOCK)
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in kept), *convert(part.column(at))], names=names)
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False))]))
+    return rows.mapInArrow(run, T.StructType([*(rows.schema.fields[i] for i in kept), *(T.StructField(n, t) for n, t in added.items())]))
+
+
+IDS, BYTES = T.ArrayType(T.IntegerType(), False), T.BinaryType()
+
+
+def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:
+    """``docs`` with ``ids``: array<int>, the text's tokens. No special tokens."""
+    ranks, pattern, name = _vocabulary(vocabulary, pattern)
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, merge_ranks(ranks)))
+
+    def start():
+        to_ids = _encoder(shared.value[0], pattern, shared.value[1], name)
+        return lambda texts: [_ids_column(*to_ids(texts.to_pylist()))]
+
+    return _with_columns(docs, "text", {"ids": IDS}, start)
 
 
 def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``encoded`` with ``decoded``: binary, the bytes of the ids in ``ids``."""
-    import public_tokenizers as P
+    shared = encoded.sparkSession.sparkContext.broadcast(_tokens(_vocabulary(vocabulary, None)[0]))
+    return _with_columns(encoded, "ids", {"decoded": BYTES}, lambda: lambda ids: [_decoded_column(shared.value, ids)])
 
-    spark = encoded.sparkSession
-    ranks = read_ranks(vocabulary or P.path("byte_bpe_multi_50k.tiktoken"))
-    table = [b""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        table[rank] = token
-    shared = spark.sparkContext.broadcast(table)
-    encoded = encoded.drop("decoded")
-    at = encoded.columns.index("ids")
 
-    def run(batches):
-        token = shared.value.__getitem__
-        for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(start, BLOCK)
-                ids = part.column(at)
-                flat, bounds = ids.flatten().to_numpy().tolist(), np.cumsum([0, *(n or 0 for n in pc.list_value_length(ids).to_pylist())]).tolist()
-                data = [b"".join(map(token, flat[a:b])) if there else None for a, b, there in zip(bounds, bounds[1:], ids.is_valid().to_pylist())]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(data, pa.binary())], names=[*part.schema.names, "decoded"])
+def round_trip(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None, keep_text: bool = True) -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded``, as ``decode(encode(docs))``, by one Python
+    worker of a task: a chain of two would hold two workers, each with its vocabulary and
+    remembered pieces, and pass the ids between them. ``keep_text`` false drops ``text``."""
+    ranks, pattern, name = _vocabulary(vocabulary, pattern)
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, merge_ranks(ranks)))
+
+    def start():
+        to_ids = _encoder(shared.value[0], pattern, shared.value[1], name)
+        tokens = _tokens(shared.value[0])
+
+        def both(texts: pa.Array) -> list[pa.Array]:
+            ids = _ids_column(*to_ids(texts.to_pylist()))
+            return [ids, _decoded_column(tokens, ids)]
+
+        return both
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    return _with_columns(docs, "text", {"ids": IDS, "decoded": BYTES}, start, keep_text)
 
 
 def digests(encoded: DataFrame, *columns: str) -> DataFrame:
@@ -260,5 +297,4 @@ def digests(encoded: DataFrame, *columns: str) -> DataFrame:
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = encode(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
-    return digests(decode(ids))
+    return digests(round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False))

@@ -66,3 +66,13 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert len(rows) == odd_docs.count() and all(bytes(r["decoded"]) == (r["text"] or "").encode() for r in rows)
     assert out.columns == [c for c in odd_docs.columns if c != "ids"] + ["ids", "decoded"]
     assert bpe.decode(bpe.encode(no_docs)).count() == 0
+
+
+def test_round_trip_equals_encode_then_decode(odd_docs, no_docs):
+    docs = odd_docs.drop("ids")
+    two, one = bpe.decode(bpe.encode(docs)), bpe.round_trip(docs)
+    assert one.schema == two.schema
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    bare = bpe.round_trip(docs, keep_text=False)
+    assert bare.columns == [c for c in one.columns if c != "text"] and bare.count() == one.count()
+    assert bpe.round_trip(no_docs).count() == 0
