@@ -12,10 +12,14 @@ within tasks, then within salted parts of the host, then once per host, so a
 host with a third of all pages is never gathered in one task.
 
 Slots carry counts (pages, characters, characters inside links) and whether all
-pages had the same text there. A host's main group is its ``article`` or ``main``
-groups, else the group with most text that is not link text and stands in no
-menu, header, footer, sidebar, notice, advert, form, script or comment area. A page's
-text is read off by aligning it with its host's wrapper.
+pages had the same text there. A page is aligned with its host's wrapper, and the
+groups of the wrapper that occur in it are its template. Its main group is chosen
+among them from the wrapper's slots: text that is not link text, not constant over
+the host and in no menu, header, footer, sidebar, notice, advert, form, script or
+comment area. ``article``, ``main`` and role=main are evidence: they are the main
+group where they hold at least half of that text. Else it is the smallest area that
+holds ``AREA_SHARE`` of its surroundings' text and has no text beside it. A page
+left without text by the wrapper's evidence is judged by its own text.
 
 Defined results: null or empty html gives an empty text; a url without a host
 belongs to the host ``''``; markup is read leniently (unclosed and stray tags, a
@@ -51,8 +55,12 @@ ASIDE_WORDS = frozenset(
     "notice cookie cookies consent gdpr popup modal newsletter subscribe signup login share sharing social related recommended comment comments reply replies respond discussion disqus pagination pager toolbar".split()
 )
 MAIN_TAGS = frozenset(["article", "main"])
-#: Groups whose text counts for the group they stand in.
-_TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dd dt table tbody thead tr td th figure section div".split())
+#: Groups of text, as opposed to areas of a page.
+_TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dd dt figure figcaption math".split())
+#: Pages that must agree before a text counts as constant, and the share of its
+#: surroundings' text that makes an area the main one.
+CONSTANT_PAGES = 3
+AREA_SHARE = 0.8
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</([a-zA-Z][\w:-]*)[^>]*>|<([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -71,7 +79,7 @@ class Node:
 
 
 def _label(tag: str, attributes: str) -> str:
-    named = [html.unescape(v.strip("\"'")) for _, v in _NAMED.findall(attributes)] if attributes else []
+    named = [("role=" if k.lower() == "role" else "") + html.unescape(v.strip("\"'")).strip() for k, v in _NAMED.findall(attributes)] if attributes else []
     return " ".join([tag, *(_DIGITS.sub("0", v.lower()) for v in named)])
 
 
@@ -206,55 +214,105 @@ def load(x: list) -> Node:
     return out
 
 
-def choose_main(wrapper: Node) -> Node:
-    """Marks the main groups of a host's wrapper (``many`` gains ``!``)."""
-    found: list[Node] = []
-    best: list = [0, None]
+def gathered(n: Node) -> Node:
+    """A wrapper whose optional groups of one label and one parent are one group (merging
+    templates in different orders leaves copies of a group, each with a part of its pages)."""
+    out = Node(n.label, n.many)
+    out.stats = n.stats
+    at: dict[str, int] = {}
+    for k in n.kids:
+        optional = k.many in ("?", "*")
+        if optional and k.label in at:
+            out.kids[at[k.label]] = merge(out.kids[at[k.label]], k)
+            continue
+        if optional:
+            at[k.label] = len(out.kids)
+        out.kids.append(k)
+    out.kids = [gathered(k) for k in out.kids]
+    return out
+
+
+def _is_main(label: str) -> bool:
+    tag, _, named = label.partition(" ")
+    return tag in MAIN_TAGS or "role=main" in named.split()
+
+
+def align_page(n: Node, w: Node | None) -> None:
+    """Aligns a page with its host's wrapper: ``stats`` of every node becomes its group there."""
+    n.stats = w
+    groups = w.kids if w else []
+    at = 0
+    for k in n.kids:
+        here = next((i for i in range(at, len(groups)) if groups[i].label == k.label), None)
+        if here is None:
+            here = next((i for i in range(at) if groups[i].label == k.label), None)
+        else:
+            at = here
+        align_page(k, groups[here] if here is not None else None)
+
+
+def _plain(slot: Node, shared: bool, marked: bool) -> float:
+    """Plain text expected in a slot: the wrapper's mean of characters that are no link
+    text, none if all pages have one text there (within ``article`` or ``main`` that
+    is no evidence: copies of one page look constant); else the page's own."""
+    if shared and slot.stats:
+        pages, chars, links, constant = slot.stats.stats
+        return 0.0 if constant and pages >= CONSTANT_PAGES and not marked else max(0, chars - 2 * links) / pages
+    size = len(_words(slot))
+    return float(max(0, size - 2 * min(slot.links, size)))
 
-    def walk(n: Node) -> int:
-        """Plain text directly or in text groups below ``n``, outside of asides."""
+
+def main_groups(page: Node, shared: bool = True) -> list[Node]:
+    """The main groups of an aligned page, chosen for its template (the wrapper's
+    groups that occur in it) from the wrapper's slots, or from its own text alone."""
+    mass: dict[int, float] = {}
+    marked: list[Node] = []
+
+    def walk(n: Node, within: bool) -> float:
         if n.label == "#":
-            return n.stats[1] - 2 * n.stats[2]
-        if is_aside(n.label):
-            return 0
-        if n.label.split(" ")[0] in MAIN_TAGS or "role" in n.label and "main" in n.label:
-            found.append(n)
-        mass = [walk(k) for k in n.kids]
-        own = sum(m for m, k in zip(mass, n.kids) if k.label == "#" or k.label.split(" ")[0] in _TEXT_TAGS)
-        if own > best[0]:
-            best[:] = [own, n]
-        return sum(mass)
-
-    walk(wrapper)
-    for n in found or [best[1] or wrapper]:
-        n.many += "!"
-    return wrapper
+            m = _plain(n, shared, within)
+        elif is_aside(n.label):
+            m = 0.0
+        else:
+            if not within and _is_main(n.label):
+                marked.append(n)
+                within = True
+            m = sum(walk(k, within) for k in n.kids)
+        mass[id(n)] = m
+        return m
+
+    total = walk(page, False)
+    if 2 * sum(mass[id(n)] for n in marked) >= total > 0:
+        return [n for n in marked if mass[id(n)]]
+    best = page
+    while total:
+        # text beside the heaviest area belongs to it, smaller areas do not
+        areas = [k for k in best.kids if k.label.split(" ")[0] not in _TEXT_TAGS and k.label != "#"]
+        heaviest = max(areas, key=lambda k: mass[id(k)], default=None)
+        if heaviest is None or mass[id(heaviest)] < AREA_SHARE * mass[id(best)] or any(mass[id(k)] for k in best.kids if k not in areas):
+            break
+        best = heaviest
+    return [best]
 
 
 def extract(page: Node, wrapper: Node) -> str:
-    """The page's main text, read off by aligning it with the wrapper."""
+    """The page's main text, read off by aligning it with the wrapper; from the page's
+    own best group if the wrapper's evidence leaves a page with text without any."""
+    align_page(page, wrapper)
     out: list[str] = []
 
-    def read(n: Node, w: Node | None, main: bool) -> None:
+    def read(n: Node) -> None:
         if n.label == "#":
-            if main:
-                out.append(_words(n))
-            return
-        if is_aside(n.label):
-            return
-        main = main or bool(w and "!" in w.many)
-        groups = w.kids if w else []
-        at = 0
-        for k in n.kids:
-            here = next((i for i in range(at, len(groups)) if groups[i].label == k.label), None)
-            if here is None:
-                here = next((i for i in range(at) if groups[i].label == k.label), None)
-                read(k, groups[here] if here is not None else None, main)
-            else:
-                at = here
-                read(k, groups[here], main)
-
-    read(page, wrapper, "!" in wrapper.many)
+            out.append(_words(n))
+        elif not is_aside(n.label):
+            for k in n.kids:
+                read(k)
+
+    for shared in (True, False):
+        for n in main_groups(page, shared):
+            read(n)
+        if any(out):
+            break
     return " ".join(t for t in out if t)
 
 
@@ -304,7 +362,7 @@ def _texts(batches):
                 if (w := wrappers.get(wrapper)) is None:
                     if len(wrappers) > 500:
                         wrappers.clear()
-                    w = wrappers[wrapper] = choose_main(load(json.loads(wrapper)))
+                    w = wrappers[wrapper] = gathered(load(json.loads(wrapper)))
                 out.append(extract(parse(page), w))
             yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 

@@ -73,3 +73,27 @@ def test_odd_pages(spark):
     by = {r["page_id"]: r["text"] for r in got}
     assert by[1] == by[2] == by[5] == by[None] == "" and by[3] == "plain text only" and by[4] == "one two boldly" and len(by[6]) == 249_999
     assert W.extract_pages(df.limit(0)).count() == 0
+
+
+def texts_of(spark, pages):
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in sorted(W.extract_pages(df.repartition(3)).collect(), key=lambda r: r["page_id"])]
+
+
+def test_mixed_templates_of_one_host(spark):
+    """Every template of a host (or of no host) has a main group of its own."""
+    for host in ("https://mixed.example/", "no host "):
+        pages, want = [], []
+        for i in range(36):
+            text = f"Story {i} goes on for quite some words, number {i * i}, and so on until it ends."
+            old = f"Old layout {i} tells a story too, of {i + 7} things, in a plain column of text."
+            cards = "".join(f"<article><h3>Card {i}{k}</h3></article>" for k in range(3))
+            body, exp = (
+                (f"<article><p>{text}</p></article>", text),
+                (f'<div class="col"><h1>Title {i}</h1><div class="text"><p>{old}</p></div></div><div class="legal"><p>The same small print stands below all pages of this host, always, and it is long.</p></div>', f"Title {i} {old}"),
+                (f'<div class="story"><p>{text}</p><p>{old}</p></div><div class="cards">{cards}</div>', f"{text} {old}"),
+                (f'<div role="main"><p>{text}</p></div><div class="x"><p>teaser {i}</p></div>', text),
+            )[i % 4]
+            pages.append((f"{host}{i}", f"<html><body><nav><a href=/>home</a></nav>{body}</body></html>"))
+            want.append(exp)
+        assert texts_of(spark, pages) == want
