@@ -16,7 +16,10 @@ pages had the same text there. A page is aligned with its host's wrapper, and th
 groups of the wrapper that occur in it are its template. Its main group is chosen
 among them from the wrapper's slots: text that is not link text, not constant over
 the host and in no menu, header, footer, sidebar, notice, advert, form, script or
-comment area. ``article``, ``main`` and role=main are evidence: they are the main
+comment area. Such areas are known by tag or by a whole class, id or role; by name
+only, never ``body``, ``main``, ``article``, headings, paragraphs or what holds the
+main group. Inside a main group most names (``WEAK_WORDS``) need the wrapper's
+evidence: half of the text is links or constant. ``article``, ``main`` and role=main are evidence: they are the main
 group where they hold at least half of that text. Else it is the smallest area that
 holds ``AREA_SHARE`` of its surroundings' text and has no text beside it. A page
 left without text by the wrapper's evidence is judged by its own text.
@@ -34,6 +37,7 @@ import html
 import json
 import re
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -48,12 +52,20 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title svg math iframe object select".split())
 CLOSED_BY = {"p": frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
-# Areas that are not main text, by tag, and by words of class, id or role.
-ASIDE_TAGS = frozenset("head nav header footer aside form button menu dialog script style noscript template textarea title svg math iframe object select figcaption".split())
-ASIDE_WORDS = frozenset(
-    "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget ad ads advert adverts advertisement banner sponsor sponsored promo promotion "
-    "notice cookie cookies consent gdpr popup modal newsletter subscribe signup login share sharing social related recommended comment comments reply replies respond discussion disqus pagination pager toolbar".split()
+# Areas that are not main text, by tag, and by names in class, id or role.
+ASIDE_TAGS = frozenset("head nav header footer aside form button menu script style noscript template textarea title svg iframe select".split())
+#: Names of comment areas, of other areas that stand for themselves, and of areas that
+#: inside a main group are dropped only if the wrapper shows them as links or constant.
+COMMENT_WORDS = frozenset("comment comments reply replies respond disqus".split())
+SURE_WORDS = frozenset("ad ads advert adverts advertisement sponsored cookie cookies gdpr consent popup modal newsletter login breadcrumb breadcrumbs pagination pager".split())
+WEAK_WORDS = frozenset(
+    "nav navbar navigation menu menubar header masthead footer contentinfo sidebar aside complementary widget banner sponsor promo promotion notice alert search "
+    "subscribe signup share sharing social related recommended discussion toolbar".split()
 )
+#: Words a name may be made of beside those ("comment-list", but not "no-sidebar").
+_NAME_WORDS = frozenset("area article bar block bottom box button buttons container entry form group inner item items left link links list main outer page panel post posts primary right secondary section site top wrap wrapper".split())
+#: Groups that are never an aside for their names.
+NEVER_ASIDE = frozenset("page html body main article p h1 h2 h3 h4 h5 h6".split())
 MAIN_TAGS = frozenset(["article", "main"])
 #: Groups of text, as opposed to areas of a page.
 _TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dd dt figure figcaption math".split())
@@ -83,9 +95,24 @@ def _label(tag: str, attributes: str) -> str:
     return " ".join([tag, *(_DIGITS.sub("0", v.lower()) for v in named)])
 
 
-def is_aside(label: str) -> bool:
+@lru_cache(100_000)
+def aside_kind(label: str) -> str:
+    """``tag``, ``comment``, ``sure``, ``weak`` or '' for a group of this tag and names."""
     tag, _, named = label.partition(" ")
-    return tag in ASIDE_TAGS or bool(named) and not ASIDE_WORDS.isdisjoint(_PARTS.findall(named))
+    if tag in ASIDE_TAGS:
+        return "tag"
+    if tag in NEVER_ASIDE:
+        return ""
+    words: set[str] = set()
+    for name in named.split():
+        parts = _PARTS.findall(name.removeprefix("role="))
+        if all(p in COMMENT_WORDS or p in SURE_WORDS or p in WEAK_WORDS or p in _NAME_WORDS for p in parts):
+            words.update(parts)
+    if not COMMENT_WORDS.isdisjoint(words):
+        return "comment"
+    if not SURE_WORDS.isdisjoint(words):
+        return "sure"
+    return "weak" if tag == "dialog" or not WEAK_WORDS.isdisjoint(words) else ""
 
 
 def parse(page: str | None) -> Node:
@@ -262,28 +289,68 @@ def _plain(slot: Node, shared: bool, marked: bool) -> float:
     return float(max(0, size - 2 * min(slot.links, size)))
 
 
-def main_groups(page: Node, shared: bool = True) -> list[Node]:
+def asides(page: Node, shared: bool, names: bool = True) -> tuple[set[int], list[Node]]:
+    """Ids of a page's aside groups and its outermost ``article`` or ``main`` groups.
+
+    No aside is what holds the main group: a form around a page's areas, or a group
+    that is an aside by name only and has half of the page's plain text, unless the
+    ``article`` or ``main`` groups with text are elsewhere.
+    """
+    mass: dict[int, float] = {}
+    holds: dict[int, bool] = {}
+    marked: list[Node] = []
+    out: set[int] = set()
+    named: list[Node] = []
+
+    def walk(n: Node, within: bool) -> bool:
+        """Whether ``n`` has a page's areas (``article``, ``main``, header, footer, nav)."""
+        if n.label == "#":
+            mass[id(n)] = _plain(n, shared, within)
+            return False
+        kind = aside_kind(n.label)
+        tag = n.label.split(" ")[0]
+        if kind == "tag" and tag != "form" or kind == "comment" and names:
+            out.add(id(n))
+            mass[id(n)] = 0.0
+            return tag in ("nav", "header", "footer")
+        before = len(marked)
+        if not within and _is_main(n.label):
+            marked.append(n)
+            within = True
+        areas = [walk(k, within) for k in n.kids]
+        mass[id(n)] = sum(mass[id(k)] for k in n.kids)
+        if tag == "form" and not any(areas):
+            out.add(id(n))
+            mass[id(n)] = 0.0
+            del marked[before:]
+        elif kind in ("sure", "weak") and names:
+            named.append(n)
+            holds[id(n)] = any(mass[id(m)] for m in marked[before:])
+        return any(areas) or _is_main(n.label)
+
+    walk(page, False)
+    some = any(mass[id(m)] for m in marked)
+    for n in named:
+        if 2 * mass[id(n)] < mass[id(page)] or not mass[id(n)] or some and not holds[id(n)]:
+            out.add(id(n))
+    return out, marked
+
+
+def main_groups(page: Node, dropped: set[int], marked: list[Node], shared: bool = True) -> list[Node]:
     """The main groups of an aligned page, chosen for its template (the wrapper's
     groups that occur in it) from the wrapper's slots, or from its own text alone."""
     mass: dict[int, float] = {}
-    marked: list[Node] = []
+    tops = set(map(id, marked))
 
     def walk(n: Node, within: bool) -> float:
-        if n.label == "#":
-            m = _plain(n, shared, within)
-        elif is_aside(n.label):
-            m = 0.0
-        else:
-            if not within and _is_main(n.label):
-                marked.append(n)
-                within = True
-            m = sum(walk(k, within) for k in n.kids)
-        mass[id(n)] = m
+        within = within or id(n) in tops
+        m = mass[id(n)] = 0.0 if id(n) in dropped else _plain(n, shared, within) if n.label == "#" else sum([walk(k, within) for k in n.kids])
         return m
 
     total = walk(page, False)
-    if 2 * sum(mass[id(n)] for n in marked) >= total > 0:
-        return [n for n in marked if mass[id(n)]]
+    found = [n for n in marked if mass.get(id(n))]
+    if 2 * sum(mass[id(n)] for n in found) >= total > 0:
+        return found
     best = page
     while total:
         # text beside the heaviest area belongs to it, smaller areas do not
@@ -295,22 +362,42 @@ def main_groups(page: Node, shared: bool = True) -> list[Node]:
     return [best]
 
 
+def _sums(n: Node, marked: bool) -> tuple[float, float]:
+    """(plain, all) characters expected below a group."""
+    if n.label == "#":
+        return _plain(n, True, marked), n.stats.stats[1] / n.stats.stats[0] if n.stats else float(len(_words(n)))
+    both = [_sums(k, marked) for k in n.kids]
+    return sum(b[0] for b in both), sum(b[1] for b in both)
+
+
 def extract(page: Node, wrapper: Node) -> str:
     """The page's main text, read off by aligning it with the wrapper; from the page's
     own best group if the wrapper's evidence leaves a page with text without any."""
     align_page(page, wrapper)
     out: list[str] = []
+    dropped: set[int] = set()
 
-    def read(n: Node) -> None:
+    def read(n: Node, constant: bool, broad: bool) -> None:
         if n.label == "#":
             out.append(_words(n))
-        elif not is_aside(n.label):
-            for k in n.kids:
-                read(k)
-
-    for shared in (True, False):
-        for n in main_groups(page, shared):
-            read(n)
+            return
+        if id(n) in dropped:
+            if aside_kind(n.label) != "weak" or broad and not n.label.startswith("section"):
+                return
+            plain, size = _sums(n, constant)
+            if 2 * plain < size:
+                return
+        for k in n.kids:
+            read(k, constant, broad)
+
+    for shared, names in ((True, True), (False, True), (False, False)):
+        dropped, marked = asides(page, shared, names)
+        if not names and marked:
+            break
+        for n in main_groups(page, dropped, marked, shared):
+            # a main group of constant text makes constancy no evidence, and what is
+            # chosen as broadly as the page says little about the areas in it
+            read(n, not _sums(n, False)[0], n.label.split(" ")[0] in ("page", "html", "body"))
         if any(out):
             break
     return " ".join(t for t in out if t)

@@ -97,3 +97,23 @@ def test_mixed_templates_of_one_host(spark):
             pages.append((f"{host}{i}", f"<html><body><nav><a href=/>home</a></nav>{body}</body></html>"))
             want.append(exp)
         assert texts_of(spark, pages) == want
+
+
+def test_names_that_are_no_asides(spark):
+    """Whole names count, never those of body, article or what holds the main group."""
+    pages, want = [], []
+    for i in range(30):
+        a, b, c = (f"Part {k} of story {i} has its own {i * k + 3} words and ends here." for k in range(3))
+        share = '<div class="share"><a href=/f>share on one</a> <a href=/g>share on two</a></div>'
+        talk = f'<ul class="comment-list"><li>reader {i} says this and that at length, {i} times over</li></ul>'
+        box = '<div class="notice">This notice is the same everywhere.</div>'
+        body, exp = (
+            (f'<body class="no-sidebar"><article class="post has-comments"><p>{a}</p>{share}<p>{b}</p>{box}{talk}</article></body>', f"{a} {b}"),
+            (f'<body><div class="content-with-menu"><p>{a}</p><p>{b}</p></div><div class="site-footer"><p>{c[:9]}</p></div></body>', f"{a} {b}"),
+            (f'<body><main><h2 id="related-work">Related {i}</h2><p>{a}</p><section id="discussion"><p>{b}</p></section><figure><figcaption>{c}</figcaption></figure></main></body>', f"Related {i} {a} {b} {c}"),
+            (f'<body><form action="/all"><header>Top</header><div class="widget"><div class="col"><p>{a}</p><p>{b}</p></div></div><footer>{c}</footer></form></body>', f"{a} {b}"),
+            (f'<body><article><p>{a}</p><form><p>Search here</p></form></article><div class="sidebar"><p>{b}</p></div></body>', a),
+        )[i % 5]
+        pages.append((f"https://names.example/{i}", f"<html>{body}</html>"))
+        want.append(exp)
+    assert texts_of(spark, pages) == want
