@@ -50,7 +50,12 @@ from .common import join_by_size, spilled, table
 # HTML element kinds.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg math iframe object select".split())
+#: Elements whose content is no markup: skipped to the end tag or the end of the page.
+RAW = frozenset("script style textarea title".split())
+#: Elements a block tag ends if they were left open, and the elements in them that hold markup.
+LEFT_OPEN = frozenset("svg math select".split())
+_HOLDING = frozenset("foreignobject annotation-xml desc".split())
+_BLOCKS = frozenset("article aside blockquote body div dl dd dt footer form h1 h2 h3 h4 h5 h6 header li main nav ol p pre section table ul".split())
 CLOSED_BY = {"p": frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 # Areas that are not main text, by tag, and by names in class, id or role.
 ASIDE_TAGS = frozenset("head nav header footer aside form button menu script style noscript template textarea title svg iframe select".split())
@@ -120,7 +125,7 @@ def parse(page: str | None) -> Node:
     root = Node("page")
     stack = [root]
     page = page or ""
-    at, links = 0, 0
+    at, links, left_open = 0, 0, False
 
     def put(piece: str) -> None:
         if piece:
@@ -153,6 +158,16 @@ def parse(page: str | None) -> Node:
             links = 0
             while len(stack) > 1 and tag in CLOSED_BY.get(stack[-1].label.split(" ")[0], ()):
                 stack.pop()
+            if left_open and tag in _BLOCKS:
+                for i in range(len(stack) - 1, 0, -1):
+                    open_tag = stack[i].label.split(" ")[0]
+                    if open_tag in _HOLDING:
+                        break
+                    if open_tag in LEFT_OPEN:
+                        del stack[i:]
+                        break
+                while len(stack) > 1 and tag in CLOSED_BY.get(stack[-1].label.split(" ")[0], ()):
+                    stack.pop()
             if tag in RAW:
                 end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
@@ -162,6 +177,7 @@ def parse(page: str | None) -> Node:
                 stack[-1].kids.append(node)
                 if tag not in VOID and not m[3].rstrip().endswith("/"):
                     stack.append(node)
+                    left_open = left_open or tag in LEFT_OPEN
     return root
 
 

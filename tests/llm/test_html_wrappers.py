@@ -117,3 +117,19 @@ def test_names_that_are_no_asides(spark):
         pages.append((f"https://names.example/{i}", f"<html>{body}</html>"))
         want.append(exp)
     assert texts_of(spark, pages) == want
+
+
+def test_open_and_empty_embedded_elements(spark):
+    """Self-closing or unclosed elements take no text with them; math keeps its text."""
+    pages, want = [], []
+    for i in range(24):
+        a, b, c = (f"Line {k} of page {i} stands here." for k in range(3))
+        inner, exp = (
+            (f'<p>{a}</p><svg width="1"/><p>{b}</p><iframe src="x"/><object data="y"/><math/><p>{c}</p>', f"{a} {b} {c}"),
+            (f"<p>{a}<svg viewBox='0'><path d='M0'><p>{b}<select><option>pick<p>{c}", f"{a} {b} {c}"),
+            (f"<div><p>{a}</p><object data=z></div><div><iframe src=q></div><p>{b}</p><math><mi>x</mi>", f"{a} {b} x"),
+            (f"<p>{a}</p><svg><text>drawn</text><foreignObject><p>inside</p></foreignObject></svg><noscript><p>no</p></noscript><p>if <math><mi>y</mi></math> {b}</p>", f"{a} if y {b}"),
+        )[i % 4]
+        pages.append((f"https://open.example/{i}", f"<body><article>{inner}</article></body>"))
+        want.append(exp)
+    assert texts_of(spark, pages) == want
