@@ -6,7 +6,8 @@ slides a window over each and keeps the Shannon entropy of the window's
 characters up to date from incremental counts (one character enters, one
 leaves). Thresholds depend on the character class of the candidate. Candidates
 on the allow list (words, versions, dates, paths, UUIDs, documented sample
-keys) are suppressed, and a candidate that overlaps a fixed span adds nothing.
+keys) are suppressed. What fixed spans cover is cut out of a candidate first; every
+stretch left over is judged as a candidate of its own.
 
 Spans are code-point offsets, end exclusive. Defined results: a null or empty
 text has no spans; equal rows get equal results; U+FDD0 and U+FDD1 (Unicode
@@ -117,12 +118,31 @@ def _passing_windows(value: Column, bits: Column, window: int) -> Column:
     return let(F.split(value, ""), lambda c: let(F.filter(c, lambda x: x != ""), scan))
 
 
-def _entropy_spans(text: Column, window: int) -> Column:
-    """Per candidate, from its first passing window to its last, if any passes."""
+def _left_over(s: Column, covered: Column) -> Column:
+    """The stretches of a candidate outside of ``covered`` (spans by start)."""
+
+    def piece(a: Column, b: Column) -> Column:
+        return F.array(F.struct(a.alias("start"), b.alias("end"), s["kind"].alias("kind"), F.substring(s["value"], a - s["start"] + 1, b - a).alias("value")))
+
+    def step(state: Column, b: Column) -> Column:
+        parts = F.when(b["start"] > state["at"], F.concat(state["parts"], piece(state["at"], b["start"]))).otherwise(state["parts"])
+        return F.struct(F.greatest(state["at"], b["end"]).alias("at"), parts.alias("parts"))
+
+    touching = F.filter(covered, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    last = F.array(F.struct(s["end"].alias("start"), s["end"].alias("end")))
+    zero = F.struct(s["start"].alias("at"), F.array().cast("array<struct<start:int,end:int,kind:int,value:string>>").alias("parts"))
+    return F.aggregate(F.concat(touching, last), zero, step)["parts"]
+
+
+def _entropy_spans(candidates: Column, covered: Column, window: int) -> Column:
+    """Per candidate, or stretch of it that ``covered`` spans leave over, from its first
+    passing window to its last, if any passes."""
     bits = lambda v: F.coalesce(*[F.when(v.rlike(p), F.lit(b)) for p, b in CLASS_BITS])
     allowed = lambda v: v.rlike("|".join(f"(?:{p})" for p in ALLOWED))
+    # a stretch is held against the allow list without the characters that joined it
+    rest = F.filter(F.flatten(F.transform(candidates, lambda s: _left_over(s, covered))), lambda s: ~allowed(F.btrim(s["value"], F.lit("+/_=-"))))
     found = F.transform(
-        F.filter(_matches(text, CANDIDATE, "entropy"), lambda s: ~allowed(s["value"])),
+        F.when(F.size(covered) == 0, F.filter(candidates, lambda s: ~allowed(s["value"]))).otherwise(rest),
         lambda s: F.struct(s.alias("s"), _passing_windows(s["value"], bits(s["value"]), window).alias("ends")),
     )
     return F.transform(
@@ -148,13 +168,14 @@ def scan_secrets(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             "_assign": F.when(F.contains(text, F.lit("=")) | F.contains(text, F.lit(":")), _matches(text, ASSIGN, "assign", ASSIGN_VALUE)).otherwise(none),
             "_access": F.when(F.contains(text, F.lit("AKIA")), _matches(text, ACCESS, "access")).otherwise(none),
             "_hex": _matches(text, HEX, "hex"),
-            "_entropy": _entropy_spans(text, window),
+            "_candidates": _matches(text, CANDIDATE, "entropy"),
         }
     )
     step = step.withColumn("_base", F.concat("_assign", "_access", "_hex"))
-    clear = F.filter("_entropy", lambda e: ~F.exists("_base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
-    spans = F.transform(F.sort_array(F.transform(F.concat("_base", clear), lambda s: F.struct(s["start"], s["kind"], s["end"]))), lambda s: F.struct(s["start"], s["end"], s["kind"]))
-    return step.withColumn("secret_spans", spans).drop("_assign", "_access", "_hex", "_entropy", "_base")
+    step = step.withColumn("_covered", F.sort_array(F.transform("_base", lambda b: F.struct(b["start"], b["end"]))))
+    step = step.withColumn("_entropy", _entropy_spans(F.col("_candidates"), F.col("_covered"), window))
+    spans = F.transform(F.sort_array(F.transform(F.concat("_base", "_entropy"), lambda s: F.struct(s["start"], s["kind"], s["end"]))), lambda s: F.struct(s["start"], s["end"], s["kind"]))
+    return step.withColumn("secret_spans", spans).drop("_assign", "_access", "_hex", "_candidates", "_base", "_covered", "_entropy")
 
 
 def redact(docs: DataFrame, window: int = WINDOW, by: str = "[SECRET]") -> DataFrame:
