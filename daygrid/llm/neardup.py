@@ -1,6 +1,7 @@
 """MinHash near-dedup by a multi-index Hamming join.
 
-A document is the set of its distinct 2-word shingles. Every distinct set gets a
+A document is the set of its distinct shingles, of two words in op2 and of five
+where nothing else is asked for (the pipeline's stage). Every distinct set gets a
 signature of ``POSITIONS`` min-hashes of ``b`` = 8 bits. Signatures are split into
 ``CHUNKS`` chunks; two signatures that differ in at most ``GUARANTEED`` positions
 agree, by pigeonhole, in some chunk up to one position, so with every single
@@ -24,7 +25,7 @@ different components.
 
 Defined results: words are split at ASCII white space after lower-casing A-Z; a
 null text counts as empty; a text without words has the empty set and links
-with nothing; one word is a set of one. Rows that share a doc_id are one
+with nothing; a text with fewer words than a shingle is a set of one. Rows that share a doc_id are one
 document, its text the longest of them (the greatest if equally long). Rows with
 a null doc_id are returned as they are: component null, kept. Extra columns play
 no role. An empty table gives an empty result.
@@ -50,13 +51,22 @@ _MULT = _rng.integers(1, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + n
 _ADD = _rng.integers(0, 1 << 63, POSITIONS, dtype=np.uint64)
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
-    """For every text the sorted distinct 64-bit hashes of its 2-word shingles."""
+#: Words of a shingle: op2's, and that of ``deduplicated`` unless asked otherwise.
+PAIRS, SHINGLE = 2, 5
+
+
+def shingle_sets(texts: list[str | None], words: int = PAIRS) -> list[np.ndarray]:
+    """For every text the sorted distinct 64-bit hashes of its shingles of ``words`` words."""
     h, bounds = hashed_words([(t or "").encode().lower() for t in texts])
-    pairs = mix(h[:-1] * np.uint64(0xD6E8FEB86659FD93) + mix(h[1:])) if len(h) > 1 else h[:0]
-    out = []
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        out.append(np.unique(pairs[a : b - 1]) if b - a > 1 else mix(h[a:b] ^ np.uint64(0x9E3779B97F4A7C15)))
+    out: list[np.ndarray] = [h[:0]] * len(texts)
+    sizes = np.diff(bounds)
+    runs = h  # hashes of all runs of ``n`` words
+    for n in range(1, words + 1):
+        if n > 1:
+            runs = mix(runs[:-1] * np.uint64(0xD6E8FEB86659FD93) + mix(h[n - 1 :])) if len(runs) > 1 else h[:0]
+        for i in np.flatnonzero(sizes >= words if n == words else sizes == n):
+            a, b = bounds[i], bounds[i + 1]
+            out[i] = np.unique(runs[a : b - n + 1]) if n == words else mix(runs[a : a + 1] ^ np.uint64(0x9E3779B97F4A7C15))
     return out
 
 
@@ -68,11 +78,11 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (mix(least) >> np.uint64(56)).astype(np.uint8)
 
 
-def _sketch(batches):
+def _sketch(batches, words: int):
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
             part = batch.slice(at, 64)
-            sets = shingle_sets(part.column("text").to_pylist())
+            sets = shingle_sets(part.column("text").to_pylist(), words)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
@@ -102,7 +112,7 @@ def _chunk_keys(batches):
 _COMPARED = "a long, c long, size long, linked boolean, delta array<long>"
 
 
-def _compare(batches):
+def _compare(batches, words: int):
     """Full sets of members ``a`` against their leaders ``c``: size of a's set, whether
     they are linked, and the delta, elements outside the leader first."""
     leader = (None, None)
@@ -110,9 +120,9 @@ def _compare(batches):
         out = []
         for at in range(0, batch.num_rows, 64):
             part = list(rows_of(batch.slice(at, 64), "a", "c", "text_a", "text_c"))
-            for (a, c, _, text_c), s in zip(part, shingle_sets([p[2] for p in part])):
+            for (a, c, _, text_c), s in zip(part, shingle_sets([p[2] for p in part], words)):
                 if leader[0] != text_c:
-                    leader = (text_c, shingle_sets([text_c])[0])
+                    leader = (text_c, shingle_sets([text_c], words)[0])
                 added, gone = np.setdiff1d(s, leader[1], assume_unique=True), np.setdiff1d(leader[1], s, assume_unique=True)
                 d = len(added) + len(gone)
                 out.append((a, c, len(s), 9 * d <= len(s) + len(leader[1]), np.concatenate([added, gone]).view(np.int64)))
@@ -120,11 +130,11 @@ def _compare(batches):
             yield pa.RecordBatch.from_arrays([pa.array(col, t) for col, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())))], names=["a", "c", "size", "linked", "delta"])
 
 
-def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def compare(pairs: DataFrame, texts: DataFrame, words: int = PAIRS) -> DataFrame:
     """Full sets of distinct (a, c) pairs compared; ``texts``: (rep, text)."""
     member = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
     leader = texts.select(F.col("rep").alias("c"), F.col("text").alias("text_c"))
-    return pairs.join(member, "a").join(leader, "c").select("a", "c", "text_a", "text_c").mapInArrow(_compare, _COMPARED)
+    return pairs.join(member, "a").join(leader, "c").select("a", "c", "text_a", "text_c").mapInArrow(lambda batches: _compare(batches, words), _COMPARED)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -191,10 +201,11 @@ def one_row_each(source: DataFrame) -> DataFrame:
     return source.join(again, "doc_id", "left_anti").unionByName(merged)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row for each doc_id."""
+def near_duplicates(docs: DataFrame, words: int = PAIRS) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row for each doc_id, over shingles
+    of ``words`` words."""
     source = one_row_each(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    sketched = spilled(source.mapInArrow(_sketch, "doc_id long, n_shingles long, set_id binary, sig binary"))
+    sketched = spilled(source.mapInArrow(lambda batches: _sketch(batches, words), "doc_id long, n_shingles long, set_id binary, sig binary"))
     known = sketched.filter("doc_id IS NOT NULL")
     reps = spilled(known.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")))
     keys = reps.select("rep", "sig").mapInArrow(_chunk_keys, "key long, rep long")
@@ -204,7 +215,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = spilled(_led_pairs(members))
     used = spilled(pairs.select(F.explode(F.array("a", "c")).alias("rep")).distinct())
     texts = join_by_size(source.withColumnRenamed("doc_id", "rep"), used, "rep", "left_semi")
-    compared = spilled(compare(pairs, texts))
+    compared = spilled(compare(pairs, texts, words))
     links = spilled(compared.filter("linked").select("a", "c"))
     comps = components(links)
     more = spilled(_delta_links(compared, comps))
@@ -216,10 +227,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return per_id.withColumn("kept", F.col("doc_id") == F.col("component_id")).unionByName(unnamed)
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     """``docs`` without near duplicates: one row of each group of documents stays (of
     repeated rows of a doc_id, any one); rows without a doc_id stay."""
-    verdict = spilled(near_duplicates(docs))
+    verdict = spilled(near_duplicates(docs, words))
     gone = verdict.filter("NOT kept").select("doc_id")
     again = repeated_ids(docs)
     single = docs.join(gone.unionByName(again), "doc_id", "left_anti")
@@ -228,7 +239,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), PAIRS)
 
 
 SQL = r"""
