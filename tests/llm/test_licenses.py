@@ -59,3 +59,17 @@ def test_planted_notices(spark):
 
 def test_odd_rows(spark, odd_docs, no_docs):
     assert L.scan_licenses(odd_docs).count() == odd_docs.count() and L.scan_licenses(no_docs).count() == 0
+
+
+def labels_of(spark, texts):
+    rows = L.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [r["labels"] for r in sorted(rows, key=lambda r: r["doc_id"])]
+
+
+def test_notices_over_many_lines(spark):
+    """A notice is found however it is wrapped, also inside a long line."""
+    for label, t in L.TEMPLATES:
+        w = t.split()
+        texts = ["/* one\n * " + "\n * ".join(" ".join(w[i : i + n]) for i in range(0, len(w), n)) + "\n */ end" for n in (1, 2, 3)]
+        texts.append("word " * 500 + t + " word" * 500)
+        assert all(label in got.split(",") for got in labels_of(spark, texts)), t
