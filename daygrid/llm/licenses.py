@@ -3,7 +3,9 @@
 Templates and blocks are sets of words. A block meets a template if it contains
 at least ``threshold`` of the template's words. A block is any run of consecutive
 words, over line ends or inside a long line, that is at most half as long again as
-the template. Candidates come from prefix
+the template, and that has the template's telling words: names of licenses, and
+words that tell it from a template of another label which has enough of the others.
+Of templates met in one place, one whose names include another's stands for both. Candidates come from prefix
 filtering: the template words are ordered by their frequency in the whole corpus
 (counted first), rarest first, and a block that shares ceil(t * n) of n words
 must share one of the n - ceil(t * n) + 1 rarest. Shorter texts than that many
@@ -60,6 +62,8 @@ TEMPLATES = (
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 THRESHOLD = 0.8
+# Words that name a license; a template that has them is not met without them.
+NAMES = frozenset(b"affero apache artistic bsd cc cc0 commons eclipse gnu lesser mit mozilla nc nd sa sharealike unencumbered".split())
 #: Not used by the scan: the lines of a block in the rule tests/llm/test_licenses.py holds.
 LINES = 3
 
@@ -106,6 +110,10 @@ class TemplateJoin:
                 self.prefix.setdefault(w, []).append((len(self.templates), at))
             self.templates.append((label, words, need, lengths[len(self.templates)] + max(2, lengths[len(self.templates)] // 2)))
         self.prefix_words = frozenset(self.prefix)
+        self.telling = []
+        for label, words, need, _ in self.templates:
+            others = [words - u for other, u, _, _ in self.templates if other != label and len(words & u) >= need]
+            self.telling.append(frozenset(words & NAMES).union(*others))
 
     def candidates(self, words: set[bytes]) -> list[int]:
         """Templates of which a text has enough words anywhere."""
@@ -119,7 +127,7 @@ class TemplateJoin:
                 _, template, need, _ = self.templates[t]
                 if len(words) < need or 1 + min(len(known) - here - 1, len(template) - at - 1) < need:
                     continue
-                if len(template & words) >= need:
+                if self.telling[t] <= words and len(template & words) >= need:
                     out.append(t)
         return out
 
@@ -137,7 +145,7 @@ class TemplateJoin:
                 if not count[gone]:
                     del count[gone]
                 left += 1
-            if len(count) >= need:
+            if len(count) >= need and self.telling[t] <= count.keys():
                 yield places[left][0], at, len(count)
 
 
@@ -166,9 +174,11 @@ def scan_text(text: str | None, join: TemplateJoin):
     if tried:
         wanted = frozenset().union(*(join.templates[t][1] for t in tried))
         places = [(i, w) for i, w in enumerate(words) if w in wanted]
-        for t in tried:
+        found = {t: list(join.blocks(t, [p for p in places if p[1] in join.templates[t][1]])) for t in tried}
+        for t, blocks in found.items():
             label, template = join.templates[t][:2]
-            both = max((n for _, _, n in join.blocks(t, [p for p in places if p[1] in template])), default=0)
+            above = [b for u in found if join.templates[u][0] != label and template & NAMES and template & NAMES < join.templates[u][1] & NAMES for b in found[u]]
+            both = max((n for a, z, n in blocks if not any(first <= z and a <= last for first, last, _ in above)), default=0)
             if both:
                 met[label] = max(met.get(label, 0.0), both / len(template))
     base = base_places(words) if {b"by", b"public", b"rights"} & present else []

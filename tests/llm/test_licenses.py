@@ -73,3 +73,16 @@ def test_notices_over_many_lines(spark):
         texts = ["/* one\n * " + "\n * ".join(" ".join(w[i : i + n]) for i in range(0, len(w), n)) + "\n */ end" for n in (1, 2, 3)]
         texts.append("word " * 500 + t + " word" * 500)
         assert all(label in got.split(",") for got in labels_of(spark, texts)), t
+
+
+def test_no_wrong_labels(spark):
+    cases = {
+        "Released under the MIT License.": "mit", "Released under the BSD License.": "bsd", "Released under the Foo License.": "",
+        "This work is licensed under the GNU General Public License, version 3.": "gpl", "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc",
+        "subject to the terms of the Eclipse Public License": "", "GNU Affero General Public License": "agpl,gpl",
+        "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
+        "licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+        "Licensed under the Apache License, Version 2.0": "apache-2.0", "All rights reserved.": "reserved",
+        "all " + "some words " * 20 + "rights " + "some words " * 20 + "reserved": "",
+    }
+    assert dict(zip(cases, labels_of(spark, list(cases)))) == cases
