@@ -29,11 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spilled(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back."""
+def spilled(df: DataFrame, codec: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder (in the session's Parquet codec or
+    ``codec``) and read it back."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

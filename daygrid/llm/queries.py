@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, fingerprints, html_wrappers, licenses, mixing, neardup, quality, secrets, substrings, toxicity, whitening
+from . import bpe, fingerprints, html_wrappers, licenses, lm, mixing, neardup, quality, secrets, substrings, toxicity, whitening
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_substring_dedup": substrings.op8,
     "op9_fingerprints": fingerprints.op9,
     "op10_license_scan": licenses.op10,
+    "op11_ppm_score": lm.op11,
     "op12_whitening": whitening.op12,
     "pipeline": corpus_pipeline.run,
 }
