@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, fingerprints, html_wrappers, licenses, lm, mixing, neardup, quality, secrets, substrings, toxicity, whitening
+from . import bpe, conversations, fingerprints, html_wrappers, licenses, lm, mixing, neardup, quality, secrets, substrings, toxicity, whitening
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
@@ -19,6 +19,7 @@ QUERIES = {
     "op10_license_scan": licenses.op10,
     "op11_ppm_score": lm.op11,
     "op12_whitening": whitening.op12,
+    "op13_conversation_repair": conversations.op13,
     "pipeline": corpus_pipeline.run,
 }
 
