@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from . import canonical as C
 from .files import DELIMITERS, detect_delimiter
+from .records import read_records
 
 
 @dataclass
@@ -48,11 +49,13 @@ def sniff(spark: SparkSession, path: str, sample_bytes: int = 4096) -> tuple[str
 def read_csv(spark: SparkSession, path: str, sep: str | None = None, encoding: str | None = None, multi_line: bool = False) -> DataFrame:
     """SRC5/SRC7: header CSV, all columns as text; delimiter and encoding
     detected unless given. A doubled quote inside a quoted field is one quote.
-    Large files are split across tasks by Spark; ``multi_line`` reads quoted
-    fields with line breaks, at the cost that a file is then one task."""
+    Large files are split across tasks by Spark; with ``multi_line`` also quoted
+    fields with line breaks are read, over split bounds (see ``records``)."""
     if sep is None or encoding is None:
         d, e = sniff(spark, path)
         sep, encoding = sep or d, encoding or e
+    if multi_line:
+        return read_records(spark, path, sep, encoding)
     return (
         spark.read.option("header", "true")
         .option("sep", sep)
@@ -61,7 +64,6 @@ def read_csv(spark: SparkSession, path: str, sep: str | None = None, encoding: s
         .option("mode", "PERMISSIVE")
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", str(multi_line).lower())
         .csv(path)
     )
 
