@@ -278,9 +278,10 @@ def gzip_member_guess(name: ColumnOrName) -> Column:
 def header_profile(text: ColumnOrName, sep: ColumnOrName, sample_rows: int = 5) -> Column:
     """STR14: struct(sample_rows, n_columns, columns[<=12]) of a delimited text."""
     t = _col(text)
-    lines = F.split(F.regexp_replace(t, r"\r\n?", "\n"), "\n")
-    body = F.filter(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), lambda x: F.length(x) > 0)
-    header = F.split(F.element_at(lines, 1), F.concat(F.lit("\\Q"), _col(sep), F.lit("\\E")))
+    # the header and the first sample_rows lines that are not empty; the rest is not split
+    head = rf"\A([^\r\n]*+)((?:[\r\n]++[^\r\n]++){{0,{sample_rows}}})"
+    body = F.filter(F.split(F.regexp_extract(t, head, 2), r"[\r\n]+"), lambda x: F.length(x) > 0)
+    header = F.split(F.regexp_extract(t, head, 1), F.concat(F.lit("\\Q"), _col(sep), F.lit("\\E")))
     return F.struct(
         F.least(F.size(body), F.lit(sample_rows)).alias("sample_rows"),
         F.size(header).alias("n_columns"),

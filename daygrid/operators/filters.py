@@ -36,8 +36,8 @@ def keep_matching_or_all(df: DataFrame, match: Column, by: Sequence[str] | None
     """FLT2-FLT4: keep rows where ``match`` holds, unless none match (then keep all).
 
     The "any row matches" fact is a one-row aggregate used as a scalar
-    subquery (global form), or a per-group aggregate joined back (``by``);
-    AQE broadcasts that small side after measuring it. No global window.
+    subquery (global form); with ``by`` the groups that have a match are joined back,
+    broadcast only if few (counted). No global window, nothing collected.
     """
     flag = "__match"
     marked = df.withColumn(flag, F.coalesce(match, F.lit(False)))
@@ -46,12 +46,9 @@ def keep_matching_or_all(df: DataFrame, match: Column, by: Sequence[str] | None
             F.coalesce(F.col("m"), F.lit(0)) == 1
         )
         return marked.filter(F.col(flag) | ~any_match.scalar()).drop(flag)
-    # one entry per group (parts are files: a bounded set) in a scalar map, so
-    # the rows are filtered in place instead of being joined to the flags
-    key = F.struct(*[F.col(b) for b in by]) if len(by) > 1 else F.col(by[0])
-    per_group = marked.groupBy(key.alias("__k")).agg(F.max(F.col(flag)).alias("__any"))
-    flags = per_group.agg(F.map_from_entries(F.collect_list(F.struct("__k", "__any"))).alias("m")).select("m").scalar()
-    return marked.filter(F.col(flag) | ~F.coalesce(F.element_at(flags, key), F.lit(False))).drop(flag)
+    any_match = marked.filter(F.col(flag)).select(*by).distinct().withColumn("__any", F.lit(True))
+    flagged = join_small(marked, any_match, list(by), "left")
+    return flagged.filter(F.col(flag) | F.col("__any").isNull()).drop(flag, "__any")
 
 
 def text_contains_filter(df: DataFrame, col: str, needle_regex: str, by: Sequence[str] | None = None) -> DataFrame:

@@ -25,6 +25,7 @@ from ..sources import canonical as C
 from ..sources import files as SF
 from ..sources import readers as R
 from ..sources import sinks as K
+from ..sources import storage as ST
 
 # Keyword sets the reference uses to choose each source file,
 # in fallback order, as (include, exclude).
@@ -34,6 +35,8 @@ WEATHER_CHOICE = [(["meteo", "antioquia", "progreso"], []), (["open", "meteo"],
 RAIN_CHOICE = [(["precipitacion", "antioquia", "final"], []), (["precipitacion", "antioquia"], [])]
 LEVEL_FOLDER = "DHIME IDEAM nivel"
 REGION = "antioquia"
+#: First bytes of a file that its inspection reads.
+INSPECT_BYTES = 4 << 20
 
 
 def _pick(files: DataFrame, choices) -> str | None:
@@ -124,15 +127,15 @@ def panel_metadata(panel: DataFrame) -> dict:
 
 
 def inventory_from_folder(
-    spark: SparkSession, root: str, outdir: str | None = None, max_inspect_per_group: int = 5, sample_rows: int = 5
+    spark: SparkSession, root: str, outdir: str | None = None, max_inspect_per_group: int = 5, sample_rows: int = 5, inspect_bytes: int = INSPECT_BYTES
 ) -> tuple[DataFrame, dict]:
     """Entry 2: classify every file under ``root``; inspect the first few
-    per (source group, type) from their content; counts and summary."""
-    files = SF.list_files(spark, root, suffixes=None)
-    if outdir:
-        files = files.filter(~F.col("path").contains(outdir.rstrip("/") + "/"))
+    per (source group, type) from their first ``inspect_bytes`` bytes; counts, summary
+    and what could not be read."""
+    tree = ST.list_tree(spark, root, skip=outdir)
+    files = tree.filter(F.col("scan_error").isNull())
     classified = INV.inspection_quota(INV.classify_files(files), max_inspect_per_group)
-    probes = _inspect(spark, classified.filter(F.col("inspected")), sample_rows)
+    probes = _inspect(classified.filter(F.col("inspected")), sample_rows, inspect_bytes)
     inv = INV.with_notes(classified.join(probes, "path", "left"), max_inspect_per_group).select(*INV.INVENTORY_COLUMNS)
     inv = cut_lineage(inv)
     counts = {(r["dimension"], r["value"]): r["file_count"] for r in INV.inventory_counts(inv).collect()}
@@ -145,53 +148,45 @@ def inventory_from_folder(
         "phase_counts": dict(sorted((v, n) for (d, v), n in counts.items() if d == "phase")),
         "source_group_phase1_rationale": {r["source_group"]: r.asDict() for r in INV.source_rationale(inv).collect()},
     }
+    errors = INV.error_sample(tree).first()
+    summary |= {"n_scan_errors": errors["n_errors"], "scan_errors": errors["scan_errors"]}
     if outdir:
         K.write_inventory_csv(inv, f"{outdir}/dataset_inventory_csv")
         K.write_json_record(spark, summary, f"{outdir}/dataset_inventory_summary")
     return inv, summary
 
 
-def _inspect(spark: SparkSession, chosen: DataFrame, sample_rows: int) -> DataFrame:
-    """Inspection text for the chosen files (a bounded set: at most
-    ``max_inspect_per_group`` per group and type)."""
+def _inspect(chosen: DataFrame, sample_rows: int, inspect_bytes: int) -> DataFrame:
+    """Inspection text of the chosen files (at most ``max_inspect_per_group`` per group and
+    type), from their first bytes, read by the tasks. A JSON document that does not end
+    within them is not counted, and said to be larger."""
     from ..functions import files as FF
 
-    paths = [r["path"] for r in chosen.select("path").collect()]
-    if not paths:
-        return spark.createDataFrame([], "path string, inspect_result string")
-    content = spark.read.format("binaryFile").load(paths).select("path", "content")
-    ext = FF.file_extension(F.regexp_extract("path", r"([^/]+)$", 1))
-    text = F.col("content").cast("string")
-    sep = SF.detect_delimiter(F.col("content"))
-    prof = FF.header_profile(text, sep, sample_rows)
-    shape = FF.json_shape(text)
+    heads = ST.first_bytes(chosen, inspect_bytes).join(chosen.select("path", "size_bytes"), "path")
     name = F.regexp_extract("path", r"([^/]+)$", 1)
+    ext = FF.file_extension(name)
+    longer = F.col("size_bytes") > inspect_bytes
+    text = F.make_valid_utf8(F.col("head").cast("string"))
+    text = F.when(longer, F.regexp_replace(text, r"[^\n]*+\z", "")).otherwise(text)  # no broken last line
+    prof = FF.header_profile(text, SF.detect_delimiter(F.col("head")), sample_rows)
+    shape = FF.json_shape(text)
+    quoted = lambda names: F.concat(F.lit("["), F.array_join(F.transform(names, lambda c: F.concat(F.lit("'"), c, F.lit("'"))), ", "), F.lit("]"))
+    is_json = ext.isin("geojson", "json")
+    kind = F.when(ext.isin("csv", "txt"), "tabular").when(ext == "zip", "zip").when(is_json, "vector").otherwise("file")
     result = (
-        F.when(
-            ext.isin("csv", "txt"),
-            F.format_string(
-                "sample_rows=%d; n_columns=%d; columns=[%s]",
-                prof["sample_rows"],
-                prof["n_columns"],
-                F.array_join(F.transform(prof["columns"], lambda c: F.concat(F.lit("'"), c, F.lit("'"))), ", "),
-            ),
-        )
-        .when(
-            ext.isin("geojson", "json") & shape["feature_count"].isNotNull(),
-            F.format_string(
-                "geojson_features~%d; properties=[%s]",
-                shape["feature_count"],
-                F.array_join(F.transform(shape["property_keys"], lambda c: F.concat(F.lit("'"), c, F.lit("'"))), ", "),
-            ),
-        )
-        .when(
-            ext.isin("geojson", "json") & (shape["json_type"] == "dict"),
-            F.format_string("json_keys=[%s]", F.array_join(F.transform(shape["keys"], lambda c: F.concat(F.lit("'"), c, F.lit("'"))), ", ")),
-        )
+        F.when(F.col("error").isNotNull(), F.concat(kind, F.lit("_inspection_error="), F.col("error")))
+        .when(ext.isin("csv", "txt"), F.format_string("sample_rows=%d; n_columns=%d; columns=%s", prof["sample_rows"], prof["n_columns"], quoted(prof["columns"])))
+        .when(is_json & longer, F.lit(f"vector_inspection_skipped=larger_than({inspect_bytes})"))
+        .when(is_json & (shape["feature_count"] == 0), F.lit("geojson_features=0; properties=[]"))
+        .when(is_json & shape["feature_count"].isNotNull(), F.format_string("geojson_features~%d; properties=%s", shape["feature_count"], quoted(shape["property_keys"])))
+        .when(is_json & (shape["json_type"] == "dict"), F.concat(F.lit("json_keys="), quoted(shape["keys"])))
+        .when(is_json, F.concat(F.lit("json_type="), shape["json_type"]))
+        .when(ext == "zip", F.format_string("zip_members=%d; sample_members=%s", F.size("members"), quoted(F.slice("members", 1, 8))))
+        .when(ext == "rar", F.lit("rar_inspection=requires_optional_rar_support"))
         .when(ext == "gz", F.concat(F.lit("gz_member_guess="), FF.gzip_member_guess(name)))
         .when(ext == "tif.gz", F.lit("raster_meta=compressed_tif_gz (extract required)"))
     )
-    return content.select("path", result.alias("inspect_result"))
+    return heads.select("path", result.alias("inspect_result"))
 
 
 def train_and_evaluate(spark: SparkSession, panel: DataFrame, outdir: str | None = None, seed: int = 42) -> tuple[dict, DataFrame]:

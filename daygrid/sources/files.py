@@ -1,8 +1,8 @@
 """File discovery and choice (SRC1-SRC4).
 
-The file table is a DataFrame (``binaryFile`` metadata, content pruned away
-unless asked for), so listing, scoring and picking are Spark jobs whose only
-driver-side result is the chosen path.
+The file table is a DataFrame listed by tasks (``storage.list_tree``), so listing,
+scoring and picking are Spark jobs whose only driver-side result is the chosen
+path.
 """
 
 from __future__ import annotations
@@ -14,42 +14,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import keyword_score, normalize_text, folded
+from .storage import list_tree
 
 TABLE_SUFFIXES = (".csv", ".txt", ".xlsx", ".xls", ".parquet")
 DELIMITERS = (",", ";", "\t", "|")
 
 
-def list_files(
-    spark: SparkSession, root: str, suffixes: Sequence[str] | None = TABLE_SUFFIXES, with_content: bool = False
-) -> DataFrame:
+def list_files(spark: SparkSession, root: str, suffixes: Sequence[str] | None = TABLE_SUFFIXES, errors: bool = False) -> DataFrame:
     """SRC1: recursive listing ``(path, relative_path, file_name, size_bytes,
-    modification_time)``, filtered by lower-cased suffix; hidden folders and
-    ``__pycache__`` are skipped."""
-    df = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("ignoreCorruptFiles", "true")
-        .load(root)
-    )
-    cols = [F.col("path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modification_time")]
-    if with_content:
-        cols.append(F.col("content"))
-    out = df.select(*cols)
-    root_uri = root.rstrip("/")
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + _regex_escape(root_uri.split("://")[-1]) + "/", "")
-    out = out.withColumns({"relative_path": rel, "file_name": F.regexp_extract(F.col("path"), r"([^/]+)$", 1)})
-    hidden = F.col("relative_path").rlike(r"(^|/)(\.[^/]*|__pycache__|\$recycle\.bin)/")
-    out = out.filter(~hidden)
+    modification_time, scan_error)``, filtered by lower-cased suffix; hidden and system
+    folders are skipped. What cannot be read is left out, or with ``errors`` a row."""
+    out = list_tree(spark, root)
     if suffixes:
         lower = F.lower(F.col("file_name"))
-        out = out.filter(F.regexp_extract(lower, r"(\.[^.]*)$", 1).isin([s.lower() for s in suffixes]))
-    return out
-
-
-def _regex_escape(s: str) -> str:
-    import re
-
-    return re.escape(s)
+        wanted = F.regexp_extract(lower, r"(\.[^.]*)$", 1).isin([s.lower() for s in suffixes])
+        out = out.filter(wanted | F.col("scan_error").isNotNull())
+    return out if errors else out.filter(F.col("scan_error").isNull())
 
 
 def score_files(files: DataFrame, include: Sequence[str], exclude: Sequence[str] = (), path_col: str = "relative_path") -> DataFrame:

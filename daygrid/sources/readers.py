@@ -8,7 +8,6 @@ some line does not decode, then Latin-1, which accepts any byte).
 
 from __future__ import annotations
 
-import io
 import zipfile
 from dataclasses import dataclass, field
 from typing import Iterator, Sequence
@@ -17,7 +16,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import join_small
+from ..session import cut_lineage
 from . import canonical as C
+from . import files as SF
+from . import storage
 from .files import DELIMITERS, detect_delimiter
 from .records import read_records
 
@@ -31,6 +34,14 @@ class Warnings:
     def add(self, msg: str) -> None:
         self.items.append(msg)
 
+    def add_rows(self, what: str, rows: DataFrame) -> None:
+        """One message for each of the first rows (subject, reason), and the number of all."""
+        total = rows.count()
+        for r in rows.orderBy(*rows.columns).limit(LISTED_ERRORS).collect():
+            self.add(f"{what} {r[0]}: {r[1]}")
+        if total > LISTED_ERRORS:
+            self.add(f"{what}: {total} in all, the first {LISTED_ERRORS} listed")
+
 
 def sniff(spark: SparkSession, path: str, sample_bytes: int = 4096) -> tuple[str, str]:
     """SRC4 + SRC5 probes for one CSV/TXT file: (delimiter, encoding).
@@ -97,61 +108,55 @@ def read_optional(spark: SparkSession, path: str | None, warnings: Warnings, wha
 
 
 LEVEL_PART_SCHEMA = "station_code_raw string, time_raw string, level_raw string, param_raw string, _part string, _error string"
+_LEVEL_COLUMNS = ("station_code_raw", "time_raw", "level_raw", "param_raw")
+#: Rows of an archive member that a task holds at a time, and part errors listed by name.
+PART_ROWS, LISTED_ERRORS = 50_000, 1_000
+
+
+def _part_rows(path: str, rows: int) -> Iterator[pd.DataFrame]:
+    """First member of one archive as canonical level rows, ``rows`` at a time."""
+    with storage.open_file(path) as archive, zipfile.ZipFile(archive) as zf:
+        members = zf.namelist()
+        if not members:
+            return
+        with zf.open(members[0]) as fh:
+            for chunk in pd.read_csv(fh, dtype=str, keep_default_na=False, na_values=[""], chunksize=rows):
+                found = C.resolve(list(chunk.columns), C.LEVEL)
+                if any(found[f.name] is None for f in C.LEVEL if f.required):
+                    raise C.MissingColumns("missing required columns")
+                yield pd.DataFrame({c: chunk[found[c]] if found[c] else None for c in _LEVEL_COLUMNS}, index=chunk.index)
 
 
 def _zip_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """mapInPandas body: first member of each zip -> canonical level rows;
-    an unreadable or incomplete part yields one error row."""
-    cols = ["station_code_raw", "time_raw", "level_raw", "param_raw", "_part", "_error"]
+    """mapInPandas body: each archive is opened once and streamed; an unreadable or
+    incomplete one ends with one error row."""
     for batch in batches:
-        out = []
-        for path, content in zip(batch["path"], batch["content"]):
+        for path in batch["path"]:
             try:
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    members = zf.namelist()
-                    if not members:
-                        continue
-                    with zf.open(members[0]) as fh:
-                        part = pd.read_csv(fh, dtype=str, keep_default_na=False, na_values=[""])
-            except Exception as exc:  # noqa: BLE001
-                out.append(pd.DataFrame([[None, None, None, None, path, f"{type(exc).__name__}: {exc}"]], columns=cols))
-                continue
-            found = C.resolve(list(part.columns), C.LEVEL)
-            if any(found[f.name] is None for f in C.LEVEL if f.required):
-                out.append(pd.DataFrame([[None, None, None, None, path, "missing required columns"]], columns=cols))
-                continue
-            frame = pd.DataFrame(
-                {
-                    "station_code_raw": part[found["station_code_raw"]],
-                    "time_raw": part[found["time_raw"]],
-                    "level_raw": part[found["level_raw"]],
-                    "param_raw": part[found["param_raw"]] if found["param_raw"] else None,
-                    "_part": path,
-                    "_error": None,
-                }
-            )
-            out.append(frame[cols])
-        if out:
-            yield pd.concat(out, ignore_index=True).astype(object).where(lambda x: x.notna(), None)
+                for frame in _part_rows(path, PART_ROWS):
+                    yield frame.assign(_part=path, _error=None).astype(object).where(lambda x: x.notna(), None)
+            except Exception as exc:  # noqa: BLE001 - reported as a row
+                yield pd.DataFrame([{**dict.fromkeys(_LEVEL_COLUMNS), "_part": path, "_error": f"{type(exc).__name__}: {exc}"}])
 
 
 def read_zip_parts(spark: SparkSession, root: str, warnings: Warnings | None = None) -> DataFrame:
     """SRC9: every ``*.zip`` under ``root``; the first member of each is read
-    as CSV and projected to the level source's canonical columns. Parts are
-    distributed one archive per row (an archive is not splittable); bad
-    parts are reported through ``_error`` and left out of the data rows."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.zip")
-        .load(root)
-        .select("path", "content")
-    )
-    parts = files.mapInPandas(_zip_parts, LEVEL_PART_SCHEMA)
+    as CSV and projected to the level source's canonical columns.
+
+    Archives are dealt to tasks one by one (an archive is not splittable), streamed
+    in bounded chunks and read once: rows and errors are written together. A part with an
+    error gives no rows, as it cannot be trusted; its error is counted, and
+    the first ``LISTED_ERRORS`` by path are named in ``warnings``."""
+    files = SF.list_files(spark, root, (".zip",), errors=True)
+    paths = cut_lineage(files.filter("scan_error IS NULL").select("path"))
+    n = paths.count()
+    parts = cut_lineage(paths.repartition(max(1, n)).mapInPandas(_zip_parts, LEVEL_PART_SCHEMA))
+    errors = parts.filter(F.col("_error").isNotNull())
     if warnings is not None:
-        for r in parts.filter(F.col("_error").isNotNull()).select("_part", "_error").collect():
-            warnings.add(f"Could not read level part {r['_part']}: {r['_error']}")
-    return parts.filter(F.col("_error").isNull()).drop("_error")
+        unread = files.filter("scan_error IS NOT NULL").select(F.col("path").alias("_part"), F.col("scan_error").alias("_error"))
+        warnings.add_rows("Could not read level part", errors.select("_part", "_error").unionByName(unread))
+    good = join_small(parts.filter(F.col("_error").isNull()), errors.select("_part").distinct(), "_part", "left_anti")
+    return good.drop("_error")
 
 
 def reload_panel(spark: SparkSession, path: str, date_col: str = "date", numeric: Sequence[str] | None = None) -> DataFrame:

@@ -153,3 +153,77 @@ def test_preset_session_values_survive(spark):
         assert spark.conf.get(key) == "12345"
     finally:
         spark.conf.set(key, before)
+
+
+@pytest.fixture(scope="module")
+def odd_tree():
+    """Names that Spark's own listing hides, links, a link loop, hidden and generated folders."""
+    root = tempfile.mkdtemp(prefix="daygrid-tree-")
+    _write(f"{root}/_x/_part.csv", "a,b\n1,2\n")
+    _write(f"{root}/.top.csv", "a;b\n")
+    _write(f"{root}/.git/no.csv", "x")
+    _write(f"{root}/__pycache__/no.csv", "x")
+    _write(f"{root}/deep/er/still/a b.json", '{"k": 1, "l": 2}')
+    _write(f"{root}/deep/long.csv", "h1,h2\n" + "1,2\n" * 1000)
+    _write(f"{root}/deep/long.json", json.dumps({"type": "FeatureCollection", "features": [{"properties": {"p": 1}}] * 400}))
+    _write(f"{root}/deep/list.json", "[1, 2]")
+    _write(f"{root}/out/old.csv", "x")
+    os.symlink(f"{root}/nowhere", f"{root}/dangling.csv")
+    os.symlink(f"{root}/deep", f"{root}/linked")
+    with zipfile.ZipFile(f"{root}/deep/z.zip", "w") as zf:
+        zf.writestr("m1", "x")
+        zf.writestr("m2", "y")
+    with open(f"{root}/deep/bad.zip", "wb") as fh:
+        fh.write(b"no archive")
+    return root
+
+
+def test_tree_lists_every_name(spark, odd_tree):
+    rows = {r["relative_path"]: r for r in SF.list_tree(spark, odd_tree, skip=f"{odd_tree}/out").collect()}
+    assert set(rows) == {"_x/_part.csv", ".top.csv", "deep/er/still/a b.json", "deep/long.csv", "deep/long.json", "deep/list.json", "deep/z.zip", "deep/bad.zip"}
+    assert all(r["scan_error"] is None and r["size_bytes"] == os.path.getsize(f"{odd_tree}/{n}") and r["modification_time"] is not None for n, r in rows.items())
+    assert {r["file_name"] for r in SF.list_files(spark, odd_tree, (".CSV",)).collect()} == {"_part.csv", ".top.csv", "long.csv", "old.csv"}
+
+
+def test_what_cannot_be_read_is_a_row(spark, odd_tree, monkeypatch):
+    rows = SF.list_tree(spark, f"{odd_tree}/not there").collect()
+    assert len(rows) == 1 and rows[0]["scan_error"].startswith("list_error=FileNotFoundError")
+    _, summary = PL.inventory_from_folder(spark, f"{odd_tree}/not there")
+    assert summary["total_files"] == 0 and summary["n_scan_errors"] == 1 and "FileNotFoundError" in summary["scan_errors"][0]
+
+
+def test_inspection_reads_first_bytes_only(spark, odd_tree):
+    inv, summary = PL.inventory_from_folder(spark, odd_tree, outdir=None, max_inspect_per_group=9, inspect_bytes=64)
+    notes = {r["relative_path"]: r["notes"] for r in inv.collect()}
+    assert summary["scan_errors"] == [] and summary["total_files"] == 9
+    assert "sample_rows=5; n_columns=2; columns=['h1', 'h2']" in notes["deep/long.csv"]
+    assert "vector_inspection_skipped=larger_than(64)" in notes["deep/long.json"]
+    assert "json_keys=['k', 'l']" in notes["deep/er/still/a b.json"] and "json_type=list" in notes["deep/list.json"]
+    assert "zip_members=2; sample_members=['m1', 'm2']" in notes["deep/z.zip"] and "zip_inspection_error=BadZipFile" in notes["deep/bad.zip"]
+    from daygrid.sources import storage
+
+    heads = storage.first_bytes(spark.createDataFrame([(f"{odd_tree}/deep/long.csv",)], "path string"), 10).first()
+    assert bytes(heads["head"]) == b"h1,h2\n1,2\n"
+
+
+def test_streamed_parts(spark, monkeypatch, tmp_path):
+    body = "CodigoEstacion,Fecha,Valor\n" + "".join(f"{i},2024-01-01,{i}.5\n" for i in range(2000))
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("a.csv", body)
+    with zipfile.ZipFile(tmp_path / "cols.zip", "w") as zf:
+        zf.writestr("c.csv", "x,y\n1,2\n")
+    whole = (tmp_path / "a.zip").read_bytes()
+    at = whole.index(b"a.csv") + 2500  # damaged inside: rows before the damage do not count
+    (tmp_path / "cut.zip").write_bytes(whole[:at] + b"\x00" * 40 + whole[at + 40 :])
+    monkeypatch.setattr(R, "PART_ROWS", 100)
+    w = R.Warnings()
+    rows = R.read_zip_parts(spark, str(tmp_path), w).collect()
+    assert len(rows) == 2000 and {r["_part"] for r in rows} == {f"{tmp_path}/a.zip"}
+    assert len(w.items) == 2 and any("cols.zip" in m and "missing required" in m for m in w.items) and any("cut.zip" in m for m in w.items)
+
+
+def test_named_errors_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(R, "LISTED_ERRORS", 3)
+    w = R.Warnings()
+    w.add_rows("Bad", spark.createDataFrame([(f"p{i}", "e") for i in range(9)], "a string, b string"))
+    assert w.items == ["Bad p0: e", "Bad p1: e", "Bad p2: e", "Bad: 9 in all, the first 3 listed"]
