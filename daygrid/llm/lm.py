@@ -16,7 +16,7 @@ are equally likely.
 Nothing that grows with the corpus is broadcast or collected. Documents are read
 once, as blocks of about ``BLOCK_BYTES`` of text; a block lists its different words and
 grams with their training counts, is written to the shared folder, and gets the corpus'
-values for just these keys back in key order, before its texts. A word or gram that every
+values for just these keys back before its texts. A word or gram that every
 document holds is one row a block. Words are known by 64-bit hashes.
 
 Defined results: a null text is empty and has the end symbol only; a null doc_id counts as
@@ -174,6 +174,34 @@ def gram_scores(counted: DataFrame, order: int = ORDER) -> DataFrame:
     return level.select(F.col("gram").alias("key"), value.alias("value"))
 
 
+class Lookup:
+    """Values of known 64-bit keys, many at a time: open addressing, half full at most."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, (2 * len(keys)).bit_length())
+        nobody = next(k for k in range(-2, -len(keys) - 4, -1) if not (keys == k).any())
+        self.keys, self.values = np.full(1 << self.bits, nobody, np.int64), np.zeros(1 << self.bits)
+        left, at = np.arange(len(keys)), self._first(keys)
+        while len(left):  # a round gives every key not placed its next slot
+            free = left[self.keys[at[left]] == nobody]
+            self.keys[at[free]] = keys[free]
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = at[left] + 1 & (1 << self.bits) - 1
+        self.values[at] = values
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """Values of ``keys``, all of which are known."""
+        at = self._first(keys)
+        left = np.flatnonzero(self.keys[at] != keys)
+        while len(left):
+            at[left] = at[left] + 1 & (1 << self.bits) - 1
+            left = left[self.keys[at[left]] != keys[left]]
+        return self.values[at]
+
+
 def _score(order: int, tokens: int, vocabulary: int):
     """Rows of a block in the order words, grams, texts: results of its documents."""
 
@@ -181,15 +209,15 @@ def _score(order: int, tokens: int, vocabulary: int):
         piece = pa.ipc.open_stream(texts).read_all().combine_chunks()
         docs = piece.column("text").to_pylist()
         hashes, bounds = hashed_words(docs)
-        c = words[1][np.searchsorted(words[0], hashes.view(np.int64))]
+        c = words.of(hashes.view(np.int64))
         of = np.repeat(np.arange(len(docs)), np.diff(bounds))
         sum_of = lambda v: np.bincount(of, v, len(docs))
-        end = words[1][np.searchsorted(words[0], END_TOKEN)]
+        end = words.of(np.array([END_TOKEN]))[0]
         n_tokens = np.diff(bounds) + 1
         base = sum_of(np.log10(c + 1)) + math.log10(end + 1) - n_tokens * math.log10(tokens + vocabulary + 1)
         score = np.zeros(len(docs))
         for g, doc in grams(docs, order):
-            score += np.bincount(doc, gram_values[1][np.searchsorted(gram_values[0], g)], len(docs))
+            score += np.bincount(doc, gram_values.of(g), len(docs))
         known = (sum_of(c > 0) + (end > 0)).astype(np.int64)
         return pa.RecordBatch.from_arrays(
             [piece.column("doc_id").combine_chunks(), piece.column("held_out").combine_chunks(), pa.array(n_tokens.astype(np.int64)), pa.array(known), pa.array(base), pa.array(score)],
@@ -211,7 +239,7 @@ def _score(order: int, tokens: int, vocabulary: int):
                     parts[kind[a]].append((rows.column("key").to_numpy(), rows.column("value").to_numpy()))
                     continue
                 if dictionary is None:
-                    dictionary = [tuple(map(np.concatenate, zip(*parts.pop(k)))) for k in (WORD, GRAM)]
+                    dictionary = [Lookup(*map(np.concatenate, zip(*parts.pop(k)))) for k in (WORD, GRAM)]
                 for texts in rows.column("texts"):
                     yield results(texts.as_buffer(), *dictionary)
 
@@ -236,7 +264,7 @@ def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
     values = spilled(gram_scores(in_blocks.groupBy("key").agg(F.sum("n").alias("n")), order))
     known = words.select("block", "kind", "key", F.col("n").cast("double").alias("value")).unionByName(in_blocks.join(values, "key").select("block", "kind", "key", "value"))
     texts = gathered.filter(F.col("kind") == TEXT).select("block", "kind", "key", "texts")
-    stream = known.unionByName(texts, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "kind", "key")
+    stream = known.unionByName(texts, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "kind")
     out = stream.mapInArrow(_score(order, tokens, vocabulary), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(tokens).cast("long"))
 

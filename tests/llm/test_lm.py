@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from daygrid.llm import lm
@@ -83,6 +84,16 @@ def test_grams_over_step_bounds():
     assert len(whole[0][0]) == sum(len(t) + 1 for t in texts)
 
 
+def test_lookup():
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 3, 1000, 40_000):
+        keys = np.unique(np.concatenate([rng.integers(-(2**63), 2**63 - 1, n), [-1, -2, 0]]))
+        rng.shuffle(keys)
+        table = lm.Lookup(keys, np.arange(len(keys), dtype=float))
+        asked = rng.integers(0, len(keys), 5 * n)
+        assert (table.of(keys[asked]) == asked).all()
+
+
 def test_probabilities_of_a_context_sum_to_one_at_most(spark):
     """Over all 256 symbols after one context, seen or not."""
     text = "abracadabra abrakadabra" * 3
