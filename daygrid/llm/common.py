@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +39,18 @@ def spilled(df: DataFrame, codec: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def aside(df: DataFrame, names) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with the columns that bear one of ``names`` (an operator's own) renamed, and
+    a function that gives them their names back, in any frame that still has them."""
+    taken = {n.lower() for n in names}
+    mark = "kept_aside"
+    while any(c.lower().startswith(mark) for c in df.columns):
+        mark = "_" + mark
+    moved = {c: f"{mark}_{i}" for i, c in enumerate(df.columns) if c.lower() in taken}
+    back = lambda out: out.withColumnsRenamed({new: old for old, new in moved.items()})
+    return df.withColumnsRenamed(moved), back
+
+
 def join_by_size(left: DataFrame, small: DataFrame, key: str, how: str = "inner", max_bytes: int = 8 << 20) -> DataFrame:
     """Join ``small`` (a materialized frame of fixed-width and string columns) on ``key``.
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, ranges, spilled, table
+from .common import aside, let, ranges, spilled, table
 
 SEED = 17
 #: Weights without explicit targets: documents of a source to this power.
@@ -78,7 +78,8 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, budget
     """``docs`` replicated and shuffled, with ``rate n_copies copy mix_key``."""
     spark = docs.sparkSession
     rates = source_rates(docs, weights, budget).drop("n_docs")
-    keyed = docs.drop("rate", "n_copies", "copy", "mix_key").withColumn("_source", F.coalesce("source", F.lit("")))
+    docs, back = aside(docs.drop("rate", "n_copies", "copy", "mix_key"), ("_source", "_key", "_salt", "parts", "cdf"))
+    keyed = docs.withColumn("_source", F.coalesce("source", F.lit("")))
     n_sources = rates.count()
     if n_sources * (TERMS * 8 + 512) <= max_bytes:
         drawn = keyed.join(F.broadcast(rates), "_source")
@@ -92,7 +93,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, budget
     copies = drawn.withColumn("_key", key).withColumn("n_copies", F.when(F.col("rate") > 0, count).otherwise(F.lit(0)))
     copies = copies.filter("n_copies > 0").withColumn("copy", F.explode(ranges(F.col("n_copies"))))
     position = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(f"{seed}-order"), "_key", F.col("copy").cast("string"))), 1, 15), 16, 10).cast("long")
-    mixed = copies.withColumn("mix_key", position).drop("_source", "_key", "parts", "cdf")
+    mixed = back(copies.withColumn("mix_key", position).drop("_source", "_key", "parts", "cdf"))
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # positions are uniform on [0, 2^60): equal ranges of them are equal partitions
     return mixed.repartitionById(slices, F.floor(F.col("mix_key") / F.lit(2.0**60) * slices).cast("int")).sortWithinPartitions("mix_key")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import join_by_size, spilled, table
+from .common import aside, join_by_size, spilled, table
 
 MAX_LABELLED = 60_000
 MAX_LEXICON = 5_000
@@ -183,7 +183,7 @@ class ToxicityModel:
     def score(self, docs: DataFrame) -> DataFrame:
         """``docs`` with score (0 to 1) and predicted. A thousandth of the score is the trees'
         own probability, which orders rows inside a step of the calibration."""
-        docs = docs.drop("score", "predicted")
+        docs, back = aside(docs.drop("score", "predicted"), ("features", "_vector", "_raw", "_probability", "_margin", "_class", "_step"))
         if self.trees is None:
             out = docs.withColumn("score", F.lit(float(self.prior)))
         else:
@@ -194,7 +194,7 @@ class ToxicityModel:
             else:
                 out = out.withColumn("score", F.col("_raw"))
             out = out.select(*docs.columns, "score")
-        return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+        return back(out.withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
 def _raw(trees, rows: DataFrame) -> DataFrame:
@@ -231,7 +231,8 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` whose predicted class is not toxic."""
-    return train(docs, labels).score(docs).filter("predicted = 0").select(*docs.columns)
+    moved, back = aside(docs, ("score", "predicted"))
+    return back(train(docs, labels).score(moved).filter("predicted = 0").drop("score", "predicted")).select(*docs.columns)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,6 +32,8 @@ def odd_docs(spark):
     from pyspark.sql import functions as F
 
     names = ("kept", "score", "rate", "key", "copy", "_w", "component_id", "spans", "ids", "n_words", "hash", "labels", "_bucket")
+    names += ("cdf", "parts", "_source", "_key", "_salt", "features", "_raw", "_vector", "_step", "predicted", "label", "fold")
+    names += ("_assign", "_hex", "_base", "_covered", "_candidates", "_entropy", "_cut", "secret_spans", "_lines", "_good")
     return spark.createDataFrame(rows, schema).withColumns({n: F.lit("clash") for n in names})
 
 
