@@ -1,7 +1,7 @@
 """Quality rules: line-first cleaning (native).
 
 Every line is judged on its own first: navigation (few words and no sentence
-end, or menu separators), boilerplate (fixed phrases) and punctuation (no word
+end, or menu separators), boilerplate (fixed phrases that make up a fifth of it) and punctuation (no word
 characters, or mostly symbols). Failing lines are removed; a document that
 loses more than ``max_lost`` of its words is then rejected. Document-level base
 measures (symbols, duplicate lines, repeated three-word windows) are computed
@@ -20,12 +20,14 @@ from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, let, ranges, words
 
-# Phrases of page furniture, matched in lower case anywhere in a line.
+# Phrases of page furniture, matched in lower case as whole words.
 BOILERPLATE = (
     "cookie policy", "privacy policy", "terms of use", "terms of service", "all rights reserved",
     "click here", "read more", "sign in", "log in", "sign up", "subscribe to our", "share this",
     "enable javascript", "lorem ipsum", "back to top", "skip to content", "follow us",
 )
+#: A line is boilerplate if one in so many of its characters belongs to such a phrase.
+BOILERPLATE_SHARE = 5
 #: A line of at most so many words without a sentence end is navigation.
 NAV_WORDS = 2
 #: A line is navigation with so many menu separators, and one for every three words.
@@ -42,7 +44,10 @@ def line_failures(line: Column, nav_words: int = NAV_WORDS) -> Column:
     visible = F.char_length(F.regexp_replace(line, f"[{SPACE_CLASS}]", ""))
     letters = F.char_length(F.regexp_replace(line, r"[^\p{L}\p{N}]", ""))
     navigation = ((n <= nav_words) & ~ends) | ((bars >= NAV_SEPARATORS) & (bars * 3 >= n))
-    boilerplate = F.lower(line).rlike("|".join(BOILERPLATE))
+    phrases = r"(?<![a-z0-9_])(" + "|".join(BOILERPLATE) + ")(?![a-z0-9_])"
+    low = F.lower(line)
+    theirs = F.char_length(low) - F.char_length(F.regexp_replace(low, phrases, ""))
+    boilerplate = low.rlike(phrases) & (theirs * BOILERPLATE_SHARE >= F.char_length(F.trim(low)))
     punctuation = letters * 2 < visible
     return navigation | boilerplate | punctuation
 
@@ -125,12 +130,12 @@ def _sql() -> str:
     ws = " \t\n\x0b\x0c\r"
     flat = f"translate(t, '{ws[1:]}', '     ')"
     count = lambda x: f"len(list_filter(string_split(translate({x}, '{ws[1:]}', '     '), ' '), lambda w: w <> ''))"
-    phrases = "|".join(BOILERPLATE)
+    phrases = r"\b(" + "|".join(BOILERPLATE) + r")\b"
     bars = "(length(x) - length(translate(x, '|>»•·', '')))"
     ends = r"""regexp_matches(rtrim(x), '[.!?:;…。！？]["''”’»)\]#*$%&]*$')"""
     bad = (
         f"(({count('x')} <= {NAV_WORDS} AND NOT {ends}) OR ({bars} >= {NAV_SEPARATORS} AND {bars} * 3 >= {count('x')})"
-        f" OR regexp_matches(lower(x), '{phrases}')"
+        f" OR (regexp_matches(lower(x), '{phrases}') AND (length(lower(x)) - length(regexp_replace(lower(x), '{phrases}', '', 'g'))) * {BOILERPLATE_SHARE} >= length(trim(lower(x))))"
         r" OR length(regexp_replace(x, '[^\p{L}\p{N}]', '', 'g')) * 2 < length(translate(x, '" + ws + "', '')))"
     )
     return f"""
