@@ -7,8 +7,6 @@ import corpus_pipeline as P
 from daygrid.llm import queries
 from daygrid.llm.common import spilled
 
-from .test_neardup import brute
-
 
 def test_stages(spark):
     sf = "/root/testdata/sf0.01"  # enough labels to learn from
@@ -25,9 +23,8 @@ def test_stages(spark):
     gone = {r["doc_id"] for r in before.collect()} - {r["doc_id"] for r in after.collect()}
     clean = {r["doc_id"] for r in spark.read.parquet(f"{sf}/labels.parquet").filter("toxic = 0").collect()}
     assert gone & toxic and len(gone & clean) <= 0.01 * len(clean)
-    before, after = seen["near_dedup"]
-    exp = brute([(r["doc_id"], r["text"]) for r in before.collect()])
-    assert sorted(r["doc_id"] for r in after.collect()) == sorted(i for i, (_, c) in exp.items() if i == c)
+    before, after = seen["near_dedup"]  # five words, the width where no contract says otherwise
+    assert sorted(r["doc_id"] for r in after.collect()) == brute_kept([(r["doc_id"], r["text"]) for r in before.collect()])
     before, after = seen["secret_scan"]
     texts = {r["doc_id"]: r for r in after.collect()}
     assert len(texts) == before.count()
@@ -42,7 +39,7 @@ def test_stages(spark):
 def test_run_and_registry(spark, sf):
     assert P.run(spark, sf).count() > 0
     assert [n for n in queries.QUERIES if n.startswith("op")] and set(queries.ORACLE) <= set(queries.QUERIES)
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")} == set(range(1, 14))
 
 
 def brute_kept(rows, words=5):
@@ -75,23 +72,3 @@ def test_near_dedup_takes_five_words(spark, corpus):
     exp = brute_kept(rows)
     assert exp != brute_kept(rows, 2)
     assert sorted(r["doc_id"] for r in P.drop_near_duplicates(spark, docs, None).collect()) == exp
-
-
-def test_stages_behind_near_dedup(spark):
-    sf = "/root/testdata/sf0.01"
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    seen = {}
-    for name, stage in P.STAGES[1:]:
-        out = spilled(stage(spark, docs, sf))
-        seen[name] = ([r.asDict() for r in docs.collect()], [r.asDict() for r in out.collect()])
-        docs = out
-    before, after = seen["near_dedup"]
-    assert sorted(r["doc_id"] for r in after) == brute_kept([(r["doc_id"], r["text"]) for r in before])
-    before, after = seen["secret_scan"]
-    texts = {r["doc_id"]: r for r in after}
-    assert len(texts) == len(before)
-    assert all(("AKIA" in r["text"]) <= ("[SECRET]" in texts[r["doc_id"]]["text"]) and texts[r["doc_id"]]["n_chars"] == len(texts[r["doc_id"]]["text"]) for r in before)
-    before, after = seen["mix_sources"]
-    assert {tuple(r.values()) for r in after} <= {tuple(r.values()) for r in before}
-    before, after = seen["bpe_encode"]
-    assert sorted((r["doc_id"], r["decoded_sha256"]) for r in after) == sorted((r["doc_id"], hashlib.sha256(r["text"].encode()).hexdigest()) for r in before)
