@@ -19,24 +19,28 @@ its leader, and |x ^ y| = |dx ^ dy|, so whatever else is linked is found from
 deltas alone: J(x, y) >= 0.8 means 9 |x ^ y| <= |x| + |y|, that is an overlap of
 dx and dy of at least (|dx| + |dy| - (|x| + |y|) / 9) / 2. If both are linked to
 c they are one component already; otherwise that overlap is at least one, and
-an exact prefix-filtered overlap join of the deltas (elements outside the
-leader, which are rare, come first) finds all such pairs of members that are in
-different components.
+an exact prefix-filtered overlap join of the deltas (elements counted within the
+leader's group, the rarest first) finds all such pairs of members that are in
+different components. An element that would pair many members with many gets a leader
+among them, and deltas from that, instead.
 
 Defined results: words are split at ASCII white space after lower-casing A-Z; a
 null text counts as empty; a text without words has the empty set and links
 with nothing; a text with fewer words than a shingle is a set of one. Rows that share a doc_id are one
-document, its text the longest of them (the greatest if equally long). Rows with
+document that has the links of all their texts; its set size is that of the longest (the greatest if
+equally long). Rows with
 a null doc_id are returned as they are: component null, kept. Extra columns play
 no role. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import hashed_words, join_by_size, mix, rows_of, spilled, table
@@ -53,6 +57,13 @@ _ADD = _rng.integers(0, 1 << 63, POSITIONS, dtype=np.uint64)
 
 #: Words of a shingle: op2's, and that of ``deduplicated`` unless asked otherwise.
 PAIRS, SHINGLE = 2, 5
+#: Bytes of ids up to which a verdict is broadcast to the documents.
+VERDICT_BYTES = 64 << 20
+#: An element with x members to be joined with y gets a leader of its own where
+#: x * y > LONG_LIST * (x + y), in the first RELEADS rounds.
+LONG_LIST, RELEADS = 256, 3
+#: Nodes of further texts of a repeated doc_id count down from here.
+OTHER_TEXTS = -(1 << 62)
 
 
 def shingle_sets(texts: list[str | None], words: int = PAIRS) -> list[np.ndarray]:
@@ -170,22 +181,63 @@ def _led_pairs(members: DataFrame) -> DataFrame:
     return members.join(leaders, "key").filter("rep <> c").select(F.col("rep").alias("a"), "c").distinct()
 
 
-def _delta_links(compared: DataFrame, comps: DataFrame) -> DataFrame:
-    """Linked (a, c) pairs among members of one leader that are not yet in one component."""
+def _annotated(compared: DataFrame, comps: DataFrame) -> DataFrame:
+    """Compared pairs with the member's component, and whether it is another than the leader's."""
     own = comps.withColumnRenamed("component", "comp")
     led = compared.join(own.withColumnRenamed("node", "a"), "a", "left").withColumn("comp", F.coalesce("comp", "a"))
     led = led.join(own.select(F.col("node").alias("c"), F.col("comp").alias("comp_c")), "c", "left").withColumn("comp_c", F.coalesce("comp_c", "c"))
-    led = spilled(led.withColumn("d", F.size("delta").cast("long")).select("c", "a", "size", "d", "delta", "comp", (F.col("comp") != F.col("comp_c")).alias("outer")))
-    open_ = led.filter("outer").select("c").distinct()
-    each = led.join(open_, "c", "left_semi").select("c", "a", "size", "d", "comp", "outer", F.posexplode("delta").alias("at", "element"))
-    x = each.filter("outer").select("c", "element", *[F.col(n).alias(f"{n}_x") for n in ("a", "size", "d", "comp", "at")])
-    # x is not linked to c, so an overlap above 4/9 of the other's delta is needed
-    y = each.filter("at <= d - ceil(4 * d / 9)").select("c", "element", *[F.col(n).alias(f"{n}_y") for n in ("a", "size", "d", "comp", "at")])
-    need = "(9 * (d_x + d_y) - (size_x + size_y))"
-    met = x.join(y, ["c", "element"]).filter(f"comp_x <> comp_y AND 18 * (d_x - at_x) >= {need} AND 18 * (d_y - at_y) >= {need}").select("c", "a_x", "a_y").distinct()
-    delta = lambda n: led.select("c", F.col("a").alias(f"a_{n}"), F.col("size").alias(f"size_{n}"), F.col("d").alias(f"d_{n}"), F.col("delta").alias(f"delta_{n}"))
-    sure = met.join(delta("x"), ["c", "a_x"]).join(delta("y"), ["c", "a_y"]).withColumn("both", F.size(F.array_intersect("delta_x", "delta_y")))
-    return sure.filter(f"18 * both >= {need}").select(F.col("a_x").alias("a"), F.col("a_y").alias("c"))
+    return led.withColumn("d", F.size("delta").cast("long")).select("c", "a", "size", "d", "delta", "comp", (F.col("comp") != F.col("comp_c")).alias("outer"))
+
+
+def _postings(led: DataFrame) -> DataFrame:
+    """(c, element, a, comp, outer, size, d, at): the delta elements that members of different
+    components share, one of them not in the leader's; ``at`` is an element's place in
+    its delta when elements that nobody needs come first, then the rarest in c's group."""
+    open_ = spilled(led.filter("outer").select("c").distinct())
+    each = join_by_size(led, open_, "c", "left_semi").select("c", "a", "size", "d", "comp", "outer", F.explode("delta").alias("element"))
+    shared = each.groupBy("c", "element").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("outer").alias("any")).filter("lo <> hi AND any").select("c", "element", "n")
+    own = Window.partitionBy("c", "a")  # one member's delta
+    used = each.join(shared, ["c", "element"]).withColumn("last", F.row_number().over(own.orderBy(F.desc("n"), F.desc("element"))))
+    return spilled(used.withColumn("at", F.col("d") - F.col("last")).select("c", "element", "a", "comp", "outer", "size", "d", "at"))
+
+
+def _delta_links(compared: DataFrame, comps: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Linked (a, c) pairs among members of one leader that are not yet in one component.
+
+    A member x outside the leader's component meets every y whose prefix (its first
+    5/9: an overlap above 4/9 of y's delta is needed) has an element of x's delta, of two
+    such members both within their prefixes. Where that would be many pairs for one
+    element, its members become a group with a leader of their own: they are compared
+    with it, and go through the next round with deltas from it, so the cost stays linear in the
+    list. After ``RELEADS`` rounds lists of any length are joined directly.
+    """
+    links = []
+    for turn in range(RELEADS + 1):
+        led = spilled(_annotated(compared, comps))
+        postings = _postings(led)
+        prefix = F.expr("at <= d - ceil(4 * d / 9)")
+        lists = postings.groupBy("c", "element").agg(F.sum(F.col("outer").cast("long")).alias("x"), F.sum(prefix.cast("long")).alias("y"))
+        lists = spilled(lists.filter("x > 0 AND y > 0").select("c", "element", F.expr(f"{turn < RELEADS} AND x * y > {LONG_LIST} * (x + y)").alias("long")))
+        open_ = postings.join(lists, ["c", "element"])
+        names = ("a", "size", "d", "comp", "at", "outer", "first")
+        short = open_.filter("NOT long").withColumn("first", prefix)
+        x = short.filter("outer").select("c", "element", *[F.col(n).alias(f"{n}_x") for n in names])
+        y = short.filter("first").select("c", "element", *[F.col(n).alias(f"{n}_y") for n in names])
+        need = "(9 * (d_x + d_y) - (size_x + size_y))"
+        near = f"comp_x <> comp_y AND 18 * (d_x - at_x) >= {need} AND 18 * (d_y - at_y) >= {need}"
+        met = x.join(y, ["c", "element"]).filter(f"(NOT outer_y OR first_x AND a_x < a_y) AND {near}").select("c", "a_x", "a_y").distinct()
+        delta = lambda n: led.select("c", F.col("a").alias(f"a_{n}"), F.col("size").alias(f"size_{n}"), F.col("d").alias(f"d_{n}"), F.col("delta").alias(f"delta_{n}"))  # noqa: E731, B023
+        sure = met.join(delta("x"), ["c", "a_x"]).join(delta("y"), ["c", "a_y"]).withColumn("both", F.size(F.array_intersect("delta_x", "delta_y")))
+        links.append(spilled(sure.filter(f"18 * both >= {need}").select(F.col("a_x").alias("a"), F.col("a_y").alias("c"))))
+        if turn == RELEADS or lists.filter("long").isEmpty():
+            break
+        members = open_.filter("long").filter(F.col("outer") | prefix).select("c", "element", "a")
+        leaders = members.groupBy("c", "element").agg(F.min(F.struct(F.xxhash64("a"), F.col("a"))).alias("o")).select("c", "element", F.col("o.a").alias("leader"))
+        pairs = spilled(members.join(leaders, ["c", "element"]).filter("a <> leader").select("a", F.col("leader").alias("c")).distinct())
+        compared = spilled(compare(pairs, texts, words))
+        links.append(spilled(compared.filter("linked").select("a", "c")))
+        comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("c")).unionByName(links[-1]).unionByName(links[-2]))
+    return reduce(DataFrame.unionByName, links)
 
 
 def repeated_ids(docs: DataFrame) -> DataFrame:
@@ -193,18 +245,25 @@ def repeated_ids(docs: DataFrame) -> DataFrame:
     return spilled(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
 
 
-def one_row_each(source: DataFrame) -> DataFrame:
-    """(doc_id, text) with one row for each doc_id (rows without one stay)."""
+def one_row_each(source: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(doc_id, text) with one row for each doc_id (rows without one stay), and the other
+    texts of repeated doc_ids as (node, doc_id, text), if there are any."""
     again = repeated_ids(source)
-    longest = F.max(F.struct(F.char_length("text"), F.col("text")))
-    merged = source.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(longest.alias("t")).select("doc_id", "t.text")
-    return source.join(again, "doc_id", "left_anti").unionByName(merged)
+    if again.isEmpty():
+        return source, None
+    texts = spilled(join_by_size(source, again, "doc_id", "left_semi").distinct())
+    longest = texts.groupBy("doc_id").agg(F.max(F.struct(F.char_length("text"), F.col("text"))).alias("t")).select("doc_id", "t.text")
+    rest = texts.filter("text IS NOT NULL").join(longest, ["doc_id", "text"], "left_anti")
+    rest = spilled(rest.select((F.lit(OTHER_TEXTS) - F.monotonically_increasing_id()).alias("node"), "doc_id", "text"))
+    return join_by_size(source, again, "doc_id", "left_anti").unionByName(longest), rest
 
 
 def near_duplicates(docs: DataFrame, words: int = PAIRS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each doc_id, over shingles
     of ``words`` words."""
-    source = one_row_each(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    source, rest = one_row_each(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    if rest is not None:
+        source = source.unionByName(rest.select(F.col("node").alias("doc_id"), "text"))
     sketched = spilled(source.mapInArrow(lambda batches: _sketch(batches, words), "doc_id long, n_shingles long, set_id binary, sig binary"))
     known = sketched.filter("doc_id IS NOT NULL")
     reps = spilled(known.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")))
@@ -218,23 +277,37 @@ def near_duplicates(docs: DataFrame, words: int = PAIRS) -> DataFrame:
     compared = spilled(compare(pairs, texts, words))
     links = spilled(compared.filter("linked").select("a", "c"))
     comps = components(links)
-    more = spilled(_delta_links(compared, comps))
-    comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("c")).unionByName(more))
+    more = spilled(_delta_links(compared, comps, texts, words))
+    edges = comps.select(F.col("node").alias("a"), F.col("component").alias("c")).unionByName(more)
+    if rest is not None:  # all texts of a doc_id are one document
+        by_set = known.select(F.col("doc_id").alias("node"), "set_id").join(reps.select("set_id", "rep"), "set_id").select("node", "rep")
+        edges = edges.unionByName(rest.select(F.col("node").alias("a"), F.col("doc_id").alias("c"))).unionByName(by_set.select(F.col("node").alias("a"), F.col("rep").alias("c")))
+    comps = components(edges)
     comps = comps.withColumnRenamed("node", "rep")
     by_class = reps.select("set_id", "rep").join(comps, "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component"))
     per_id = known.select("doc_id", "n_shingles", "set_id").join(by_class, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    if rest is not None:  # the smallest node may be one of the other texts
+        per_id = per_id.join(rest.select(F.col("node").alias("doc_id")), "doc_id", "left_anti")
+        least = per_id.groupBy("component_id").agg(F.min("doc_id").alias("least"))
+        per_id = per_id.join(least, "component_id").select("doc_id", "n_shingles", F.col("least").alias("component_id"))
     unnamed = sketched.filter("doc_id IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
     return per_id.withColumn("kept", F.col("doc_id") == F.col("component_id")).unionByName(unnamed)
 
 
 def deduplicated(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     """``docs`` without near duplicates: one row of each group of documents stays (of
-    repeated rows of a doc_id, any one); rows without a doc_id stay."""
+    repeated rows of a doc_id, any one); rows without a doc_id stay.
+
+    The texts are not shuffled for the verdict while the ids to drop take
+    ``VERDICT_BYTES`` at most (counted); beyond that it is an ordinary anti join.
+    """
     verdict = spilled(near_duplicates(docs, words))
     gone = verdict.filter("NOT kept").select("doc_id")
     again = repeated_ids(docs)
-    single = docs.join(gone.unionByName(again), "doc_id", "left_anti")
-    repeated = docs.join(again, "doc_id", "left_semi").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    if again.isEmpty():
+        return join_by_size(docs, gone, "doc_id", "left_anti", VERDICT_BYTES).select(*docs.columns)
+    single = join_by_size(docs, gone.unionByName(again), "doc_id", "left_anti", VERDICT_BYTES)
+    repeated = join_by_size(join_by_size(docs, again, "doc_id", "left_semi"), gone, "doc_id", "left_anti", VERDICT_BYTES).dropDuplicates(["doc_id"])
     return single.unionByName(repeated).select(*docs.columns)
 
 

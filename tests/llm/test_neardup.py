@@ -115,6 +115,36 @@ def test_odd_rows(spark, odd_docs, no_docs):
 
 
 def test_rows_with_one_id_are_one_document(spark):
-    rows = [(5, "a b c d e f g h"), (5, "q r s t u v w x longer"), (3, "a b c d e f g h"), (9, "q r s t u v w x longer"), (9, None)]
-    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {3: 3, 5: 5, 9: 5}
+    """With the links of all their texts."""
+    rows = [(5, "a b c d e f g h"), (5, "q r s t u v w x longer"), (3, "a b c d e f g h"), (9, "q r s t u v w x longer"), (9, None), (7, "else where"), (-4, "k l"), (-4, "m n o"), (2, "k l")]
+    got = {r["doc_id"]: (r["component_id"], r["n_shingles"], r["kept"]) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {3: (3, 7, True), 5: (3, 8, False), 9: (3, 8, False), 7: (7, 1, True), -4: (-4, 2, True), 2: (-4, 1, False)}
+    kept = neardup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert sorted(r["doc_id"] for r in kept) == [-4, 3, 7]
+
+
+@pytest.fixture(scope="module")
+def alike():
+    """Near copies of one text that share rare words among themselves, in families."""
+    rnd = random.Random(11)
+    base = [f"b{i}" for i in range(220)]
+    rows = []
+    for i in range(420):
+        w = list(base)
+        family = i % 7
+        for k in range(family * 14, family * 14 + 14):  # a family's own words: as far from the base as the limit
+            w[k] = f"f{family}_{k}"
+        for _ in range(rnd.randint(0, 6)):
+            w[rnd.randrange(220)] = f"x{rnd.randrange(100_000)}"
+        rows.append((i, " ".join([*w, "rare", "pair"] if i % 3 else w)))
+    return rows
+
+
+@pytest.mark.parametrize("long_list", [0, neardup.LONG_LIST])
+def test_shared_rare_pairs_in_a_large_group(spark, alike, monkeypatch, long_list):
+    """The same components, whether lists of an element are led anew or joined."""
+    monkeypatch.setattr(neardup, "LONG_LIST", long_list)
+    rows = alike if long_list else alike[::5]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    exp = brute(rows)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == exp
