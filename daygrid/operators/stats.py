@@ -3,17 +3,17 @@
 
 ``percentile``/``median`` as an aggregate merges one value map per group in a
 single task: fine per entity (a group holds at most one row per day) but not
-for a global quantile over billions of rows. ``exact_quantiles`` instead
-
-1. brackets each wanted rank with ``percentile_approx`` on a fixed quantile grid,
-2. checks every fence with exact counts (a fence that fails is not moved), and
-3. once a bracket holds at most ``max_candidates`` distinct values, counts rows
-   per distinct value (duplicates collapse map-side) and reads the ranks from a
-   running sum over that bounded set.
-
-Only per-target scalars reach the driver. Quantiles interpolate linearly
-between order statistics (numpy / pandas / SQL ``quantile_cont``), nulls and
-NaN ignored.
+for a global quantile over billions of rows. ``exact_quantiles`` selects the wanted ranks
+instead, of all columns at once. A round takes cut points from the data (approximate
+quantiles; only their balance depends on the approximation), counts the values
+equal to each cut point and between neighbours, and goes on with the ranges that hold a
+wanted rank, until each holds one value. Cut points have counts of their own, so a
+value that many rows share is found at once, and a range between them holds about
+1/``buckets`` of its rows: the rounds are the logarithm of the rows to that base. Counts are
+combined before they are shuffled; the driver gets ``buckets`` numbers a range.
+
+Quantiles interpolate linearly between order statistics (numpy / pandas / SQL
+``quantile_cont``), nulls and NaN ignored.
 
 ``prefix_sums`` gives running totals along a global order without a global
 window: cut points of the order are taken once, as data, and assign every row to
@@ -24,123 +24,99 @@ within buckets. No result depends on how Spark partitions an execution.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GRID = [i / 1000.0 for i in range(1001)]
+#: Cut points of a range and round.
+BUCKETS = 512
 
 
 def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    packed = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])
+    packed = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])
     return df.select(F.inline(packed)).filter(F.col("v").isNotNull() & ~F.isnan(F.col("v")))
 
 
-def _tagged(values: DataFrame, state: dict, targets: Sequence[str]) -> DataFrame:
-    """One row per (target, value) for values inside the target's bracket."""
-    tags = []
-    for t in targets:
-        s = state[t]
-        cond = F.col("c") == s["col"]
-        if s["lo"] is not None:
-            cond = cond & (F.col("v") > s["lo"])
-        if s["hi"] is not None:
-            cond = cond & (F.col("v") < s["hi"])
-        tags.append(F.when(cond, F.lit(t)))
-    return values.select(F.explode(F.array(*tags)).alias("t"), "v").filter(F.col("t").isNotNull())
-
-
-def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float] = (0.5,),
-    accuracy: int = 10_000,
-    max_candidates: int = 2_000_000,
-    max_rounds: int = 6,
-) -> dict[tuple[str, float], float | None]:
-    """Exact linear-interpolated quantiles ``{(col, p): value}``."""
-    cols = list(dict.fromkeys(cols))
-    result: dict[tuple[str, float], float | None] = {(c, p): None for c in cols for p in probs}
-    if not cols:
-        return result
-    values = _long(df, cols)
-    first = {
-        r["c"]: r
-        for r in values.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("v").alias("nd")).collect()
-    }
-    # A target is one order statistic of one column; a quantile needs two.
-    state: dict[str, dict] = {}
-    for c in cols:
-        n = first[c]["n"] if c in first else 0
-        if n == 0:
-            continue
-        for p in probs:
-            h = (n - 1) * p
-            for k in sorted({math.floor(h), math.ceil(h)}):
-                state.setdefault(f"{c}#{k}", {"col": c, "k": k, "lo": None, "hi": None, "below": 0, "value": None})
-    active = list(state)
-    direct = [t for t in active if first[state[t]["col"]]["nd"] <= max_candidates]
-    if direct:
-        _resolve(_tagged(values, state, direct), direct, state)
-    active = [t for t in active if t not in direct]
-    for round_no in range(max_rounds + 1):
-        if not active:
-            break
-        cands = _tagged(values, state, active)
-        stats = {
-            r["t"]: r
-            for r in cands.groupBy("t")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.approx_count_distinct("v").alias("nd"),
-                F.percentile_approx("v", F.array(*[F.lit(q) for q in GRID]), accuracy).alias("grid"),
-            )
-            .collect()
-        }
-        small = [t for t in active if stats[t]["nd"] <= max_candidates or round_no == max_rounds]
-        if small:
-            _resolve(cands.filter(F.col("t").isin(small)), small, state)
-        active = [t for t in active if t not in small]
-        if not active:
+@dataclass
+class _Range:
+    """Values of one column that may be wanted: ``lo`` <= v <= ``hi``, ``below`` rows before them."""
+
+    column: int
+    ranks: list[int]
+    lo: float = -math.inf
+    hi: float = math.inf
+    below: int = 0
+
+
+def _by_key(entries: dict[int, Column]) -> Column:
+    return F.create_map(*[x for k, v in entries.items() for x in (F.lit(k), v)])
+
+
+def _in_ranges(values: DataFrame, ranges: list[_Range]) -> DataFrame:
+    """(r, v): values with the number of their range (ranges of a column are apart)."""
+    own: dict[int, list[Column]] = {}
+    for i, r in enumerate(ranges):
+        own.setdefault(r.column, []).append(F.struct(F.lit(r.lo).alias("lo"), F.lit(r.hi).alias("hi"), F.lit(i).alias("r")))
+    mine = F.try_element_at(_by_key({c: F.array(*of) for c, of in own.items()}), F.col("c"))
+    found = F.filter(mine, lambda x: (F.col("v") >= x["lo"]) & (F.col("v") <= x["hi"]))
+    return values.select(F.get(found, F.lit(0))["r"].alias("r"), "v").filter(F.col("r").isNotNull())
+
+
+def _place(v: Column, cuts: Column, buckets: int) -> Column:
+    """Twice the number of cut points below ``v``, and one more if it is one itself."""
+    steps = F.array(*[F.lit(1 << b) for b in range(buckets.bit_length(), -1, -1)])
+    below = F.aggregate(steps, F.lit(0), lambda k, s: F.when((k + s <= F.size(cuts)) & (F.get(cuts, k + s - 1) < v), k + s).otherwise(k))
+    return F.get(F.transform(F.array(below), lambda k: 2 * k + F.coalesce((F.get(cuts, k) == v).cast("int"), F.lit(0))), F.lit(0))
+
+
+def _select(values: DataFrame, probs: Sequence[float], columns: int, buckets: int) -> tuple[dict[tuple[int, int], float], dict[int, int]]:
+    """{(column, rank): value} for the ranks next to all ``probs``, and {column: number of values}."""
+    found: dict[tuple[int, int], float] = {}
+    sizes: dict[int, int] = {}
+    ranges = [_Range(c, []) for c in range(columns)]
+    while ranges:
+        inside = _in_ranges(values, ranges)
+        at = F.array(*[F.lit(i / buckets) for i in range(buckets + 1)])
+        taken = inside.groupBy("r").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("v", at, F.lit(4 * buckets)).alias("cuts")).collect()
+        if not taken:
             break
-        fences = {}
-        for t in active:
-            n_in, grid = stats[t]["n"], stats[t]["grid"]
-            r = state[t]["k"] - state[t]["below"]
-            slack = 2.0 / accuracy
-            i_lo = max(0, math.floor((r / n_in - slack) * 1000))
-            i_hi = min(1000, math.ceil(((r + 1) / n_in + slack) * 1000))
-            fences[t] = (grid[i_lo], grid[i_hi])
-        aggs = []
-        for i, t in enumerate(active):
-            mine = F.col("t") == t
-            aggs += [
-                F.count(F.when(mine & (F.col("v") < fences[t][0]), 1)).alias(f"lt{i}"),
-                F.count(F.when(mine & (F.col("v") > fences[t][1]), 1)).alias(f"gt{i}"),
-            ]
-        row = cands.filter(F.col("t").isin(active)).agg(*aggs).collect()[0]
-        for i, t in enumerate(active):
-            n_in = stats[t]["n"]
-            r = state[t]["k"] - state[t]["below"]
-            lt, gt = row[f"lt{i}"], row[f"gt{i}"]
-            if lt <= r:  # every value below the fence ranks before k: drop them
-                state[t]["below"] += lt
-                state[t]["lo"] = math.nextafter(fences[t][0], -math.inf)
-            if n_in - gt > r:  # every value above the fence ranks after k
-                state[t]["hi"] = math.nextafter(fences[t][1], math.inf)
-    for c in cols:
-        n = first[c]["n"] if c in first else 0
-        if n == 0:
-            continue
+        for t in taken:
+            r = ranges[t["r"]]
+            if r.column not in sizes:  # the first round's range is the whole column
+                sizes[r.column] = t["n"]
+                r.ranks = sorted({k for p in probs for h in [(t["n"] - 1) * p] for k in (math.floor(h), math.ceil(h))})
+        cuts = _by_key({t["r"]: F.array(*map(F.lit, sorted(set(t["cuts"])))) for t in taken})
+        placed = inside.withColumn("place", _place(F.col("v"), F.try_element_at(cuts, F.col("r")), buckets))
+        counted = placed.groupBy("r", "place").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+        narrower, below = [], {i: r.below for i, r in enumerate(ranges)}
+        for part in sorted(counted, key=lambda x: (x["r"], x["place"])):
+            column, start = ranges[part["r"]].column, below[part["r"]]
+            below[part["r"]] += part["n"]
+            here = [k for k in ranges[part["r"]].ranks if start <= k < start + part["n"]]
+            if here and part["lo"] == part["hi"]:
+                found |= {(column, k): part["lo"] for k in here}
+            elif here:
+                narrower.append(_Range(column, here, part["lo"], part["hi"], start))
+        ranges = narrower
+    return found, sizes
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.5,), buckets: int = BUCKETS) -> dict[tuple[str, float], float | None]:
+    """Exact linear-interpolated quantiles ``{(col, p): value}``; None for a column without values."""
+    cols = list(dict.fromkeys(cols))
+    found, sizes = _select(_long(df, cols), probs, len(cols), buckets) if cols else ({}, {})
+    result: dict[tuple[str, float], float | None] = {}
+    for i, c in enumerate(cols):
         for p in probs:
-            h = (n - 1) * p
-            lo_k, hi_k = math.floor(h), math.ceil(h)
-            a, b = state[f"{c}#{lo_k}"]["value"], state[f"{c}#{hi_k}"]["value"]
-            if a is None or b is None:
+            if i not in sizes:
+                result[c, p] = None
                 continue
-            result[(c, p)] = a + (h - lo_k) * (b - a)
+            h = (sizes[i] - 1) * p
+            a, b = found[i, math.floor(h)], found[i, math.ceil(h)]
+            result[c, p] = a if a == b else a + (h - math.floor(h)) * (b - a)
     return result
 
 
