@@ -12,6 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import join_small
 from .stats import prefix_sums
 
 # Decision threshold grid of the reference sweep (37 points).
@@ -173,6 +174,15 @@ def best_threshold(sweep: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def metrics_at(df: DataFrame, y: str, p: str, thresholds: DataFrame, by: Sequence[str]) -> DataFrame:
+    """EVL6: metrics of ``df`` with the class taken at each group's own ``best_threshold``
+    (``thresholds``: one row a group), chosen on other rows."""
+    dealt = join_small(df, thresholds.select(*by, "best_threshold"), list(by))
+    pred = dealt.withColumn("__pred", (F.col(p) >= F.col("best_threshold")).cast("int"))
+    m = metrics_from_confusion(confusion(pred, y, "__pred", [*by, "best_threshold"]))
+    return m.join(roc_auc(df, y, p, by), list(by), "left")
+
+
 def best_row(df: DataFrame, metric: str = "f1", order: Sequence[str] = ()) -> DataFrame:
     """TOP5: the single row with the highest metric (ties by ``order``)."""
     return df.orderBy(F.desc(metric), *[F.asc(o) for o in order]).limit(1)

@@ -7,10 +7,11 @@ iteration k recomputes one partition of that file, not the whole panel.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Mapping, Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -71,3 +72,30 @@ def score(model, df: DataFrame, features: Sequence[str], prob_col: str = "p", pr
     p = vector_to_array(F.col("probability"))[1]
     out = scored.withColumn(prob_col, p).withColumn(pred_col, (F.col(prob_col) >= threshold).cast("int"))
     return out.drop("features", "rawPrediction", "probability", "prediction")
+
+
+def prepared(medians: Mapping[str, float], stats: Mapping[str, tuple[float, float]], suffix: str = "__z") -> SQLTransformer:
+    """Train-fitted imputation and scaling as one Spark ML stage: adds ``<c><suffix>``,
+    (value or train median - mean) / std, for every feature. The fitted numbers are part of
+    the stage, to the last bit, and are saved and loaded with it."""
+    exact = lambda x: f"CAST('{float(x)!r}' AS DOUBLE)"
+    columns = []
+    for c, (mean, std) in stats.items():
+        name = c.replace("`", "``")
+        columns.append(f"(coalesce(CAST(`{name}` AS DOUBLE), {exact(medians[c])}) - {exact(mean)}) / {exact(std)} AS `{name}{suffix}`")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
+
+
+def applicable(model, features: Sequence[str], medians: Mapping[str, float], stats: Mapping[str, tuple[float, float]]) -> PipelineModel:
+    """MOD3/SRC16: imputer, scaler and classifier as one ``PipelineModel`` that scores raw panel
+    rows wherever it is loaded (``PipelineModel.load``)."""
+    scaled = prepared(medians, {c: stats[c] for c in features})
+    vector = VectorAssembler(inputCols=[f"{c}__z" for c in features], outputCol="features", handleInvalid="keep")
+    return PipelineModel(stages=[scaled, vector, model])
+
+
+def apply_saved(pipeline: PipelineModel, df: DataFrame, prob_col: str = "p", pred_col: str = "pred", threshold: float = 0.5) -> DataFrame:
+    """``df`` with the probability of class 1 and the class at ``threshold``."""
+    p = vector_to_array(F.col("probability"))[1]
+    out = pipeline.transform(df).withColumn(prob_col, p)
+    return out.select(*df.columns, prob_col, (F.col(prob_col) >= threshold).cast("int").alias(pred_col))

@@ -426,6 +426,29 @@ def model_comparison(spark: SparkSession, d: str) -> DataFrame:
     return m.select("model", "split", "accuracy", "precision", "recall", "f1", "roc_auc")
 
 
+@query(
+    "test_at_best_threshold",
+    f"""
+WITH {CTE_SPLIT}, pv AS (SELECT * FROM pl WHERE split = 'validation'), {_sql_sweep('pv', 'model')},
+bt AS (SELECT model, (array_agg(threshold ORDER BY f1 DESC, threshold))[1] AS t FROM sw GROUP BY model),
+pt AS (SELECT model, t, y_true, CASE WHEN p >= t THEN 1 ELSE 0 END AS h FROM pl JOIN bt USING (model) WHERE split = 'test'),
+cm AS (SELECT model, t, count(*) FILTER (WHERE y_true = 1 AND h = 1) AS tp, count(*) FILTER (WHERE y_true = 0 AND h = 1) AS fp,
+              count(*) FILTER (WHERE y_true = 1 AND h = 0) AS fn FROM pt GROUP BY model, t)
+SELECT model, round(t, 6) AS best_threshold, tp, fp, fn,
+       round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END, 6) + 0.0 AS precision,
+       round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END, 6) + 0.0 AS recall,
+       round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) + 0.0 AS f1
+FROM cm
+""",
+)
+def test_at_best_threshold(spark: SparkSession, d: str) -> DataFrame:
+    """EVL6: the threshold with the best validation F1, applied to the test rows, per model."""
+    long = cut_lineage(_long_models(scored_panel(spark, d).filter("split <> 'train'"), ["split"]))
+    sweep = EV.threshold_sweep(long.filter("split = 'validation'"), "y_true", "p", ["model"])
+    m = EV.metrics_at(long.filter("split = 'test'"), "y_true", "p", EV.best_threshold(sweep, ["model"]), ["model"])
+    return m.select("model", F.round("best_threshold", 6).alias("best_threshold"), "tp", "fp", "fn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
+
+
 @query(
     "best_model",
     f"""

@@ -18,8 +18,8 @@ from ..operators import inventory as INV
 from ..operators import models as MD
 from ..operators.impute import feature_columns
 from ..operators.panel import PanelOptions, build_panel
-from ..operators.split import temporal_split
-from ..schema import DATE, FLOOD_EVENT_KEYWORDS, KEY, NAME, TARGET
+from ..operators.split import split_report, temporal_split
+from ..schema import DATE, FLOOD_EVENT_KEYWORDS, KEY, NAME, NON_FEATURES, TARGET
 from ..session import cut_lineage
 from ..sources import canonical as C
 from ..sources import files as SF
@@ -189,10 +189,12 @@ def _inspect(chosen: DataFrame, sample_rows: int, inspect_bytes: int) -> DataFra
     return heads.select("path", result.alias("inspect_result"))
 
 
-def train_and_evaluate(spark: SparkSession, panel: DataFrame, outdir: str | None = None, seed: int = 42) -> tuple[dict, DataFrame]:
+def train_and_evaluate(spark: SparkSession, panel: DataFrame, outdir: str | None = None, seed: int = 42, dataset_path: str | None = None) -> tuple[dict, DataFrame]:
     """Entry 3: usable features, temporal split, train-fitted imputation and
     scaling, balanced logistic regression and an oversampled 64-32 network,
-    metrics per split, threshold sweep on validation, test view."""
+    metrics per split, threshold sweep on validation and its best threshold on test, test
+    view. With ``outdir`` each model is saved together with its imputer and scaler, as a
+    ``PipelineModel`` that scores raw panel rows."""
     panel = cut_lineage(panel)
     feats = FE.usable_features(panel)
     sp = cut_lineage(temporal_split(panel))
@@ -219,21 +221,34 @@ def train_and_evaluate(spark: SparkSession, panel: DataFrame, outdir: str | None
     table = EV.classification_metrics(long, "y_true", "p", ["model", "split"])
     results = {f"{r['model']}|{r['split']}": r.asDict() for r in table.collect()}
     sweep = EV.threshold_sweep(long.filter((F.col("model") == "mlp") & (F.col("split") == "validation")), "y_true", "p", ["model"])
-    best = EV.best_threshold(sweep, ["model"]).first()
+    thresholds = cut_lineage(EV.best_threshold(sweep, ["model"]))
+    best = thresholds.first()
     view = scored.filter(F.col("split") == "test").select(
         DATE, NAME, F.col(TARGET).alias("y_true"), "p_lr", "p_mlp", "pred_lr", "pred_mlp", F.to_date(DATE).alias("day")
     )
+    at_best = EV.metrics_at(long.filter((F.col("model") == "mlp") & (F.col("split") == "test")), "y_true", "p", thresholds, ["model"]).first()
+    report = {r["split"]: r for r in split_report(ready).collect()}
     payload = {
+        "timestamp": _dt.datetime.now(_dt.timezone.utc).isoformat(),
+        "dataset_path": dataset_path,
         "dataset_shape": [panel.count(), len(panel.columns)],
+        "target_positive_rate": panel.agg(F.avg(F.col(TARGET).cast("double"))).first()[0],
+        "excluded_columns": sorted(NON_FEATURES),
         "usable_feature_columns": feats,
         "n_features": len(feats),
+        "split": {f"{s}_dates": [str(report[s]["date_min"]), str(report[s]["date_max"])] for s in report} | {f"{s}_rows": report[s]["rows"] for s in report},
         "class_weight": "balanced" if balanced else None,
         "oversampling": sizes,
         "models": results,
         "mlp_best_validation_threshold": best["best_threshold"] if best else None,
+        "mlp_test_at_best_threshold": at_best.asDict() if at_best else None,
+        "imputer": {c: med[c] for c in feats},
+        "scaler": {c: {"mean": stats[c][0], "std": stats[c][1]} for c in feats},
     }
     if outdir:
-        K.write_json_record(spark, payload, f"{outdir}/metrics")
-        lr.write().overwrite().save(f"{outdir}/logistic_regression")
-        mlp.write().overwrite().save(f"{outdir}/mlp")
+        artifacts = {"baseline_model": f"{outdir}/logistic_regression", "mlp_model": f"{outdir}/mlp", "metrics": f"{outdir}/metrics"}
+        for model, at in ((lr, "baseline_model"), (mlp, "mlp_model")):
+            MD.applicable(model, feats, med, stats).write().overwrite().save(artifacts[at])
+        payload["artifacts"] = artifacts
+        K.write_json_record(spark, payload, artifacts["metrics"])
     return payload, view
