@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import calendar_columns
 from ..schema import CALENDAR_COLUMNS, DATE, FLOOD_EVENT_KEYWORDS, KEY, NAME, TARGET
+from ..session import cut_all
 from . import aggregates as A
 from .grid import calendar_grid, date_bounds, entity_reference
 from .impute import impute_three_level, numeric_columns
@@ -86,20 +87,22 @@ def build_panel(
     level: DataFrame | None = None,
     options: PanelOptions = PanelOptions(),
 ) -> DataFrame:
-    """The whole entity-day build from canonical sources (see ``sources.canonical``)."""
+    """The whole entity-day build from canonical sources (see ``sources.canonical``).
+
+    Each source is read once: its daily block (a row per entity and day) is written to
+    the shared folder, and names, day bounds and joins read that."""
     o = options
     cat = A.prepare_catalogue(catalogue, o.region)
     smap = A.station_map(cat)
     static = A.static_attributes(cat)
-    daily = A.daily_events(events_log, o.keywords, o.region, o.start, o.end)
+    daily, *blocks = cut_all(
+        A.daily_events(events_log, o.keywords, o.region, o.start, o.end),
+        None if weather is None else A.daily_weather(weather, smap, o.start, o.end),
+        None if rain is None else A.daily_rain(rain, smap, o.start, o.end, frame=o.frame),
+        None if level is None else A.daily_level(level, smap, o.start, o.end),
+    )
+    blocks = [b for b in blocks if b is not None]
     label = A.next_day_label(daily)
-    blocks = []
-    if weather is not None:
-        blocks.append(A.daily_weather(weather, smap, o.start, o.end))
-    if rain is not None:
-        blocks.append(A.daily_rain(rain, smap, o.start, o.end, frame=o.frame))
-    if level is not None:
-        blocks.append(A.daily_level(level, smap, o.start, o.end))
     entities = entity_reference(A.label_names(daily), cat.select(KEY, NAME, "_row"))
     bounds = date_bounds([label, *blocks], o.start, o.end)
     panel = assemble(entities, static, bounds, blocks, label, o.static_on, calendar=o.calendar)

@@ -12,6 +12,7 @@ from ..operators.impute import feature_columns, impute_three_level, missing_flag
 from ..operators.panel import assemble, fill_label
 from ..operators.windows import rolling_sum
 from ..schema import CALENDAR_COLUMNS, DATE, KEY, NAME, TARGET
+from ..session import cut_all
 from ..sources import canonical as C
 from . import analogues as S
 from .panel_queries import CTE_CAT, CTE_ENTITIES, CTE_EVENTS, CTE_RAIN, cte_grid
@@ -89,10 +90,11 @@ def _base(spark, d):
 def full_panel(spark: SparkSession, d: str) -> DataFrame:
     """Grid with static, weather, rain, level blocks, label and calendar (no imputation)."""
     cat, smap, daily = _base(spark, d)
-    label = A.next_day_label(daily)
     weather = A.daily_weather(S.weather_readings(spark, d), smap)
     rain = A.daily_rain(S.rain_readings(spark, d), smap)
     level = A.daily_level(S.level_readings(spark, d), smap)
+    daily, weather, rain, level = cut_all(daily, weather, rain, level)  # bounds, names and joins read these
+    label = A.next_day_label(daily)
     entities = entity_reference(A.label_names(daily), cat.select(KEY, NAME, "_row"))
     bounds = date_bounds([label, weather, rain, level])
     return assemble(entities, A.static_attributes(cat), bounds, [weather, rain, level], label)

@@ -8,6 +8,7 @@ from ..operators import aggregates as A
 from ..operators.grid import date_bounds, entity_reference
 from ..operators.panel import assemble
 from ..schema import KEY, NAME
+from ..session import cut_all
 from . import analogues as S
 from .registry import query, sql_calendar, sql_clean_code, sql_norm_key, sql_norm_text, sql_strip
 
@@ -30,9 +31,8 @@ def flagship_panel(spark: SparkSession, d: str) -> DataFrame:
     cat = _catalogue(spark, d)
     smap = A.station_map(cat)
     static = A.static_attributes(cat)
-    daily = _daily_events(spark, d)
+    daily, rain = cut_all(_daily_events(spark, d), A.daily_rain(S.rain_readings(spark, d), smap))
     label = A.next_day_label(daily)
-    rain = A.daily_rain(S.rain_readings(spark, d), smap)
     entities = entity_reference(A.label_names(daily), cat.select(KEY, NAME, "_row"))
     bounds = date_bounds([label, rain])
     return assemble(entities, static, bounds, [rain], label)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,3 +94,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize ``df`` in the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_all(*frames: DataFrame | None) -> list[DataFrame | None]:
+    """``cut_lineage`` of independent frames at the same time (None stays None), so that
+    each one's source is read once, whatever is built from it."""
+    with ThreadPoolExecutor(max(1, len(frames))) as pool:
+        return list(pool.map(lambda f: None if f is None else cut_lineage(f), frames))
