@@ -26,7 +26,7 @@ left without text by the wrapper's evidence is judged by its own text.
 
 Defined results: null or empty html gives an empty text; a url without a host
 belongs to the host ``''``; markup is read leniently (unclosed and stray tags, a
-page that ends early); character references are decoded, white space inside a
+page that ends early, tags nested deeper than ``DEPTH``); character references are decoded, white space inside a
 block becomes one space, blocks are joined by one space; repeated rows get equal
 results; extra columns play no role.
 """
@@ -36,6 +36,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from difflib import SequenceMatcher
 from functools import lru_cache
 
@@ -79,7 +80,11 @@ _TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dd dt fig
 CONSTANT_PAGES = 3
 AREA_SHARE = 0.8
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</([a-zA-Z][\w:-]*)[^>]*>|<([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: Nesting that is kept; deeper groups are read as parts of the one at this depth, as browsers do.
+DEPTH = 200
+
+_NAME = re.compile(r"[a-zA-Z][\w:-]*")
+_QUOTE_OR_END = re.compile(r">|=\s*[\"']")
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _PARTS = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
@@ -120,16 +125,64 @@ def aside_kind(label: str) -> str:
     return "weak" if tag == "dialog" or not WEAK_WORDS.isdisjoint(words) else ""
 
 
+def _tokens(page: str):
+    """(start, end, closing, tag, attributes) of the markup of a page, in one pass; comments and
+    declarations have no tag. Quotes count only behind ``=``; once a tag finds no end
+    that way, tags of this page end at the next ``>``. Without one, ``<`` is text."""
+    at, last, plain = 0, page.rfind(">"), False
+    while (start := page.find("<", at)) >= 0:
+        at = start + 1
+        sign = page[at : at + 1]
+        if page.startswith("!--", at):
+            end = page.find("-->", at + 3)
+            end = len(page) if end < 0 else end + 3
+            yield start, end, False, "", ""
+            at = end
+            continue
+        if start >= last:
+            continue
+        if sign in ("!", "?"):
+            end = page.find(">", at) + 1
+            yield start, end, False, "", ""
+            at = end
+            continue
+        name = _NAME.match(page, at + (sign == "/"))
+        if not name:
+            continue
+        end = -1
+        if sign != "/" and not plain:
+            here = name.end()
+            while m := _QUOTE_OR_END.search(page, here):
+                if m[0] == ">":
+                    end = m.start()
+                    break
+                close = page.find(m[0][-1], m.end())
+                if close < 0:
+                    break
+                here = close + 1
+            plain = end < 0
+        if end < 0:
+            end = page.find(">", name.end())
+        if end < 0:
+            continue
+        tag, attributes, at = name[0].lower(), page[name.end() : end], end + 1
+        if sign != "/" and tag in RAW:  # its content is part of the token
+            gone = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            at = gone.end() if gone else len(page)
+        yield start, at, sign == "/", tag, attributes
+
+
 def parse(page: str | None) -> Node:
     """The tree of block tags of a page; text slots hold their text pieces."""
     root = Node("page")
-    stack = [root]
+    tags, nodes = ["page"], [root]
+    opened = Counter()
     page = page or ""
-    at, links, left_open = 0, 0, False
+    links, left_open = 0, False
 
     def put(piece: str) -> None:
         if piece:
-            kids = stack[-1].kids
+            kids = nodes[-1].kids
             if not kids or kids[-1].label != "#":
                 if not piece.strip():
                     return
@@ -138,46 +191,56 @@ def parse(page: str | None) -> Node:
             if links:
                 kids[-1].links += len(piece)
 
-    while True:
-        m = _TOKEN.search(page, at)
-        put(html.unescape(page[at : m.start()] if m else page[at:]))
-        if not m:
-            break
-        at = m.end()
-        close, tag = (m[1] or "").lower(), (m[2] or "").lower()
-        if close in INLINE or tag in INLINE:
-            if tag == "br":
+    def shut(size: int) -> None:
+        """Closes groups until ``size`` are open; text behind a deep one is a block of its own."""
+        deep = len(tags) > DEPTH
+        opened.subtract(tags[size:])
+        del tags[size:], nodes[size:]
+        if deep and nodes[-1].kids and nodes[-1].kids[-1].label == "#":
+            nodes[-1].kids.append(Node("div"))
+
+    def shut_by(tag: str) -> None:
+        while len(tags) > 1 and tag in CLOSED_BY.get(tags[-1], ()):
+            shut(len(tags) - 1)
+
+    read = 0  # the page is read up to here
+    for start, end, closing, tag, attributes in _tokens(page):
+        put(html.unescape(page[read:start]))
+        read = end
+        if tag in INLINE:
+            if not closing and tag == "br":
                 put(" ")
-            links = 1 if tag == "a" else 0 if close == "a" else links
-        elif close:
+            links = links if tag != "a" else 0 if closing else 1
+        elif closing:
             links = 0
-            if any(n.label.split(" ")[0] == close for n in stack[1:]):
-                while stack.pop().label.split(" ")[0] != close:
-                    pass
+            if opened[tag] > 0:
+                size = len(tags) - 1
+                while tags[size] != tag:
+                    size -= 1
+                shut(size)
         elif tag:
             links = 0
-            while len(stack) > 1 and tag in CLOSED_BY.get(stack[-1].label.split(" ")[0], ()):
-                stack.pop()
+            shut_by(tag)
             if left_open and tag in _BLOCKS:
-                for i in range(len(stack) - 1, 0, -1):
-                    open_tag = stack[i].label.split(" ")[0]
-                    if open_tag in _HOLDING:
+                for i in range(len(tags) - 1, 0, -1):
+                    if tags[i] in _HOLDING:
                         break
-                    if open_tag in LEFT_OPEN:
-                        del stack[i:]
+                    if tags[i] in LEFT_OPEN:
+                        shut(i)
                         break
-                while len(stack) > 1 and tag in CLOSED_BY.get(stack[-1].label.split(" ")[0], ()):
-                    stack.pop()
+                shut_by(tag)
             if tag in RAW:
-                end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
-                stack[-1].kids.append(Node(_label(tag, "")))
-            else:
-                node = Node(_label(tag, m[3]))
-                stack[-1].kids.append(node)
-                if tag not in VOID and not m[3].rstrip().endswith("/"):
-                    stack.append(node)
-                    left_open = left_open or tag in LEFT_OPEN
+                nodes[-1].kids.append(Node(_label(tag, "")))
+                continue
+            node = Node(_label(tag, attributes))
+            nodes[-1].kids.append(node)
+            if tag not in VOID and not attributes.rstrip().endswith("/"):
+                tags.append(tag)
+                # beyond DEPTH a group's text goes on in the group around it, but for areas that are dropped
+                nodes.append(node if len(tags) <= DEPTH or tag in ASIDE_TAGS else nodes[-1])
+                opened[tag] += 1
+                left_open = left_open or tag in LEFT_OPEN
+    put(html.unescape(page[read:]))
     return root
 
 

@@ -133,3 +133,30 @@ def test_open_and_empty_embedded_elements(spark):
         pages.append((f"https://open.example/{i}", f"<body><article>{inner}</article></body>"))
         want.append(exp)
     assert texts_of(spark, pages) == want
+
+
+def own_text(page):
+    w = W.induced(W.parse(page))
+    return W.extract(W.parse(page), W.gathered(w))
+
+
+def test_quotes_count_behind_equal_signs_only():
+    page = "<article><p title=it's>Hello wide world.</p><p>It's fine here.</p><p data-x='a>b' class=\"c\">last</p></article>"
+    assert own_text(page) == "Hello wide world. It's fine here. last"
+    assert own_text('<article><p title="never closed>First text here.</p><p>Second text.</p></article>') == "First text here. Second text."
+    assert own_text("<article><p>1 < 2 and 3 <4</p><p>b</p") == "1 < 2 and 3 <4 b</p"
+
+
+def test_deep_nesting_keeps_text_in_order():
+    for n in (150, 1_100, 5_000, 60_000):
+        page = "<article>" + "".join(f"<div>w{i} " for i in range(n)) + "<nav>menu</nav>" + "".join(f"</div>v{i} " for i in range(n)) + "</article>"
+        assert own_text(page).split() == [f"w{i}" for i in range(n)] + [f"v{i}" for i in range(n)]
+
+
+def test_odd_markup_takes_linear_time():
+    import time
+
+    for piece in ('<p a="x ', '<p a="x>" ', "</p ", "<!x ", "<p a='", "<p =", "<a href=\"x>y", "<div><p>", "<select><p>x"):
+        began = time.time()
+        W.extract(W.parse(piece * 100_000), None)
+        assert time.time() - began < 30, piece
