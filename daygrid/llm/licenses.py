@@ -4,7 +4,8 @@ Templates and blocks are sets of words. A block meets a template if it contains
 at least ``threshold`` of the template's words. A block is any run of consecutive
 words, over line ends or inside a long line, that is at most half as long again as
 the template, and that has the template's telling words: names of licenses, and
-words that tell it from a template of another label which has enough of the others.
+words that tell it from a template of another label which has enough of the others; blocks that
+meet the threshold without them are in ``contained`` only (label and containment).
 Of templates met in one place, one whose names include another's stands for both. Candidates come from prefix
 filtering: the template words are ordered by their frequency in the whole corpus
 (counted first), rarest first, and a block that shares ceil(t * n) of n words
@@ -64,8 +65,8 @@ TEMPLATES = (
 THRESHOLD = 0.8
 # Words that name a license; a template that has them is not met without them.
 NAMES = frozenset(b"affero apache artistic bsd cc cc0 commons eclipse gnu lesser mit mozilla nc nd sa sharealike unencumbered".split())
-#: Not used by the scan: the lines of a block in the rule tests/llm/test_licenses.py holds.
-LINES = 3
+#: Words of a block, as a multiple of its template's.
+BLOCK_LENGTH = 1.5
 
 _KEPT = b"0123456789abcdefghijklmnopqrstuvwxyz"
 #: Lower-cases A-Z, keeps 0-9, a-z, bytes above 0x7F and line feeds, blanks the rest.
@@ -108,7 +109,7 @@ class TemplateJoin:
             ordered = sorted(words, key=self.rank.__getitem__)
             for at, w in enumerate(ordered[: len(words) - need + 1]):
                 self.prefix.setdefault(w, []).append((len(self.templates), at))
-            self.templates.append((label, words, need, lengths[len(self.templates)] + max(2, lengths[len(self.templates)] // 2)))
+            self.templates.append((label, words, need, max(lengths[len(self.templates)] + 2, int(lengths[len(self.templates)] * BLOCK_LENGTH))))
         self.prefix_words = frozenset(self.prefix)
         self.telling = []
         for label, words, need, _ in self.templates:
@@ -127,13 +128,13 @@ class TemplateJoin:
                 _, template, need, _ = self.templates[t]
                 if len(words) < need or 1 + min(len(known) - here - 1, len(template) - at - 1) < need:
                     continue
-                if self.telling[t] <= words and len(template & words) >= need:
+                if len(template & words) >= need:
                     out.append(t)
         return out
 
     def blocks(self, t: int, places: list[tuple[int, bytes]]):
-        """(first, last, words shared) of the longest blocks that meet template ``t``;
-        ``places``: positions of its words in a text."""
+        """(first, last, words shared, whether it has the telling words) of the longest blocks
+        that meet template ``t``; ``places``: positions of its words in a text."""
         _, _, need, span = self.templates[t]
         count: dict[bytes, int] = {}
         left = 0
@@ -145,8 +146,8 @@ class TemplateJoin:
                 if not count[gone]:
                     del count[gone]
                 left += 1
-            if len(count) >= need and self.telling[t] <= count.keys():
-                yield places[left][0], at, len(count)
+            if len(count) >= need:
+                yield places[left][0], at, len(count), self.telling[t] <= count.keys()
 
 
 def base_places(words: list[bytes]) -> list[tuple[int, str]]:
@@ -166,26 +167,30 @@ def base_places(words: list[bytes]) -> list[tuple[int, str]]:
 
 
 def scan_text(text: str | None, join: TemplateJoin):
-    """(words, base places, {label: containment}) of one text."""
+    """(words, base places, {label: containment} as decided, the same of all blocks) of one text."""
     words = fold(text).split()
     present = set(words)
     met: dict[str, float] = {}
+    contained: dict[str, float] = {}
     tried = join.candidates(present) if not join.prefix_words.isdisjoint(present) else []
     if tried:
         wanted = frozenset().union(*(join.templates[t][1] for t in tried))
         places = [(i, w) for i, w in enumerate(words) if w in wanted]
         found = {t: list(join.blocks(t, [p for p in places if p[1] in join.templates[t][1]])) for t in tried}
+        told = {t: [b for b in blocks if b[3]] for t, blocks in found.items()}
         for t, blocks in found.items():
             label, template = join.templates[t][:2]
-            above = [b for u in found if join.templates[u][0] != label and template & NAMES and template & NAMES < join.templates[u][1] & NAMES for b in found[u]]
-            both = max((n for a, z, n in blocks if not any(first <= z and a <= last for first, last, _ in above)), default=0)
+            if blocks:
+                contained[label] = max(contained.get(label, 0.0), max(b[2] for b in blocks) / len(template))
+            above = [b for u in told if join.templates[u][0] != label and template & NAMES and template & NAMES < join.templates[u][1] & NAMES for b in told[u]]
+            both = max((n for a, z, n, _ in told[t] if not any(first <= z and a <= last for first, last, _, _ in above)), default=0)
             if both:
                 met[label] = max(met.get(label, 0.0), both / len(template))
     base = base_places(words) if {b"by", b"public", b"rights"} & present else []
-    return words, base, met
+    return words, base, met, contained
 
 
-_RESULT = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
+_RESULT = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, contained string"
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -200,11 +205,11 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
                 part = batch.slice(at, 512)
                 out = []
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    words, base, met = scan_text(text, join)
+                    words, base, met, contained = scan_text(text, join)
                     own = {label for _, label in base}
                     starts = [i for i, _ in base]
-                    out.append((doc_id, len(words), len(base), min(starts, default=None), max(starts, default=None), ",".join(sorted(own)), ",".join(sorted(own | met.keys())), 1.0 if base else max(met.values(), default=0.0)))
-                types = (pa.int64(),) * 5 + (pa.string(), pa.string(), pa.float64())
+                    out.append((doc_id, len(words), len(base), min(starts, default=None), max(starts, default=None), ",".join(sorted(own)), ",".join(sorted(own | met.keys())), 1.0 if base else max(met.values(), default=0.0), ",".join(f"{k}:{v:.4f}" for k, v in sorted(contained.items()))))
+                types = (pa.int64(),) * 5 + (pa.string(), pa.string(), pa.float64(), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=[c.split()[0] for c in _RESULT.split(", ")])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _RESULT)

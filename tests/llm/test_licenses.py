@@ -12,29 +12,45 @@ def words_of(t):
     return [w for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))]
 
 
-def brute(t, threshold=L.THRESHOLD, lines=L.LINES):
+def windows(w, words, span):
+    """(first, last, words of the template) in the ``span`` words up to each of its words."""
+    for z, x in enumerate(w):
+        if x in words:
+            inside = [i for i in range(max(0, z - span + 1), z + 1) if w[i] in words]
+            yield inside[0], z, {w[i] for i in inside}
+
+
+def brute(t, threshold=L.THRESHOLD):
+    """The present rule, every window of every template looked at from scratch."""
     w = words_of(t)
     places = [(i, label) for p, label in PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
-    rows = [r for r in map(words_of, (t or "").split("\n")) if r]
-    met = {}
-    for i in range(len(rows)):
-        for j in range(i, min(i + lines, len(rows))):
-            block = {x for r in rows[i : j + 1] for x in r}
-            for label, template in L.template_sets():
-                names = {x.decode() for x in template}
-                share = len(names & block) / len(names)
-                if share >= threshold - 1e-9:
-                    met[label] = max(met.get(label, 0), share)
+    templates = [(label, {x.decode() for x in words}, len(words_of(text))) for (label, words), (_, text) in zip(L.template_sets(), L.TEMPLATES)]
+    names = {x.decode() for x in L.NAMES}
+    need = lambda words: -(-len(words) * 4 // 5)
+    told, contained, met = {}, {}, {}
+    for k, (label, words, n) in enumerate(templates):
+        telling = (words & names).union(*(words - u for other, u, _ in templates if other != label and len(words & u) >= need(words)))
+        found = [b for b in windows(w, words, max(n + 2, n * 3 // 2)) if len(b[2]) >= need(words)]
+        told[k] = [b for b in found if telling <= b[2]]
+        for b in found:
+            contained[label] = max(contained.get(label, 0), len(b[2]) / len(words))
+    for k, (label, words, _) in enumerate(templates):
+        above = [b for j, (other, u, _) in enumerate(templates) if other != label and words & names and words & names < u & names for b in told[j]]
+        for a, z, both in told[k]:
+            if not any(first <= z and a <= last for first, last, _ in above):
+                met[label] = max(met.get(label, 0), len(both) / len(words))
     own = sorted({label for _, label in places})
     at = [i for i, _ in places]
-    return (len(w), len(places), min(at, default=None), max(at, default=None), ",".join(own), ",".join(sorted({*own, *met})), 1.0 if places else max(met.values(), default=0.0))
+    labels = ",".join(sorted({*own, *met}))
+    listed = ",".join(f"{k}:{v:.4f}" for k, v in sorted(contained.items()))
+    return (len(w), len(places), min(at, default=None), max(at, default=None), ",".join(own), labels, 1.0 if places else max(met.values(), default=0.0), listed)
 
 
 def check(rows, texts):
     for r in rows:
         exp = brute(texts[r["doc_id"]])
         assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"]) == exp[:6]
-        assert abs(r["score"] - exp[6]) < 1e-12
+        assert abs(r["score"] - exp[6]) < 1e-12 and r["contained"] == exp[7]
 
 
 def test_given_documents(spark, sf, corpus):
