@@ -9,9 +9,12 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import lenient_timestamp
+from ..functions.text import normalize_text
 from ..operators import evaluate as EV
 from ..operators import features as FE
 from ..operators import inventory as INV
@@ -44,6 +47,27 @@ def _pick(files: DataFrame, choices) -> str | None:
     return row["path"] if row else None
 
 
+def _counted(df: DataFrame, notes: list, what: str, lost: dict[str, Column]) -> DataFrame:
+    """``df`` observed while it is read: ``notes`` gets (what, observation) with the number
+    of rows for each reason in ``lost``, so that counting them costs no pass of its own."""
+    seen = Observation()
+    notes.append((what, seen))
+    return df.observe(seen, *[F.count_if(F.coalesce(c, F.lit(False))).alias(reason) for reason, c in lost.items()])
+
+
+def _no_time(df: DataFrame, col: str) -> Column:
+    raw = F.col(col).cast("string")
+    return raw.isNotNull() & (F.trim(raw) != "") & lenient_timestamp(F.col(col), df.schema[col].dataType).isNull()
+
+
+def _no_number(col: str) -> Column:
+    return F.col(col).isNotNull() & F.col(col).try_cast("double").isNull()
+
+
+def _has_place(df: DataFrame) -> bool:
+    return bool({"station_code_raw", "municipio_raw"} & set(df.columns))
+
+
 def build_from_folder(
     spark: SparkSession,
     raw_root: str,
@@ -53,8 +77,13 @@ def build_from_folder(
     include_level: bool = False,
     region: str | None = REGION,
 ) -> tuple[DataFrame, dict]:
-    """Entry 1: discover sources, canonicalize, build and (optionally) write the panel."""
+    """Entry 1: discover sources, canonicalize, build and (optionally) write the panel.
+
+    Rows that are lost on the way (unreadable times and numbers, negative rain)
+    are counted by reason while the sources are read, and reported with what is missing
+    in ``warnings``; optional sources that cannot be used are left out."""
     warnings = R.Warnings()
+    notes: list = []
     used: dict[str, str | None] = {}
     files = SF.list_files(spark, raw_root)
     if files.limit(1).count() == 0:
@@ -65,18 +94,25 @@ def build_from_folder(
         raise FileNotFoundError("No station catalogue file found.")
     used["stations"] = st
     catalogue = C.canonicalize(R.read_table(spark, st), C.CATALOGUE)
+    if region and "departamento_raw" in catalogue.columns:
+        if catalogue.filter(normalize_text(F.col("departamento_raw")).contains(region)).isEmpty():
+            warnings.add(f"Station catalog has no explicit {region} department match; using full file.")
 
     gt = _pick(files, EVENTS_CHOICE)
     if gt is None:
         raise FileNotFoundError("No ground truth event table found.")
     used["ground_truth"] = gt
     events = C.canonicalize(R.read_table(spark, gt), C.EVENTS)
+    events = _counted(events, notes, "Event log", {"unreadable times": _no_time(events, "event_time_raw")})
 
     mt = _pick(files, WEATHER_CHOICE)
     if mt is None:
         raise FileNotFoundError("No weather file found.")
     used["weather"] = mt
     weather = C.canonicalize(R.read_table(spark, mt), C.WEATHER)
+    measured = [c for c in ("temp_raw", "rh_raw", "wind_raw") if c in weather.columns]
+    lost = {"unreadable times": _no_time(weather, "time_raw")} | {f"unreadable numbers in {c}": _no_number(c) for c in measured}
+    weather = _counted(weather, notes, "Weather", lost)
 
     rain = None
     pr = _pick(files, RAIN_CHOICE)
@@ -87,6 +123,12 @@ def build_from_folder(
             rain = C.canonicalize(raw_rain, C.RAIN)
         except C.MissingColumns as exc:
             warnings.add(f"Precip file missing required columns: {exc}")
+    if rain is not None and not _has_place(rain):
+        warnings.add("Precipitation file could not be mapped to municipio.")
+        rain = None
+    if rain is not None:
+        value = F.col("precip_raw").try_cast("double")
+        rain = _counted(rain, notes, "Precipitation", {"unreadable times": _no_time(rain, "time_raw"), "unreadable numbers": _no_number("precip_raw"), "negative values": value < 0})
 
     level = None
     if include_level:
@@ -94,11 +136,20 @@ def build_from_folder(
         try:
             level = R.read_zip_parts(spark, root, warnings)
             used["level"] = root
+            level = _counted(level, notes, "Level", {"unreadable times": _no_time(level, "time_raw"), "unreadable numbers": _no_number("level_raw")})
         except Exception as exc:  # noqa: BLE001 - absent folder degrades the block
             warnings.add(f"Level folder not usable; skipping level features ({exc}).")
 
     options = PanelOptions(region=region, keywords=FLOOD_EVENT_KEYWORDS, start=start, end=end)
     panel = cut_lineage(build_panel(catalogue, events, weather, rain, level, options))
+    for what, seen in notes:  # all sources have been read by now
+        try:
+            lost = seen.get
+        except Py4JJavaError:  # a source without rows is planned away, and its metrics with it
+            continue
+        for reason, n in lost.items():
+            if n:
+                warnings.add(f"{what}: {n} rows with {reason}.")
     meta = panel_metadata(panel)
     meta.update(used_sources=used, warnings=warnings.items)
     if outdir:

@@ -11,6 +11,7 @@ import json
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schema import DATE, KEY
 
@@ -22,12 +23,26 @@ def write_panel_csv(df: DataFrame, path: str, sort: bool = True) -> None:
     out.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def write_panel_parquet(df: DataFrame, path: str, partition_by: str | None = "year", warnings=None) -> bool:
-    """SRC11: parquet partitioned by year; a failure is recorded, not raised."""
+#: Rows of the panel that a file holds at most.
+FILE_ROWS = 2_000_000
+
+
+def write_panel_parquet(df: DataFrame, path: str, partition_by: str | None = "year", warnings=None, file_rows: int = FILE_ROWS) -> bool:
+    """SRC11: parquet partitioned by year; a failure is recorded, not raised.
+
+    The rows of each year are counted first and dealt to as many files as they need, by
+    entity, so neither tasks nor years multiply the number of files and no file grows
+    with the panel."""
     try:
-        w = df.sortWithinPartitions(KEY, DATE).write.mode("overwrite")
         if partition_by and partition_by in df.columns:
-            w = w.partitionBy(partition_by)
+            sizes = {r[0]: r["count"] for r in df.groupBy(partition_by).count().collect()}  # a row a year
+            files = {k: -(-n // file_rows) for k, n in sizes.items()}
+            mine = F.coalesce(*[F.when(F.col(partition_by).eqNullSafe(F.lit(k)), F.lit(n)) for k, n in files.items()], F.lit(1))
+            salted = df.withColumn("__file", F.pmod(F.xxhash64(KEY), mine))
+            dealt = salted.repartition(max(1, sum(files.values())), partition_by, "__file").drop("__file")
+            w = dealt.sortWithinPartitions(partition_by, KEY, DATE).write.mode("overwrite").option("maxRecordsPerFile", file_rows).partitionBy(partition_by)
+        else:
+            w = df.sortWithinPartitions(KEY, DATE).write.mode("overwrite").option("maxRecordsPerFile", file_rows)
         w.parquet(path)
         return True
     except Exception as exc:  # noqa: BLE001

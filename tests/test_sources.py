@@ -155,6 +155,41 @@ def test_preset_session_values_survive(spark):
         spark.conf.set(key, before)
 
 
+def test_lost_rows_are_counted_by_reason(spark, raw_root):
+    _, meta = PL.build_from_folder(spark, raw_root, include_level=True)
+    said = meta["warnings"]
+    assert "Event log: 1 rows with unreadable times." in said
+    assert "Weather: 1 rows with unreadable numbers in temp_raw." in said
+    assert "Precipitation: 1 rows with negative values." in said
+    assert not any("department match" in w for w in said)
+
+
+def test_sources_that_cannot_be_used_are_left_out(spark, raw_root, tmp_path):
+    import shutil
+
+    root = tmp_path / "raw"
+    shutil.copytree(raw_root, root)
+    _write(f"{root}/Precipitacion IDEAM/precipitacion_antioquia_final.csv", "FechaObservacion|ValorObservado\n2024-01-01 01:00|2.0\n")
+    _write(f"{root}/Estaciones IDEAM/CNE_IDEAM.csv", "Codigo;Municipio;Departamento\n21;Medellín;Valle\n33;Bello;Valle\n")
+    panel, meta = PL.build_from_folder(spark, str(root))
+    assert "Precipitation file could not be mapped to municipio." in meta["warnings"]
+    assert "Station catalog has no explicit antioquia department match; using full file." in meta["warnings"]
+    assert not any(c.startswith("precip") for c in panel.columns) and "meteo_obs_count_24h" in panel.columns
+
+
+def test_panel_files_by_size(spark, tmp_path):
+    rows = [(f"k{i % 40}", f"2{y}-01-{1 + i // 40:02d}", 2000 + y) for y in (20, 21) for i in range(400 if y == 20 else 40)]
+    df = spark.createDataFrame(rows, "municipio_key string, date string, year int").repartition(13)
+    from daygrid.sources import sinks
+
+    assert sinks.write_panel_parquet(df, str(tmp_path / "p"), file_rows=100)
+    files = {y: [f for f in os.listdir(tmp_path / "p" / f"year={y}") if f.endswith(".parquet")] for y in (2020, 2021)}
+    assert len(files[2021]) == 1 and 4 <= len(files[2020]) <= 8
+    back = spark.read.parquet(str(tmp_path / "p"))
+    assert back.count() == len(rows) and sorted(map(tuple, back.select(*df.columns).collect())) == sorted(rows)
+    assert sinks.write_panel_parquet(df.drop("year"), str(tmp_path / "q"))
+
+
 @pytest.fixture(scope="module")
 def odd_tree():
     """Names that Spark's own listing hides, links, a link loop, hidden and generated folders."""
