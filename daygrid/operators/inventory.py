@@ -95,12 +95,6 @@ INVENTORY_COLUMNS = (
 )
 
 
-def build_inventory(files: DataFrame, max_per_group: int = 5) -> DataFrame:
-    """SRC13 layout: the nine inventory columns."""
-    inv = with_notes(inspection_quota(classify_files(files), max_per_group), max_per_group)
-    return inv.select(*INVENTORY_COLUMNS)
-
-
 def inventory_counts(inv: DataFrame) -> DataFrame:
     """AGG10: (dimension, value, file_count) for extension (unsupported ->
     'untracked'), source group and phase, plus the total, in one grouping-sets pass."""

@@ -14,35 +14,6 @@ STATION = "station_code"
 # Event keywords that mark a flood event (fixed values of the reference).
 FLOOD_EVENT_KEYWORDS = ("inund", "crecient", "avenida torrencial", "desbord")
 
-STATIC_COLUMNS = ("stations_in_municipio", "latitud_raw", "longitud_raw", "altitud_raw")
-
-WEATHER_COLUMNS = (
-    "meteo_obs_count_24h",
-    "meteo_station_count_24h",
-    "meteo_temp_mean_24h",
-    "meteo_temp_max_24h",
-    "meteo_rh_mean_24h",
-    "meteo_rh_max_24h",
-    "meteo_wind_mean_24h",
-    "meteo_wind_max_24h",
-)
-
-RAIN_COLUMNS = (
-    "precip_mm_24h_sum",
-    "precip_mm_24h_max",
-    "precip_obs_count_24h",
-    "precip_station_count_24h",
-    "precip_mm_48h_sum",
-    "precip_mm_72h_sum",
-)
-
-LEVEL_COLUMNS = (
-    "river_level_mean_24h",
-    "river_level_max_24h",
-    "river_level_station_count_24h",
-    "river_level_delta_24h",
-)
-
 CALENDAR_COLUMNS = ("year", "month", "day", "day_of_year", "day_of_week", "is_weekend")
 
 NON_FEATURES = (KEY, NAME, DATE, TARGET)
