@@ -346,9 +346,9 @@ def _sql_phase(g: str, t: str, e: str, m: str) -> tuple[str, str, str]:
     return out[0], out[1], out[2]
 
 
-def _sql_classified() -> str:
+def _sql_classified(files: str = _SQL_PAGE_FILES) -> str:
     phase, reason, can = _sql_phase("source_group", "readable_type_guess", "ext", "size_mb")
-    return f"""{_SQL_PAGE_FILES},
+    return f"""{files},
 c1 AS (
   SELECT *, {_sql_extension('file_name')} AS ext, {_sql_group('relative_path')} AS source_group,
          round(size_bytes / 1048576.0, 4) AS size_mb
@@ -426,10 +426,10 @@ def usability_class(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _sql_inventory(max_per_group: int = 5) -> str:
+def _sql_inventory(max_per_group: int = 5, files: str = _SQL_PAGE_FILES, probe: str = "NULL") -> str:
     skipped = f"inspection_skipped=limit_reached({max_per_group}) for source/type"
     inspectable = ", ".join(f"'{x}'" for x in INV.INSPECTABLE)
-    return f"""{_sql_classified()},
+    return f"""{_sql_classified(files)},
 q AS (
   SELECT *, readable_type_guess IN ({inspectable}) AS inspectable,
          row_number() OVER (PARTITION BY source_group, readable_type_guess ORDER BY relative_path) AS rn
@@ -438,7 +438,7 @@ q AS (
 nt AS (
   SELECT *, concat_ws(' | ', 'phase1_reason=' || reason,
                       'can_convert_to_municipio_fecha=' || CASE WHEN can_convert THEN 'YES' ELSE 'NO' END,
-                      CASE WHEN inspectable AND rn > {max_per_group} THEN '{skipped}' END) AS note
+                      CASE WHEN inspectable AND rn > {max_per_group} THEN '{skipped}' WHEN inspectable THEN {probe} END) AS note
   FROM q
 ),
 inv AS (
@@ -527,6 +527,142 @@ def source_groups_by_count(spark: SparkSession, d: str) -> DataFrame:
     return INV.top_source_groups(_inventory(spark, d), 12)
 
 
+# ---------------------------------------------------------------------------
+# File inventory of a raw folder derived from the orders (every branch is reached)
+# ---------------------------------------------------------------------------
+
+# Folders of a raw tree, one for each source group, one of none, with accents and capitals.
+RAW_FOLDERS = (
+    "Precipitación IDEAM", "Estaciones Meteorológicas IDEAM", "Open-Meteo", "Topografía y Cartografía IGAC", "MapBiomas", "TR Centros Poblados",
+    "Ground Truth Inundaciones", "CHIRPS diario", "SAR Sentinel-1", "Google Earth Engine", "SMAP humedad suelo", "DHIME IDEAM nivel", "datos_comprimidos", "varios",
+)
+RAW_ENDINGS = ("csv", "TXT", "xlsx", "shp", "GeoJSON", "json", "tif", "tif.gz", "zip", "gz", "rar", "pdf", "")
+#: Bytes a file has for each unit of an order's price (files from kilobytes to a gigabyte).
+RAW_BYTES = 2_000
+
+
+def raw_files(spark: SparkSession, d: str) -> DataFrame:
+    """A file for every order: folder and ending by key, size by price, inspection text by customer."""
+    pick = lambda names, n: F.element_at(F.array(*map(F.lit, names)), (n % len(names) + 1).cast("int"))
+    key = F.col("o_orderkey")
+    ending = pick(RAW_ENDINGS, F.floor(key / len(RAW_FOLDERS)))
+    name = F.concat(F.lit("F"), key.cast("string"), F.when(ending == "", "").otherwise(F.concat(F.lit("."), ending)))
+    return _t(spark, d, "orders").select(
+        "o_orderkey",
+        F.concat(pick(RAW_FOLDERS, key), F.lit("/"), name).alias("relative_path"),
+        name.alias("file_name"),
+        (F.floor(F.col("o_totalprice")) * RAW_BYTES).cast("long").alias("size_bytes"),
+        F.expr("concat('columns=', repeat(o_orderpriority, cast(o_custkey % 40 as int)))").alias("inspect_result"),
+    )
+
+
+def _sql_pick(names, n: str) -> str:
+    return f"([{', '.join(repr(x) for x in names)}])[({n}) % {len(names)} + 1]"
+
+
+_SQL_RAW_FILES = f"""
+rf AS (
+  SELECT *, {_sql_pick(RAW_FOLDERS, 'o_orderkey')} AS folder, {_sql_pick(RAW_ENDINGS, f'o_orderkey // {len(RAW_FOLDERS)}')} AS ending FROM orders
+),
+pf AS (
+  SELECT o_orderkey, folder || '/' || name AS relative_path, name AS file_name, CAST(floor(o_totalprice) AS BIGINT) * {RAW_BYTES} AS size_bytes,
+         'columns=' || repeat(o_orderpriority, o_custkey % 40) AS probe
+  FROM (SELECT *, 'F' || o_orderkey || CASE WHEN ending = '' THEN '' ELSE '.' || ending END AS name FROM rf)
+)"""
+_SQL_RAW_INVENTORY = _sql_inventory(files=_SQL_RAW_FILES, probe="probe").replace("SELECT page_id, source_group", "SELECT o_orderkey, source_group")
+
+
+def _raw_inventory(spark, d, max_per_group: int = 5):
+    return INV.with_notes(INV.inspection_quota(INV.classify_files(raw_files(spark, d)), max_per_group), max_per_group)
+
+
+@query(
+    "file_classes",
+    f"""
+WITH {_sql_classified(_SQL_RAW_FILES)}
+SELECT o_orderkey, relative_path, extension, source_group, readable_type_guess, size_mb, suggested_phase,
+       reason AS phase1_reason, can_convert AS can_convert_to_municipio_fecha
+FROM cls
+""",
+)
+def file_classes(spark: SparkSession, d: str) -> DataFrame:
+    """STR7-STR9, STR11: extension, type, group and usability class in all their cases."""
+    c = INV.classify_files(raw_files(spark, d))
+    return c.select(
+        "o_orderkey", "relative_path", "extension", "source_group", "readable_type_guess", "size_mb", "suggested_phase",
+        F.col("__phase.reason").alias("phase1_reason"), F.col("__phase.can_convert").alias("can_convert_to_municipio_fecha"),
+    )
+
+
+@query(
+    "file_notes",
+    f"""
+WITH {_SQL_RAW_INVENTORY}
+SELECT o_orderkey, notes, CAST(length(notes) AS BIGINT) AS note_length FROM inv
+""",
+)
+def file_notes(spark: SparkSession, d: str) -> DataFrame:
+    """STR12 + WIN6: notes with inspection text, quota notice and the cut at 420."""
+    return _raw_inventory(spark, d).select("o_orderkey", "notes", F.char_length("notes").cast("long").alias("note_length"))
+
+
+@query(
+    "file_quota",
+    f"""
+WITH {_SQL_RAW_INVENTORY}
+SELECT o_orderkey, source_group, readable_type_guess, inspectable AND rn <= 5 AS inspected, inspectable AND rn > 5 AS inspect_skipped FROM q
+""",
+)
+def file_quota(spark: SparkSession, d: str) -> DataFrame:
+    """WIN6: the first 5 inspectable files of each group and type, the others skipped."""
+    q = INV.inspection_quota(INV.classify_files(raw_files(spark, d)))
+    return q.select("o_orderkey", "source_group", "readable_type_guess", "inspected", "inspect_skipped")
+
+
+@query(
+    "file_counts",
+    f"""
+WITH {_SQL_RAW_INVENTORY}
+SELECT dimension, value, count(*) AS file_count FROM (
+  SELECT 'extension' AS dimension, CASE WHEN extension IN ({', '.join(repr(e) for e in FF.SUPPORTED_EXTENSIONS)}) THEN extension ELSE 'untracked' END AS value FROM inv
+  UNION ALL SELECT 'source_group', source_group FROM inv
+  UNION ALL SELECT 'phase', suggested_phase FROM inv
+  UNION ALL SELECT 'total', 'all' FROM inv
+) GROUP BY dimension, value
+""",
+)
+def file_counts(spark: SparkSession, d: str) -> DataFrame:
+    """AGG10 over every extension, group and phase."""
+    return INV.inventory_counts(_raw_inventory(spark, d))
+
+
+@query(
+    "file_rules_join",
+    f"""
+WITH {_SQL_RAW_INVENTORY}
+SELECT source_group, count(*) AS file_count,
+  {_sql_rule('source_group', 0)} AS default_phase, {_sql_rule('source_group', 1)} AS phase1_reason,
+  {_sql_rule('source_group', 2)} AS can_convert_to_municipio_fecha
+FROM inv GROUP BY source_group
+""",
+)
+def file_rules_join(spark: SparkSession, d: str) -> DataFrame:
+    """JOIN9: every group with its rule, UNKNOWN as default."""
+    return INV.source_rationale(_raw_inventory(spark, d))
+
+
+@query(
+    "file_groups_by_count",
+    f"""
+WITH {_SQL_RAW_INVENTORY}
+SELECT source_group, count(*) AS file_count FROM inv GROUP BY source_group ORDER BY file_count DESC, source_group LIMIT 12
+""",
+)
+def file_groups_by_count(spark: SparkSession, d: str) -> DataFrame:
+    """TOP7: the 12 largest of 13 groups."""
+    return INV.top_source_groups(_raw_inventory(spark, d), 12)
+
+
 @query(
     "pick_scored_source",
     f"""
