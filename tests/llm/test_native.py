@@ -193,6 +193,51 @@ def test_fingerprints_brute_force(spark, sf, corpus):
     assert mean("near_edited") > mean("near_next") + 0.2
 
 
+def hashed(*values):
+    """The engine's xxhash64 of several columns: each value seeds the next; nulls change nothing."""
+    import struct
+
+    import xxhash
+
+    seed = 42
+    for v in values:
+        if v is not None:
+            seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else v if isinstance(v, bytes) else struct.pack("<q", v), seed=seed)
+    return seed
+
+
+def plain_sketch(text, k=fingerprints.K):
+    """Order MinHash from its description: {bin: hash of its two least k-mers in text order}."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    places = sorted((hashed(*(w[i : i + k])) & 0xFFFFFFFF, i) for i in range(max(len(w) - k + 1, 1) if w else 0))
+    seen, bins = {}, {}
+    for h, i in places:
+        n = seen[h] = seen.get(h, -1) + 1
+        mixed = hashed(h, n.to_bytes(4, "little")) & 0xFFFFFFFF
+        bins.setdefault(mixed >> (32 - fingerprints.BIN_BITS), []).append((mixed, i))
+    out = {}
+    for b, found in bins.items():
+        least = sorted(found)[:2]
+        out[b] = hashed(*(h for h, _ in sorted(least, key=lambda x: x[1]))) & 0xFFFF
+    return out
+
+
+def plain_likeness(a, b):
+    return sum(a.get(x) == v for x, v in b.items()) / len(a.keys() | b.keys()) if a or b else 1.0
+
+
+def test_sketches_and_likenesses_brute_force(spark, sf, corpus):
+    rows = {r["doc_id"]: r for r in fingerprints.op9(spark, sf).collect()}
+    order = sorted(corpus, reverse=True, key=lambda r: r[0])
+    show = lambda s: "".join(f"{b << 16 | v:06x}" for b, v in sorted(s.items()))
+    for (i, t), (_, nxt) in list(zip(order, order[1:] + order[:1]))[:120]:
+        t, nxt = t or "", nxt or ""
+        cut = len(t) // 3
+        own, edited, after = map(plain_sketch, (t, t[: len(t) - cut] + nxt[:cut], nxt))
+        assert rows[i]["fingerprint"] == show(own) and rows[i]["edited_fingerprint"] == show(edited)
+        assert abs(rows[i]["near_edited"] - plain_likeness(own, edited)) < 1e-12 and abs(rows[i]["near_next"] - plain_likeness(own, after)) < 1e-12
+
+
 def test_sketch_depends_on_order_and_occurrence(spark):
     w = [f"t{i}" for i in range(400)]
     texts = [" ".join(w), " ".join(w[200:] + w[:200]), " ".join(w * 2), " ".join(w[:390])]
