@@ -83,7 +83,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (lineage cuts are written there)")
         configured = tempfile.mkdtemp(prefix="daygrid-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
