@@ -156,9 +156,7 @@ def file_extension(name: ColumnOrName) -> Column:
     """STR7: lower-cased last suffix without the dot, ``tif.gz`` kept whole."""
     lower = F.lower(_col(name))
     # Path(...).suffix: the part after the last '.', unless the name starts with it.
-    base = F.regexp_extract(lower, r"([^/]*)$", 1)
-    suffix = F.regexp_extract(base, r"^.+(\.[^.]*)$", 1)
-    plain = F.when(suffix == ".", F.lit("")).otherwise(F.regexp_replace(suffix, r"^\.", ""))
+    plain = F.regexp_extract(F.substring_index(lower, "/", -1), r"^.+\.([^.]*)$", 1)
     return F.when(lower.endswith(".tif.gz"), F.lit("tif.gz")).otherwise(plain)
 
 
@@ -175,11 +173,15 @@ def readable_type(ext: ColumnOrName) -> Column:
 def source_group(path: ColumnOrName) -> Column:
     """STR9: first source keyword contained in the normalized path, else UNKNOWN."""
     text = normalize_text(F.replace(_col(path), F.lit("\\"), F.lit("/")), trim=False)
-    out = None
-    for kw, group in SOURCE_KEYWORDS:
-        cond = text.contains(kw)
-        out = F.when(cond, F.lit(group)) if out is None else out.when(cond, F.lit(group))
-    return out.otherwise(F.lit("UNKNOWN"))
+
+    def first(t: Column) -> Column:
+        out = None
+        for kw, group in SOURCE_KEYWORDS:
+            cond = t.contains(kw)
+            out = F.when(cond, F.lit(group)) if out is None else out.when(cond, F.lit(group))
+        return out.otherwise(F.lit("UNKNOWN"))
+
+    return F.get(F.transform(F.array(text), first), F.lit(0))  # the path is normalized once, not for every keyword
 
 
 def date_in_text(text: ColumnOrName) -> Column:

@@ -54,6 +54,7 @@ _FOLD_FROM, _FOLD_TO, _FOLD_MULTI = _fold_tables(
 
 # The characters Python's str.strip() removes (all of Unicode's whitespace).
 _WS_CHARS = "".join(chr(i) for i in range(0x3000 + 1) if chr(i).isspace())
+_NOT_ASCII = r"[^\x00-\x7F]"
 _MULTI_CLASS = "[" + "".join(ch for ch, _ in _FOLD_MULTI) + "]"
 
 
@@ -63,14 +64,16 @@ def strip_ws(c: ColumnOrName) -> Column:
 
 
 def fold_accents(c: ColumnOrName) -> Column:
-    """NFKD-style accent removal without lower-casing."""
-    out = F.translate(_col(c), _FOLD_FROM, _FOLD_TO)
+    """NFKD-style accent removal without lower-casing. Plain ASCII text is its own
+    folding, so the tables run on other values only."""
+    col = _col(c)
+    out = F.translate(col, _FOLD_FROM, _FOLD_TO)
     expanded = out
     for ch, rep in _FOLD_MULTI:
         expanded = F.replace(expanded, F.lit(ch), F.lit(rep))
     # the expanding replacements only run on the rare values that need them
-    out = F.when(out.rlike(_MULTI_CLASS), expanded).otherwise(out)
-    return F.regexp_replace(out, r"\p{M}", "")
+    rest = F.regexp_replace(F.when(out.rlike(_MULTI_CLASS), expanded).otherwise(out), r"\p{M}", "")
+    return F.when(col.rlike(_NOT_ASCII), F.when(out.rlike(_NOT_ASCII), rest).otherwise(out)).otherwise(col)
 
 
 def normalize_text(c: ColumnOrName, trim: bool = True) -> Column:

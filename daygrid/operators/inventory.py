@@ -19,12 +19,17 @@ INSPECTABLE = ("tabular", "geospatial_vector", "raster", "compressed_archive")
 
 
 def classify_files(files: DataFrame) -> DataFrame:
-    """Per-file columns of the inventory, before notes."""
-    ext = FF.file_extension(F.col("file_name"))
-    out = files.withColumns(
+    """Per-file columns of the inventory, before notes.
+
+    Extension and source group come out of a one-row ``inline``: they are computed once a
+    file, where a filter or class built on plain columns would repeat their text work
+    in every place that names them."""
+    ext, group = FF.file_extension(F.col("file_name")), FF.source_group(F.col("relative_path"))
+    out = files.drop("__ext", "source_group").select(
+        "*", F.inline(F.array(F.struct(ext.alias("__ext"), group.alias("source_group"))))
+    )
+    out = out.withColumns(
         {
-            "__ext": ext,
-            "source_group": FF.source_group(F.col("relative_path")),
             "date_detected_in_name": FF.date_in_text(F.concat_ws(" ", F.col("relative_path"), F.col("file_name"))),
             "size_mb": FF.size_mb(F.col("size_bytes")),
         }
@@ -46,8 +51,8 @@ def inspection_quota(inv: DataFrame, max_per_group: int = 5) -> DataFrame:
 
     ``row_number() <= n`` is planned as a WindowGroupLimit that keeps n rows
     per group in every partition before the shuffle, so a group holding most
-    files never reaches one task whole; the small chosen set is joined back
-    on the (unique) path."""
+    files never reaches one task whole; the small chosen set is written once (its
+    count and the join read it) and joined back on the (unique) path."""
     w = Window.partitionBy("source_group", "readable_type_guess").orderBy("relative_path")
     inspectable = F.col("readable_type_guess").isin(*INSPECTABLE)
     chosen = (
@@ -58,7 +63,7 @@ def inspection_quota(inv: DataFrame, max_per_group: int = 5) -> DataFrame:
         .select("relative_path", F.lit(True).alias("inspected"))
     )
     return (
-        join_small(inv, chosen, "relative_path", "left")
+        join_small(inv, chosen, "relative_path", "left", materialize=True)
         .withColumn("inspected", F.coalesce(F.col("inspected"), F.lit(False)))
         .withColumn("inspect_skipped", inspectable & ~F.col("inspected"))
     )

@@ -1,6 +1,9 @@
 """The derived raw folder reaches every branch of the file inventory."""
 
+from pyspark.sql import functions as F
+
 from daygrid.functions import files as FF
+from daygrid.operators import inventory as INV
 from daygrid.plans import scalar_queries as Q
 
 
@@ -20,3 +23,22 @@ def test_branches(spark):
     counts = Q.file_counts(spark, d).collect()
     assert {r["value"] for r in counts if r["dimension"] == "extension"} >= {"csv", "txt", "tif.gz", "geojson", "zip", "gz", "rar", "untracked"}
     assert Q.file_rules_join(spark, d).count() == 13 and Q.file_groups_by_count(spark, d).count() == 12
+
+
+def test_text_work_once_a_file(spark):
+    """Filters and classes do not repeat the path and name work; the quota is computed once."""
+    files = Q.raw_files(spark, "/root/testdata/sf0.001")
+    classified = INV.classify_files(files)
+    plan = classified.filter(F.col("readable_type_guess").isin(*INV.INSPECTABLE))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(lower(") + plan.count("regexp_extract(substring_index(lower(") <= 1 and plan.count("lower(file_name") + plan.count("lower(concat(F") <= 2
+    quota = INV.inspection_quota(classified)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in quota
+
+
+def test_extensions_and_groups_of_odd_names(spark):
+    names = ["a.csv", ".hidden", "x.tar.gz", "m.TIF.GZ", "dir.v1/name", "a.", "..", "a\nb.csv", "b/.c", "é.TXT", "", None, "a.b\n"]
+    paths = ["PRECIPITACIÓN IDEAM/a", "Precipitación\\ideam", "Topografía y Cartografía IGAC/x", "ﬁle/chirps", "mapbiomas", "", None]
+    got = spark.createDataFrame([(n,) for n in names], "n string").select(FF.file_extension("n")).collect()
+    assert [r[0] for r in got] == ["csv", "", "gz", "tif.gz", "", "", "", "", "", "txt", "", None, "b\n"]
+    got = spark.createDataFrame([(p,) for p in paths], "p string").select(FF.source_group("p")).collect()
+    assert [r[0] for r in got] == ["PRECIPITACION_IDEAM", "UNKNOWN", "IGAC_TOPO_CARTO", "CHIRPS", "MAPBIOMAS", "UNKNOWN", "UNKNOWN"]
