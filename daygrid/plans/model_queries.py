@@ -564,8 +564,8 @@ SELECT municipio_key, date FROM panel WHERE date IN (SELECT date FROM sp WHERE s
 )
 def date_set_filter(spark: SparkSession, d: str) -> DataFrame:
     """FLT9: panel rows whose day belongs to the validation day set (left-semi join)."""
-    p = full_panel(spark, d)
-    val_days = panel_split(spark, d).filter(F.col("split") == "validation").select(F.col(DATE).alias("date")).distinct()
+    p = cut_lineage(full_panel(spark, d))  # built once, for the day set and for the rows
+    val_days = _temporal_split(p).filter(F.col("split") == "validation").select(F.col(DATE).alias("date")).distinct()
     return FL.in_date_set(p.select(KEY, DATE), DATE, val_days, "date")
 
 
