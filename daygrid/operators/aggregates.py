@@ -288,7 +288,7 @@ def daily_level(
     work = readings
     if _has(work, "param_raw"):
         by = [part_col] if part_col and _has(work, part_col) else None
-        work = keep_matching_or_all(work, normalize_text(F.col("param_raw")).contains("nivel"), by)
+        work = keep_matching_or_all(work, normalize_text(F.col("param_raw")).contains("nivel"), by, ["param_raw"])
     work = _timed(work, start, end)
     work = work.withColumn("level", F.col("level_raw").try_cast("double")).filter(F.col("level").isNotNull())
     day = _entity_day(work, smap, ["level"])

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_text
-from .joins import join_small
+from ..session import cut_lineage
+from .joins import is_small, join_small
 
 
 def _as_date(v):
@@ -32,12 +34,14 @@ def clip_dates(df: DataFrame, col: str, start=None, end=None) -> DataFrame:
     return df
 
 
-def keep_matching_or_all(df: DataFrame, match: Column, by: Sequence[str] | None = None) -> DataFrame:
+def keep_matching_or_all(df: DataFrame, match: Column, by: Sequence[str] | None = None, on: Sequence[str] | None = None) -> DataFrame:
     """FLT2-FLT4: keep rows where ``match`` holds, unless none match (then keep all).
 
     The "any row matches" fact is a one-row aggregate used as a scalar
-    subquery (global form); with ``by`` the groups that have a match are joined back,
-    broadcast only if few (counted). No global window, nothing collected.
+    subquery (global form); with ``by`` the groups that have a match are written once
+    and joined back, broadcast only if few (counted). No global window, nothing collected.
+    ``on`` names the columns that ``match`` reads: it is then decided once for each of their
+    values in a group, and rows are semi-joined with the kept values if these are few (counted).
     """
     flag = "__match"
     marked = df.withColumn(flag, F.coalesce(match, F.lit(False)))
@@ -46,8 +50,16 @@ def keep_matching_or_all(df: DataFrame, match: Column, by: Sequence[str] | None
             F.coalesce(F.col("m"), F.lit(0)) == 1
         )
         return marked.filter(F.col(flag) | ~any_match.scalar()).drop(flag)
+    if on:
+        cols = list(dict.fromkeys([*by, *on]))
+        values = cut_lineage(df.select(*cols).distinct().withColumn(flag, F.coalesce(match, F.lit(False))))
+        if is_small(values):
+            none = ~F.max(flag).over(Window.partitionBy(*by)) | reduce(lambda a, b: a | b, [F.col(b).isNull() for b in by])
+            kept = values.withColumn("__none", none).filter(F.col(flag) | F.col("__none")).select(*[F.col(c).alias(f"__v_{c}") for c in cols])
+            same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__v_{c}")) for c in cols])
+            return df.join(F.broadcast(kept), same, "left_semi")
     any_match = marked.filter(F.col(flag)).select(*by).distinct().withColumn("__any", F.lit(True))
-    flagged = join_small(marked, any_match, list(by), "left")
+    flagged = join_small(marked, any_match, list(by), "left", materialize=True)
     return flagged.filter(F.col(flag) | F.col("__any").isNull()).drop(flag, "__any")
 
 
