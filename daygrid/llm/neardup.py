@@ -19,9 +19,9 @@ its leader, and |x ^ y| = |dx ^ dy|, so whatever else is linked is found from
 deltas alone: J(x, y) >= 0.8 means 9 |x ^ y| <= |x| + |y|, that is an overlap of
 dx and dy of at least (|dx| + |dy| - (|x| + |y|) / 9) / 2. If both are linked to
 c they are one component already; otherwise that overlap is at least one, and
-an exact prefix-filtered overlap join of the deltas (elements counted within the
-leader's group, the rarest first) finds all such pairs of members that are in
-different components. An element that would pair many members with many gets a leader
+an exact prefix-filtered overlap join of the deltas (elements that the leader lacks first,
+counted within its group, the rarest before the others) finds all such pairs of members that
+are in different components. Buckets whose members are of one component, the leader aside, need no deltas. An element that would pair many members with many gets a leader
 among them, and deltas from that, instead.
 
 Defined results: words are split at ASCII white space after lower-casing A-Z; a
@@ -120,11 +120,11 @@ def _chunk_keys(batches):
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().astype(np.int64)), pa.array(reps)], names=["key", "rep"])
 
 
-_COMPARED = "a long, c long, size long, linked boolean, delta array<long>"
+_COMPARED = "a long, c long, size long, size_c long, linked boolean, delta array<long>"
 
 
 def _compare(batches, words: int):
-    """Full sets of members ``a`` against their leaders ``c``: size of a's set, whether
+    """Full sets of members ``a`` against their leaders ``c``: sizes of both sets, whether
     they are linked, and the delta, elements outside the leader first."""
     leader = (None, None)
     for batch in batches:
@@ -136,9 +136,9 @@ def _compare(batches, words: int):
                     leader = (text_c, shingle_sets([text_c], words)[0])
                 added, gone = np.setdiff1d(s, leader[1], assume_unique=True), np.setdiff1d(leader[1], s, assume_unique=True)
                 d = len(added) + len(gone)
-                out.append((a, c, len(s), 9 * d <= len(s) + len(leader[1]), np.concatenate([added, gone]).view(np.int64)))
+                out.append((a, c, len(s), len(leader[1]), 9 * d <= len(s) + len(leader[1]), np.concatenate([added, gone]).view(np.int64)))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(col, t) for col, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())))], names=["a", "c", "size", "linked", "delta"])
+            yield pa.RecordBatch.from_arrays([pa.array(col, t) for col, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())))], names=["a", "c", "size", "size_c", "linked", "delta"])
 
 
 def compare(pairs: DataFrame, texts: DataFrame, words: int = PAIRS) -> DataFrame:
@@ -172,56 +172,77 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(heads)
 
 
-def _led_pairs(members: DataFrame) -> DataFrame:
-    """Distinct (a, c): members and the leaders of their buckets."""
+def _led(members: DataFrame) -> DataFrame:
+    """(bucket, a, c): the members of every bucket but its leader, with the leader."""
     popular = members.groupBy("rep").agg(F.sum("n").alias("popularity"))
     order = F.struct(F.col("popularity"), (-F.col("rep")).alias("low"), F.col("rep").alias("c"))
     ranked = members.join(popular, "rep").select("key", "rep", order.alias("o"))
     leaders = ranked.groupBy("key").agg(F.max("o").alias("o")).select("key", F.col("o.c").alias("c"))
-    return members.join(leaders, "key").filter("rep <> c").select(F.col("rep").alias("a"), "c").distinct()
+    return members.join(leaders, "key").filter("rep <> c").select(F.col("key").alias("bucket"), F.col("rep").alias("a"), "c")
 
 
-def _annotated(compared: DataFrame, comps: DataFrame) -> DataFrame:
-    """Compared pairs with the member's component, and whether it is another than the leader's."""
-    own = comps.withColumnRenamed("component", "comp")
-    led = compared.join(own.withColumnRenamed("node", "a"), "a", "left").withColumn("comp", F.coalesce("comp", "a"))
-    led = led.join(own.select(F.col("node").alias("c"), F.col("comp").alias("comp_c")), "c", "left").withColumn("comp_c", F.coalesce("comp_c", "c"))
-    return led.withColumn("d", F.size("delta").cast("long")).select("c", "a", "size", "d", "delta", "comp", (F.col("comp") != F.col("comp_c")).alias("outer"))
+def _annotated(compared: DataFrame, buckets: DataFrame, comps: DataFrame) -> DataFrame:
+    """Compared pairs with the member's component, and whether it is another than the
+    leader's. Only pairs from buckets whose members, the leader aside, are of several
+    components: in any other bucket no two of them are left to be linked."""
+    own = comps.select(F.col("node").alias("a"), F.col("component").alias("comp"))
+    comp = F.coalesce("comp", "a")
+    several = buckets.join(own, "a", "left").groupBy("bucket").agg(F.min(comp).alias("lo"), F.max(comp).alias("hi")).filter("lo <> hi").select("bucket")
+    pairs = buckets.join(several, "bucket", "left_semi").select("a", "c").distinct()
+    led = pairs.join(own, "a", "left").withColumn("comp", comp).join(own.toDF("c", "comp_c"), "c", "left")
+    led = led.select("a", "c", "comp", (F.col("comp") != F.coalesce("comp_c", "c")).alias("outer"))
+    return compared.join(led, ["a", "c"]).select("c", "a", "size", "size_c", F.size("delta").cast("long").alias("d"), "delta", "comp", "outer")
+
+
+#: Whether an element may be the first of the overlap that a link needs, ``at`` being its place
+#: in the delta: of any two members, of any member y with a member x outside the leader's
+#: component, and of such an x (see ``_delta_links``).
+_SIZED = "4 * (d - at) >= 2 * d + 2 * size_c - 3 * size AND 10 * (d - at) >= 5 * d + 3 * size - 5 * size_c"
+_FIRST = f"{_SIZED} AND 18 * (d - at) > 9 * d + size_c - size"
+_REACH = f"outer AND {_SIZED} AND 10 * (d - at) >= 9 * d - size - size_c"
 
 
 def _postings(led: DataFrame) -> DataFrame:
-    """(c, element, a, comp, outer, size, d, at): the delta elements that members of different
-    components share, one of them not in the leader's; ``at`` is an element's place in
-    its delta when elements that nobody needs come first, then the rarest in c's group."""
-    open_ = spilled(led.filter("outer").select("c").distinct())
-    each = join_by_size(led, open_, "c", "left_semi").select("c", "a", "size", "d", "comp", "outer", F.explode("delta").alias("element"))
-    shared = each.groupBy("c", "element").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("outer").alias("any")).filter("lo <> hi AND any").select("c", "element", "n")
+    """(c, element, a, comp, outer, size, d, at, first, reach): the elements of deltas within a
+    prefix of their member. ``at`` is an element's place in its delta, the same order for all
+    members of c: first elements that c lacks, of these those first that no member of another
+    component has, then the rarest in c's group; then those of c in their order of value. (All
+    members share c's elements, so counting these would cost most and tell least.)"""
+    led = led.withColumn("added", F.expr("CAST((d + size - size_c) div 2 AS INT)"))  # elements that c lacks; they stand first
+    names = ("c", "a", "size", "size_c", "d", "comp", "outer", "added")
+    new = led.select(*names, F.explode(F.expr("slice(delta, 1, added)")).alias("element"))
+    missing = led.select(*names, F.posexplode(F.expr("slice(delta, added + 1, size(delta))")).alias("pos", "element"))
+    missing = missing.select(*names, "element", (F.col("added") + F.col("pos")).alias("at"))
+    shared = new.groupBy("c", "element").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("c", "element", "n")
     own = Window.partitionBy("c", "a")  # one member's delta
-    used = each.join(shared, ["c", "element"]).withColumn("last", F.row_number().over(own.orderBy(F.desc("n"), F.desc("element"))))
-    return spilled(used.withColumn("at", F.col("d") - F.col("last")).select("c", "element", "a", "comp", "outer", "size", "d", "at"))
+    ranked = new.join(shared, ["c", "element"]).withColumn("at", (F.col("added") - F.row_number().over(own.orderBy(F.desc("n"), F.desc("element")))).cast("int"))
+    placed = ranked.drop("n").unionByName(missing).withColumn("first", F.expr(_FIRST)).withColumn("reach", F.expr(_REACH))
+    return spilled(placed.filter("first OR reach").select("c", "element", "a", "comp", "outer", "size", "d", "at", "first", "reach"))
 
 
-def _delta_links(compared: DataFrame, comps: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """Linked (a, c) pairs among members of one leader that are not yet in one component.
+def _delta_links(compared: DataFrame, buckets: DataFrame, comps: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Linked (a, c) pairs among members of one bucket that are not yet in one component.
 
-    A member x outside the leader's component meets every y whose prefix (its first
-    5/9: an overlap above 4/9 of y's delta is needed) has an element of x's delta, of two
-    such members both within their prefixes. Where that would be many pairs for one
+    A member x outside the leader's component meets every y at the elements within both
+    their prefixes. x is not linked to c, 9 |dx| > |x| + |c|, so a link needs an overlap above
+    (9 |dy| + |c| - |y|) / 18, which bounds y's prefix (and x's, if y is such a member too); and
+    as |y| <= |c| + |dy| and |dy| is at least the overlap, one of (9 |dx| - |x| - |c|) / 10, which
+    bounds x's. Linked sets differ in size by a quarter at most, and |dx| >= ||x| - |c||, which
+    bounds both prefixes where sizes are far from the leader's. Where that would be many pairs for one
     element, its members become a group with a leader of their own: they are compared
     with it, and go through the next round with deltas from it, so the cost stays linear in the
     list. After ``RELEADS`` rounds lists of any length are joined directly.
     """
     links = []
     for turn in range(RELEADS + 1):
-        led = spilled(_annotated(compared, comps))
+        led = spilled(_annotated(compared, buckets, comps))
         postings = _postings(led)
-        prefix = F.expr("at <= d - ceil(4 * d / 9)")
-        lists = postings.groupBy("c", "element").agg(F.sum(F.col("outer").cast("long")).alias("x"), F.sum(prefix.cast("long")).alias("y"))
-        lists = spilled(lists.filter("x > 0 AND y > 0").select("c", "element", F.expr(f"{turn < RELEADS} AND x * y > {LONG_LIST} * (x + y)").alias("long")))
+        lists = postings.groupBy("c", "element").agg(F.sum(F.col("reach").cast("long")).alias("x"), F.sum(F.col("first").cast("long")).alias("y"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        lists = spilled(lists.filter("x > 0 AND y > 0 AND lo <> hi").select("c", "element", F.expr(f"{turn < RELEADS} AND x * y > {LONG_LIST} * (x + y)").alias("long")))
         open_ = postings.join(lists, ["c", "element"])
         names = ("a", "size", "d", "comp", "at", "outer", "first")
-        short = open_.filter("NOT long").withColumn("first", prefix)
-        x = short.filter("outer").select("c", "element", *[F.col(n).alias(f"{n}_x") for n in names])
+        short = open_.filter("NOT long")
+        x = short.filter("reach").select("c", "element", *[F.col(n).alias(f"{n}_x") for n in names])
         y = short.filter("first").select("c", "element", *[F.col(n).alias(f"{n}_y") for n in names])
         need = "(9 * (d_x + d_y) - (size_x + size_y))"
         near = f"comp_x <> comp_y AND 18 * (d_x - at_x) >= {need} AND 18 * (d_y - at_y) >= {need}"
@@ -231,10 +252,10 @@ def _delta_links(compared: DataFrame, comps: DataFrame, texts: DataFrame, words:
         links.append(spilled(sure.filter(f"18 * both >= {need}").select(F.col("a_x").alias("a"), F.col("a_y").alias("c"))))
         if turn == RELEADS or lists.filter("long").isEmpty():
             break
-        members = open_.filter("long").filter(F.col("outer") | prefix).select("c", "element", "a")
+        members = open_.filter("long").select("c", "element", "a")
         leaders = members.groupBy("c", "element").agg(F.min(F.struct(F.xxhash64("a"), F.col("a"))).alias("o")).select("c", "element", F.col("o.a").alias("leader"))
-        pairs = spilled(members.join(leaders, ["c", "element"]).filter("a <> leader").select("a", F.col("leader").alias("c")).distinct())
-        compared = spilled(compare(pairs, texts, words))
+        buckets = spilled(members.join(leaders, ["c", "element"]).filter("a <> leader").select(F.struct("c", "element").alias("bucket"), "a", F.col("leader").alias("c")))
+        compared = spilled(compare(buckets.select("a", "c").distinct(), texts, words))
         links.append(spilled(compared.filter("linked").select("a", "c")))
         comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("c")).unionByName(links[-1]).unionByName(links[-2]))
     return reduce(DataFrame.unionByName, links)
@@ -271,13 +292,14 @@ def near_duplicates(docs: DataFrame, words: int = PAIRS) -> DataFrame:
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi").select("key", "n")
     members = spilled(keys.join(shared, "key"))
 
-    pairs = spilled(_led_pairs(members))
+    buckets = spilled(_led(members))
+    pairs = spilled(buckets.select("a", "c").distinct())
     used = spilled(pairs.select(F.explode(F.array("a", "c")).alias("rep")).distinct())
     texts = join_by_size(source.withColumnRenamed("doc_id", "rep"), used, "rep", "left_semi")
     compared = spilled(compare(pairs, texts, words))
     links = spilled(compared.filter("linked").select("a", "c"))
     comps = components(links)
-    more = spilled(_delta_links(compared, comps, texts, words))
+    more = spilled(_delta_links(compared, buckets, comps, texts, words))
     edges = comps.select(F.col("node").alias("a"), F.col("component").alias("c")).unionByName(more)
     if rest is not None:  # all texts of a doc_id are one document
         by_set = known.select(F.col("doc_id").alias("node"), "set_id").join(reps.select("set_id", "rep"), "set_id").select("node", "rep")

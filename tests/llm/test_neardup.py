@@ -148,3 +148,66 @@ def test_shared_rare_pairs_in_a_large_group(spark, alike, monkeypatch, long_list
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     exp = brute(rows)
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == exp
+
+
+def test_prefix_bounds_hold_for_every_linked_pair():
+    """The first common element of two linked sets lies in the prefixes of both deltas."""
+    rnd = random.Random(5)
+    holds = lambda bound, **v: eval(bound.replace("AND", "and"), v)  # noqa: E731, S307
+    met = 0
+    for _ in range(20_000):
+        n = rnd.randint(4, 40)
+        x = set(rnd.sample(range(60), n))
+        y = set(x)
+        for _ in range(rnd.randint(0, n // 5)):
+            y.symmetric_difference_update({rnd.randrange(60)})
+        c = set(rnd.sample(sorted(x & y or x), rnd.randint(1, len(x & y or x)))) | set(rnd.sample(range(60), rnd.randint(0, 30)))
+        linked = lambda s, t: 9 * len(s ^ t) <= len(s) + len(t)
+        if not linked(x, y) or linked(x, c):
+            continue
+        order = lambda s: sorted(s ^ c, key=lambda e: (e in c, e))  # noqa: E731, B023
+        dx, dy = order(x), order(y)
+        common = [e for e in dx if e in dy]
+        facts = lambda s, delta: {"at": delta.index(common[0]), "d": len(delta), "size": len(s), "size_c": len(c), "outer": True}  # noqa: E731, B023
+        assert holds(neardup._REACH, **facts(x, dx)) and holds(neardup._FIRST, **facts(y, dy))
+        met += 1
+    assert met > 1000
+
+
+def test_sizes_far_from_the_leader(spark):
+    """Beginnings of one text, of all lengths, with edits: many buckets, sizes unlike the leader's."""
+    rnd = random.Random(8)
+    base = [f"b{i}" for i in range(260)]
+    rows = []
+    for i in range(150):
+        w = base[: rnd.randint(30, 260)] if i % 2 else base[rnd.randint(0, 200) :]
+        for _ in range(rnd.randint(0, len(w) // 12)):
+            w[rnd.randrange(len(w))] = f"x{rnd.randrange(300)}"
+        rows.append((i, " ".join(w)))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows)
+
+
+def test_rows_by_element_stay_few_in_a_large_group(spark, monkeypatch):
+    """Copies that lack the same words of their leader, but add words of their own: what they
+    lack is not joined element by element."""
+    rnd = random.Random(13)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(160):
+        w = list(base)
+        for k in rnd.sample(range(150), rnd.randint(8, 16)):
+            w[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(w)))
+    written, spilled = [], neardup.spilled
+
+    def counted(df, codec=None):
+        out = spilled(df, codec)
+        if {"element", "a"} <= set(out.columns):
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "spilled", counted)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows)
+    assert written and sum(written) <= 150 * len(rows)  # 304 a document when every shared element was joined
